@@ -68,9 +68,9 @@ def train_forest(
     """Fit encoders on ``hourly``, tune on its training part, keep the rest aside.
 
     The encoders are fitted once, outside the grid, and saved with the forest, so
-    scoring uses the codes of training. Runs jobs.
+    scoring uses the codes of training. Runs jobs that read ``hourly`` several
+    times: give it a stored table or a frame whose lineage is cut.
     """
-    hourly = hourly.persist(StorageLevel.MEMORY_AND_DISK)
     features = feature_pipeline(handle_invalid).fit(hourly)
     train, held_out = stable_split(hourly, keys, ratio, seed)
     vectors = labelled(features, train).persist(StorageLevel.MEMORY_AND_DISK)

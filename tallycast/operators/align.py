@@ -17,6 +17,10 @@ TOLERANCE_SECONDS = 300
 WEATHER_MEANS = ("humidity", "pressure", "temperature", "wind_speed")
 WEATHER_MODES = ("weather_type", "wind_direction")
 
+#: What identifies a reading. Kept in one order everywhere, so that steps hashed on
+#: these columns share their partitioning.
+RUN_KEYS = ("city_name", "scheduler_id")
+
 _BUCKET = "time_interval"
 
 
@@ -73,17 +77,18 @@ def drop_late(
 def count_per_run(
     readings: DataFrame,
     events: DataFrame,
-    keys: Sequence[str] = ("city_name", "scheduler_id"),
+    keys: Sequence[str] = RUN_KEYS,
     tolerance: int = TOLERANCE_SECONDS,
     first_reading: Column | None = None,
     count_name: str = "crashes",
+    ts: str = "date",
 ) -> DataFrame:
     """Each reading with the number of events of its run, 0 where there are none.
 
     ``readings`` must be unique per ``keys``. ``first_reading`` saves scanning
     ``readings`` twice when the caller has a cheaper source for that minimum.
     """
-    bound = earliest(readings) if first_reading is None else first_reading
-    counted = zero_filled_count(readings, drop_late(events, bound, tolerance), keys, count_name)
-    measures = [name for name in readings.columns if name not in keys]
-    return counted.select(keys[0], count_name, *measures)
+    bound = earliest(readings, ts) if first_reading is None else first_reading
+    counted = zero_filled_count(readings, drop_late(events, bound, tolerance, ts), keys, count_name)
+    measures = [name for name in readings.columns if name not in (*keys, ts)]
+    return counted.select(keys[0], count_name, ts, *measures)

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tallycast import schemas
 from tallycast.functions import text
+from tallycast.operators.align import RUN_KEYS
 from tallycast.operators.dedup import keep_first
 
 
@@ -50,5 +51,5 @@ def type_weather(df: DataFrame, tz: str = "UTC") -> DataFrame:
 
 
 def clean_weather(df: DataFrame, tz: str = "UTC") -> DataFrame:
-    """:func:`type_weather`, one reading per (run, city) (earliest)."""
-    return keep_first(type_weather(df, tz), ["scheduler_id", "city_name"], [F.col("date").asc_nulls_last()])
+    """:func:`type_weather`, one reading per (city, run) (earliest)."""
+    return keep_first(type_weather(df, tz), list(RUN_KEYS), [F.col("date").asc_nulls_last()])

@@ -17,7 +17,7 @@ from tallycast.ml.scoring import score
 from tallycast.ml.training import train_forest
 from tallycast.operators import align, clean, dedup, lookup, ranking, rollup, serve, summarize
 from tallycast.plans import views
-from tallycast.session import work_path
+from tallycast.session import cut_lineage, work_path
 from tallycast.sources import landing, pages, payloads, tables
 from tallycast.streaming import microbatch, runs, stateful
 
@@ -133,14 +133,11 @@ def drop_seen(spark, sf_dir):
 def _run_count(spark, sf_dir) -> DataFrame:
     source = views.events(spark, sf_dir)
     weather = views.weather(source)
-    first = dedup.keep_first(weather, ["scheduler_id", "city_name"], ["date", "event_id"]).drop("event_id")
+    first = dedup.keep_first(weather, align.RUN_KEYS, ["date", "event_id"]).drop("event_id")
     # The earliest reading survives keep_first, so the undeduplicated minimum is the same.
     return align.count_per_run(first, views.traffic(source), first_reading=align.earliest(weather))
 
 
-def _hourly(spark, sf_dir, keep_day: bool) -> DataFrame:
-    return rollup.calendar_rollup(_run_count(spark, sf_dir), keep_day=keep_day)
-
 
 @query
 def run_count(spark, sf_dir):
@@ -198,7 +195,7 @@ def zero_fill_count(spark, sf_dir):
 
 @query
 def calendar_rollup(spark, sf_dir):
-    return _hourly(spark, sf_dir, keep_day=False)
+    return rollup.calendar_rollup(_run_count(spark, sf_dir))
 
 
 @query
@@ -323,9 +320,13 @@ def prediction_sink_roundtrip(spark, sf_dir):
 _SMALL_GRID = {"tree_counts": (2, 5), "depths": (5, 8)}
 
 
+def _training_rows(spark, sf_dir) -> DataFrame:
+    return cut_lineage(rollup.calendar_rollup(_run_count(spark, sf_dir), keep_day=True))
+
+
 @query
 def forest_tuned_score(spark, sf_dir):
-    trained = train_forest(_hourly(spark, sf_dir, keep_day=True), **_SMALL_GRID)
+    trained = train_forest(_training_rows(spark, sf_dir), **_SMALL_GRID)
     return score(trained.model, views.weather(views.events(spark, sf_dir)))
 
 
@@ -333,7 +334,7 @@ def forest_tuned_score(spark, sf_dir):
 def promotion_decision(spark, sf_dir):
     """First model, the same model again (a tie), then a larger one."""
     store = ModelStore(spark, work_path(spark, "models"))
-    hourly = _hourly(spark, sf_dir, keep_day=True)
+    hourly = _training_rows(spark, sf_dir)
     small = train_forest(hourly, tree_counts=(2,), depths=(2,))
     large = train_forest(hourly, tree_counts=(5,), depths=(8,))
     for candidate in (small, small, large):
@@ -418,7 +419,7 @@ def stream_micro_batch(spark, sf_dir):
 def stream_score(spark, sf_dir):
     """Landed text readings scored with the stored model as they arrive."""
     store = ModelStore(spark, work_path(spark, "models"))
-    trained = train_forest(_hourly(spark, sf_dir, keep_day=True), tree_counts=(3,), depths=(5,))
+    trained = train_forest(_training_rows(spark, sf_dir), tree_counts=(3,), depths=(5,))
     store.promote_if_better(trained.model, trained.held_out)
     raw = views.weather_text(views.events_stream(spark, sf_dir), malformed=False)
     out, checkpoint = work_path(spark, "predictions"), work_path(spark, "checkpoint")

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast import schemas
+from tallycast.operators.align import RUN_KEYS
 from tallycast.operators.dedup import keep_first
 
 WEATHER_TYPES = ("clear", "cloudy", "rain", "snow")
@@ -140,7 +141,7 @@ def weather_envelopes(source: DataFrame, malformed: bool = True) -> DataFrame:
 
 def predictions(source: DataFrame) -> DataFrame:
     """Prediction rows, one per first reading of a (run, city)."""
-    first = keep_first(weather(source), ["scheduler_id", "city_name"], ["date", "event_id"])
+    first = keep_first(weather(source), RUN_KEYS, ["date", "event_id"])
     return schemas.conform(
         first.select(
             F.col("city_name").alias("city"),

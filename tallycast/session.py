@@ -31,6 +31,10 @@ def build_session(
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TARGET_PARTITION_BYTES),
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
+        # a commit then uploads the changes of its batch, not a snapshot of the state
+        "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+        # one RocksDB instance per stream-stream join partition in place of four
+        "spark.sql.streaming.join.stateFormatVersion": "3",
     }
     if expected_input_bytes is not None:
         settings["spark.sql.shuffle.partitions"] = str(shuffle_partitions(expected_input_bytes))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping
 from html.parser import HTMLParser
 
@@ -50,21 +51,43 @@ def _steps(selector: str) -> list[tuple[str, str, frozenset[str]]]:
 
 
 def _read_fields(page: str, wanted: Mapping) -> list[str]:
-    reader = _FieldReader([steps for steps, _ in wanted.values()])
-    reader.feed(page)
-    reader.close()
+    reader = _FieldReader([steps if _may_match(page, steps) else None for steps, _ in wanted.values()])
+    try:
+        if not reader.done():
+            reader.feed(page)
+            reader.close()
+    except _Complete:
+        pass
     return [default if text is None else text for text, (_, default) in zip(reader.texts(), wanted.values())]
 
 
+#: A class or id written with a character reference, which a plain text search would miss.
+_ESCAPED_NAME = re.compile(r"""(?:class|id)\s*=\s*(?:"[^"]*&|'[^']*&|[^\s>"']*&)""", re.IGNORECASE)
+
+
+def _may_match(page: str, steps: list) -> bool:
+    """False only when a class or id of the selector occurs nowhere in the page."""
+    names = [name for _, ident, classes in steps for name in (ident, *classes) if name]
+    return all(name in page for name in names) or _ESCAPED_NAME.search(page) is not None
+
+
+class _Complete(Exception):
+    """Every selector has its text; the rest of the page cannot change it."""
+
+
 class _FieldReader(HTMLParser):
-    """Collects the text of the first match of each selector."""
+    """Collects the text of the first match of each selector (None: not looked for)."""
 
     def __init__(self, selectors: list):
         super().__init__(convert_charrefs=True)
         self._selectors = selectors
         self._found: list[list[str] | None] = [None] * len(selectors)
+        self._pending = sum(steps is not None for steps in selectors)
         self._open: list[tuple] = []  # (tag, id, classes, selectors capturing here)
 
+    def done(self) -> bool:
+        return self._pending == 0
+
     def texts(self) -> list[str | None]:
         return [None if parts is None else " ".join("".join(parts).split()) for parts in self._found]
 
@@ -73,18 +96,21 @@ class _FieldReader(HTMLParser):
         element = (tag, values.get("id") or "", frozenset((values.get("class") or "").split()))
         started = []
         for number, steps in enumerate(self._selectors):
-            if self._found[number] is None and self._matches(element, steps):
+            if steps is not None and self._found[number] is None and self._matches(element, steps):
                 self._found[number] = []
                 started.append(number)
         if tag in _VOID:
             self.handle_data(" ")
+            self._finish(len(started))
         else:
             self._open.append((*element, started))
 
     def handle_endtag(self, tag):
         for depth in range(len(self._open) - 1, -1, -1):
             if self._open[depth][0] == tag:
+                closed = sum(len(entry[3]) for entry in self._open[depth:])
                 del self._open[depth:]
+                self._finish(closed)
                 return
 
     def handle_data(self, data):
@@ -94,6 +120,11 @@ class _FieldReader(HTMLParser):
             for number in entry[3]:
                 self._found[number].append(data)
 
+    def _finish(self, closed: int) -> None:
+        self._pending -= closed
+        if closed and self.done():
+            raise _Complete
+
     def _matches(self, element: tuple, steps: list) -> bool:
         if not _fits(element, steps[-1]):
             return False

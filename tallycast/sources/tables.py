@@ -72,8 +72,8 @@ class SeenIds:
             f"CREATE TABLE IF NOT EXISTS {table} (id STRING, batch BIGINT) USING parquet "
             f"PARTITIONED BY (batch) CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'"
         )
-        # find the partitions of earlier sessions; the empty write makes sure the folder is there
-        self._insert(spark.createDataFrame([], "id STRING, batch BIGINT"))
+        # find the partitions of earlier sessions; the empty append makes sure the folder is there
+        spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(table)
         spark.sql(f"MSCK REPAIR TABLE {table}")
 
     def before(self, batch: int, spark: SparkSession | None = None) -> DataFrame:
@@ -86,8 +86,6 @@ class SeenIds:
         Spark refuses to overwrite a table that the new rows are computed from, so
         ``ids`` has to come from a written copy of the batch.
         """
-        rows = ids.select(F.col("id").cast("string"), F.lit(batch).cast("bigint").alias("batch"))
-        self._insert(rows.repartition(self.buckets, "id"))
-
-    def _insert(self, rows: DataFrame) -> None:
-        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").insertInto(self.table)
+        rows = ids.select(F.col("id").cast("string")).repartition(self.buckets, "id")
+        target = f"{self.table} PARTITION (batch = {int(batch)})"
+        rows.sparkSession.sql(f"INSERT OVERWRITE {target} SELECT id FROM {{rows}}", rows=rows)
