@@ -64,7 +64,7 @@ def split_join(
     return sliced.join(copied, [*keys, _SALT], how).drop(_SALT)
 
 
-def pack_copies(df: DataFrame, rows_per_slice: int = 10_000) -> DataFrame:
+def pack_copies(df: DataFrame, rows_per_slice: int = 1_000_000) -> DataFrame:
     """Identical rows -> a few numbered rows with the count each stands for.
 
     The inverse is :func:`unpack_copies`. A group of copies turns into slices that

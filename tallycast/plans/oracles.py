@@ -60,6 +60,14 @@ predictions AS (
   FROM first_reading)"""
 
 
+def _decoded(column: str) -> str:
+    """Character references decoded, the ampersand last. Named ones may lack the semicolon."""
+    references = (("&quot;?", '"'), ("&#x27;", "''"), ("&#39;", "''"), ("&lt;?", "<"), ("&gt;?", ">"), ("&amp;?", "&"))
+    for reference, character in references:
+        column = f"regexp_replace({column}, '{reference}', '{character}', 'g')"
+    return column
+
+
 def _bucket(ts: str) -> str:
     return f"CAST(floor(epoch({ts}) / 900) AS BIGINT)"
 
@@ -150,6 +158,22 @@ _CLOSED_READINGS = "(SELECT max(date) FROM weather) - INTERVAL 300 SECONDS"
 _CLOSED_BOTH = "(SELECT least((SELECT max(date) FROM weather), (SELECT max(date) FROM traffic))) - INTERVAL 300 SECONDS"
 _WINDOW_END = "make_timestamp((time_interval + 1) * 900000000)"
 
+_HOURLY_ROWS = f"""
+hourly AS (
+  SELECT city_name, clock, crashes, humidity, pressure, temperature, wind_speed, month, weekday, weather_type, wind_direction
+  FROM rolled LEFT JOIN type_mode USING (city_name, y, d, clock) LEFT JOIN wind_mode USING (city_name, y, d, clock))"""
+
+
+def _index(column: str) -> str:
+    """CTE ``<column>_codes``: 0 for the most frequent value, ties in value order."""
+    return f"""
+{column}_codes AS (
+  SELECT {column}, CAST(row_number() OVER (ORDER BY count(*) DESC, {column}) - 1 AS DOUBLE) AS {column}_code
+  FROM hourly WHERE {column} IS NOT NULL GROUP BY {column})"""
+
+
+_INDEXED = ("city_name", "weekday", "weather_type", "wind_direction")
+
 # ---------------------------------------------------------------- queries
 
 ORACLES: dict[str, str] = {
@@ -219,7 +243,7 @@ WITH dated AS (
          CASE WHEN hour(o_orderdate) = 0 THEN 24 ELSE hour(o_orderdate) END AS clock FROM orders),
 {_mode('status_mode', 'dated', 'city_name, d, clock', 'o_orderstatus')},
 rolled AS (
-  SELECT city_name, d, clock, count(*) AS crashes, avg(o_totalprice) AS o_totalprice,
+  SELECT city_name, d, clock, count(*) AS crashes, avg(floor(o_totalprice)) AS o_totalprice,
          min(month(o_orderdate)) AS month, min(strftime(o_orderdate, '%a')) AS weekday
   FROM dated GROUP BY ALL)
 SELECT city_name, CAST(clock AS INTEGER) AS hour, CAST(crashes AS BIGINT) AS crashes, {_r('o_totalprice')},
@@ -231,6 +255,13 @@ FROM lineitem""",
     "category_index": """
 SELECT p_type, CAST(n AS BIGINT) AS n, CAST(row_number() OVER (ORDER BY n DESC, p_type) - 1 AS BIGINT) AS index
 FROM (SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY p_type)""",
+    "feature_vectors": f"""{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED, _HOURLY, _HOURLY_ROWS, *map(_index, _INDEXED))}
+SELECT CAST(crashes AS DOUBLE) AS label, city_name_code AS city_index, {_ROUNDED}, CAST(clock AS DOUBLE) AS hour,
+  weekday_code AS weekday_index, CAST(month AS DOUBLE) AS month, weather_type_code AS weather_type_index,
+  wind_direction_code AS wind_direction_index
+FROM hourly {" ".join(f"LEFT JOIN {c}_codes USING ({c})" for c in _INDEXED)}""",
+    "unscorable_rows": f"""{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED, _HOURLY, _HOURLY_ROWS)}
+SELECT CAST(count(*) AS BIGINT) AS rows, CAST(count(*) FILTER (WHERE city_name <> 'msc') AS BIGINT) AS dropped FROM hourly""",
     "prediction_rows": f"""
 SELECT {_CITY} AS city, CAST(round(CAST(floor(value * 2) / 2 AS DOUBLE)) AS INTEGER) AS crashes,
   epoch_us(ts) AS "startDate", epoch_us(ts + INTERVAL 1 HOUR) AS "endDate"
@@ -241,12 +272,12 @@ FROM events""",
     "search_predictions": _display(_BOTH_LABELS, _RIGHT_WORD)
     + """ WHERE contains(lower(city), 'петербург') OR contains(lower(crashes), 'петербург')
   OR contains("startDate", 'петербург') OR contains("endDate", 'петербург')""",
-    "page_fields": r"""
+    "page_fields": rf"""
 WITH found AS (
   SELECT page_id, regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 's') AS title,
          regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's') AS heading FROM pages)
-SELECT page_id, trim(regexp_replace(replace(title, '&amp;', '&'), '\s+', ' ', 'g')) AS title,
-  trim(regexp_replace(replace(heading, '&amp;', '&'), '\s+', ' ', 'g')) AS heading, 'calm' AS wind_speed
+SELECT page_id, trim(regexp_replace({_decoded('title')}, '\s+', ' ', 'g')) AS title,
+  trim(regexp_replace({_decoded('heading')}, '\s+', ' ', 'g')) AS heading, 'calm' AS wind_speed
 FROM found""",
     "route_by_kind": f"""
 SELECT CASE event_type WHEN 'error' THEN 'traffic_events' ELSE 'weather_forecast' END AS crawler_type,
@@ -269,6 +300,7 @@ WHERE rn = 1""",
     "csv_append_roundtrip": f"{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED)} SELECT {_COUNT_COLUMNS} FROM counted",
     "prediction_sink_roundtrip": _LISTED,
     "stream_dedup": _STREAM_DEDUPED,
+    "stream_dedup_limited": _STREAM_DEDUPED,
     "stream_dedup_table": _STREAM_DEDUPED,
     "stream_bucket_agg": f"""{_with(_WEATHER, _BUCKETS)}
 SELECT time_interval * 900000000 AS window_start, city_name, {_ROUNDED}, weather_type, wind_direction

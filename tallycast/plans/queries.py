@@ -6,12 +6,14 @@ import functools
 from collections.abc import Callable
 from datetime import datetime, timezone
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycast import schemas
 from tallycast.functions.wording import CITY_LABELS
+from tallycast.ml import features
 from tallycast.ml.registry import ModelStore
 from tallycast.ml.scoring import score
 from tallycast.ml.training import train_forest
@@ -205,7 +207,7 @@ def calendar_rollup_all_years(spark, sf_dir):
         F.col("o_orderpriority").alias("city_name"),
         F.col("o_orderdate").cast("timestamp").alias("date"),
         F.lit(1).alias("crashes"),
-        "o_totalprice",
+        F.floor("o_totalprice").alias("o_totalprice"),  # whole numbers sum exactly in any order
         "o_orderstatus",
     )
     return rollup.calendar_rollup(orders, means=["o_totalprice"], modes=["o_orderstatus"], by_year=False, keep_day=True)
@@ -324,6 +326,25 @@ def _training_rows(spark, sf_dir) -> DataFrame:
     return cut_lineage(rollup.calendar_rollup(_run_count(spark, sf_dir), keep_day=True))
 
 
+@query
+def feature_vectors(spark, sf_dir):
+    """The assembled vectors, one column per element, with their label."""
+    rows = rollup.calendar_rollup(_run_count(spark, sf_dir))
+    fitted = features.feature_pipeline().fit(rows)
+    elements = vector_to_array("features")
+    return features.labelled(fitted, rows).select(
+        "label", *[F.get(elements, i).alias(name) for i, name in enumerate(features.FEATURE_ORDER)]
+    )
+
+
+@query
+def unscorable_rows(spark, sf_dir):
+    """Encoders that know one city only, asked about both."""
+    rows = rollup.calendar_rollup(_run_count(spark, sf_dir))
+    fitted = features.feature_pipeline("skip").fit(rows.filter(F.col("city_name") == "msc"))
+    return features.unscorable(fitted, rows)
+
+
 @query
 def forest_tuned_score(spark, sf_dir):
     trained = train_forest(_training_rows(spark, sf_dir), **_SMALL_GRID)
@@ -372,6 +393,16 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).drop("scheduler_id", "collected_at")
 
 
+@query
+def stream_dedup_limited(spark, sf_dir):
+    """Keys are forgotten 60 days after their time, longer than the table spans."""
+    out, checkpoint = work_path(spark, "dedup"), work_path(spark, "checkpoint")
+    with runs.state_partitions(spark, _state_size(spark)):
+        fresh = stateful.stateful_dedup(_land_repeated(spark, sf_dir), ["id"], "date", "60 days")
+        runs.drain(runs.begin(runs.append_files(fresh, out), checkpoint))
+    return spark.read.parquet(out).drop("scheduler_id", "collected_at")
+
+
 @query
 def stream_dedup_table(spark, sf_dir):
     """The same against the bucketed table of seen ids."""

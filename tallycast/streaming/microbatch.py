@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from tallycast import schemas
 from tallycast.operators.align import bucket_join, count_per_run
 from tallycast.operators.clean import clean_weather, flatten_events
 from tallycast.operators.dedup import first_sightings
@@ -47,21 +48,27 @@ class Tick:
     def process(self, batch: DataFrame, batch_id: int) -> None:
         """Write the results of one batch.
 
-        The cleaned inputs are stored first and read back: both results use them,
-        and a lost executor then costs a read instead of cleaning the batch again.
+        The JSON is parsed once, into a copy split by kind, and the cleaned inputs
+        are stored too. Later steps read the columns they need from those copies, so
+        a lost executor costs a read and not the work of the whole batch.
         """
-        if self.replace_recollected:
-            batch = landing.latest_per_key(batch)
+        landed = _store(batch, f"{self.out}/landed", batch_id, "crawler_type")
+        sightings, readings = (self._current(landed, kind) for kind in (schemas.TRAFFIC_KIND, schemas.WEATHER_KIND))
+
         known = self.seen.before(batch_id, batch.sparkSession)
         order = [landing.LANDED_AT, landing.LANDED_FILE]
-        fresh = first_sightings(landing.traffic_records(batch), known, ["id"], order)
+        fresh = first_sightings(landing.traffic_records(sightings), known, ["id"], order)
         events = _store(flatten_events(fresh, self.tz), f"{self.out}/events", batch_id)
-        weather = _store(clean_weather(landing.weather_records(batch), self.tz), f"{self.out}/weather", batch_id)
+        weather = _store(clean_weather(landing.weather_records(readings), self.tz), f"{self.out}/weather", batch_id)
 
         _store(bucket_join(events, weather), self.event_weather, batch_id)
         _store(count_per_run(weather, events), self.run_count, batch_id)
         self.seen.remember(events.select("id"), batch_id)
 
+    def _current(self, landed: DataFrame, kind: str) -> DataFrame:
+        envelopes = landing.only_kind(landed, kind)
+        return landing.latest_per_key(envelopes) if self.replace_recollected else envelopes
+
 
 def remember_first_sightings(stream: DataFrame, seen: SeenIds, out: str, order: list, checkpoint: str) -> StreamingQuery:
     """Cross-batch de-duplication on ``id`` against a bucketed table of seen ids.
@@ -78,11 +85,8 @@ def remember_first_sightings(stream: DataFrame, seen: SeenIds, out: str, order:
     return begin(per_batch(stream, work), checkpoint)
 
 
-def _store(df: DataFrame, path: str, batch_id: int) -> DataFrame:
-    """Write ``df`` as the data of one batch and return the written copy.
-
-    The rebalance hint lets AQE even out file sizes.
-    """
+def _store(df: DataFrame, path: str, batch_id: int, *partition_by: str) -> DataFrame:
+    """Write ``df`` as the data of one batch and return the written copy."""
     place = f"{path}/batch={batch_id}"
-    df.hint("rebalance").write.mode("overwrite").parquet(place)
+    df.write.mode("overwrite").partitionBy(*partition_by).parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)
