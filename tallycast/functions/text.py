@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 _ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}"
-_ISO_ZONE = r"(?:[Zz]|[+-]\d{2}:?\d{2}|[A-Za-z]+/[A-Za-z_]+)$"
+_ISO_ZONE = r"(?:[Zz]|UTC|GMT|[+-]\d{2}:?\d{2}|[A-Za-z_]+(?:/[A-Za-z_+-]+)+)$"
 
 
 def _col(value: Column | str) -> Column:

@@ -59,14 +59,14 @@ def shared_folder(spark: SparkSession) -> str:
     Only a local-mode session without that setting gets a temporary folder; on a
     cluster such a folder would be lost with its machine, so that is an error.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
-    folder = tempfile.mkdtemp(prefix="tallycast-")
-    spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    context = spark.sparkContext
+    folder = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not folder:
+        if not context.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by the cluster")
+        context.setCheckpointDir(tempfile.mkdtemp(prefix="tallycast-"))
+        folder = context.getCheckpointDir()
+    return folder.rstrip("/")
 
 
 def work_path(spark: SparkSession, purpose: str) -> str:
@@ -76,8 +76,8 @@ def work_path(spark: SparkSession, purpose: str) -> str:
 
 def cut_lineage(df):
     """Reliable checkpoint of ``df`` in the shared folder."""
-    spark = df.sparkSession
-    context = spark.sparkContext
+    folder = shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(spark))
+        context.setCheckpointDir(folder)
     return df.checkpoint()
