@@ -26,10 +26,14 @@ def keep_first(df: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 def drop_seen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Rows of ``df`` whose key is not in ``seen``.
 
-    Give it rows already unique per key (:func:`keep_first`): the join then has no
-    hot key. ``seen`` read from a table bucketed on ``keys`` is not shuffled.
+    Give it rows already unique per key (:func:`keep_first`): the joins then have no
+    hot key. ``seen`` is the long history and ``df`` one batch, so ``seen`` is first
+    reduced to the keys of the batch. That join can hash the batch and stream the
+    history past it, which then is neither sorted nor, if its table is bucketed on
+    ``keys``, shuffled.
     """
-    return df.join(seen.select(*keys), list(keys), "left_anti").select(*df.columns)
+    known = seen.select(*keys).join(df.select(*keys), list(keys), "left_semi")
+    return df.join(known, list(keys), "left_anti").select(*df.columns)
 
 
 def first_sightings(

@@ -9,6 +9,10 @@ from pyspark.sql import SparkSession
 
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
+#: Shuffled bytes of a join side that may be hashed. The merged partition size must
+#: not exceed it, or Spark never takes the hash join.
+_HASHED_BYTES = 64 * 1024 * 1024
+
 #: RocksDB keeps streaming state off the JVM heap, so state may outgrow memory.
 _ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
@@ -29,7 +33,9 @@ def build_session(
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_TARGET_PARTITION_BYTES),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(_HASHED_BYTES),
+        # at run time, hash a join side whose partitions all turn out small; sort otherwise
+        "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": str(_HASHED_BYTES),
         "spark.sql.streaming.stateStore.providerClass": _ROCKSDB,
         # a commit then uploads the changes of its batch, not a snapshot of the state
         "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
