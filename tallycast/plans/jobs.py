@@ -28,9 +28,9 @@ from tallycast.streaming.microbatch import Tick
 from tallycast.streaming.runs import drain
 
 
-def process(spark: SparkSession, landed: str, out: str, seen: str, checkpoint: str, tz: str = "UTC", buckets: int = 200) -> Tick:
-    """Work off everything landed since the last call."""
-    tick = Tick(out, tables.SeenIds(spark, "tallycast_seen_ids", seen, buckets), tz)
+def process(spark: SparkSession, landed: str, out: str, seen: str, checkpoint: str, tz: str = "UTC", buckets: int = 200, **settings) -> Tick:
+    """Work off everything landed since the last call; ``settings`` go to the tick."""
+    tick = Tick(out, tables.SeenIds(spark, seen, buckets), tz, **settings)
     drain(tick.start(landing.read_landing(spark, landed, streaming=True), checkpoint))
     return tick
 
@@ -57,6 +57,21 @@ def listing(spark: SparkSession, predictions: str, as_of: datetime | None = None
     return serve.search_any(serve.display_predictions(recent, compat=compat), term)
 
 
+def read_counts(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
+    """Run counts of all batches, stored as parquet or delimited text."""
+    if kind == "csv":
+        return tables.read_csv(spark, path, schemas.RUN_COUNT)
+    return spark.read.schema(schemas.RUN_COUNT).format(kind).load(path)
+
+
+def register_tables(spark: SparkSession, out: str, predictions: str | None = None) -> None:
+    """Make the stored tables available to SQL text as views."""
+    spark.read.parquet(f"{out}/event_weather").createOrReplaceTempView("event_weather")
+    read_counts(spark, f"{out}/run_count").createOrReplaceTempView("run_count")
+    if predictions is not None:
+        tables.read_predictions(spark, predictions).createOrReplaceTempView("predictions")
+
+
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="tallycast")
     kinds = parser.add_subparsers(dest="job", required=True)
@@ -71,13 +86,14 @@ def main(argv: list[str] | None = None) -> None:
         for name in names:
             command.add_argument(f"--{name}", required=True)
         command.add_argument("--tz", default="UTC")
+        command.add_argument("--format", default="parquet", help="of the result tables: parquet or csv")
     given = parser.parse_args(argv)
     spark = build_session(f"tallycast-{given.job}")
 
     if given.job == "process":
-        process(spark, given.landing, given.out, given.seen, given.checkpoint, given.tz)
+        process(spark, given.landing, given.out, given.seen, given.checkpoint, given.tz, result_format=given.format)
     elif given.job == "train":
-        train(spark, spark.read.schema(schemas.RUN_COUNT).parquet(given.counts), given.models, given.tz)
+        train(spark, read_counts(spark, given.counts, given.format), given.models, given.tz)
     elif given.job == "predict":
         readings = landing.weather_records(landing.read_landing(spark, given.landing))
         predict(spark, readings, given.models, given.predictions, given.tz)

@@ -371,8 +371,7 @@ def _state_size(spark) -> int:
 
 
 def _seen(spark, purpose: str) -> tables.SeenIds:
-    path = work_path(spark, purpose)
-    return tables.SeenIds(spark, "seen_" + path.rsplit("-", 1)[-1], path, buckets=_state_size(spark))
+    return tables.SeenIds(spark, work_path(spark, purpose), buckets=_state_size(spark))
 
 
 def _land_repeated(spark, sf_dir) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import hashlib
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -64,17 +67,23 @@ class SeenIds:
     The table is bucketed on the id, so checking a batch against it reads it in
     place and shuffles only the batch. Each batch owns a partition: writing a batch
     again replaces its ids, and a repeated batch ignores what it wrote itself.
+
+    ``buckets`` is for a new table. An existing one keeps the number it was made
+    with, which is stored beside it.
     """
 
-    def __init__(self, spark: SparkSession, table: str, path: str, buckets: int = 200):
-        self.spark, self.table, self.buckets = spark, table, buckets
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 200):
+        path = path.rstrip("/")
+        self.spark = spark
+        self.buckets = _made_with(spark, f"{path}/layout", buckets)
+        self.table = "tallycast_seen_" + hashlib.sha256(path.encode()).hexdigest()[:16]
         spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {table} (id STRING, batch BIGINT) USING parquet "
-            f"PARTITIONED BY (batch) CLUSTERED BY (id) INTO {buckets} BUCKETS LOCATION '{path}'"
+            f"CREATE TABLE IF NOT EXISTS {self.table} (id STRING, batch BIGINT) USING parquet "
+            f"PARTITIONED BY (batch) CLUSTERED BY (id) INTO {self.buckets} BUCKETS LOCATION '{path}/ids'"
         )
         # find the partitions of earlier sessions; the empty append makes sure the folder is there
-        spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(table)
-        spark.sql(f"MSCK REPAIR TABLE {table}")
+        spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(self.table)
+        spark.sql(f"MSCK REPAIR TABLE {self.table}")
 
     def before(self, batch: int, spark: SparkSession | None = None) -> DataFrame:
         """Ids remembered by earlier batches, read through ``spark`` when given."""
@@ -89,3 +98,14 @@ class SeenIds:
         rows = ids.select(F.col("id").cast("string")).repartition(self.buckets, "id")
         target = f"{self.table} PARTITION (batch = {int(batch)})"
         rows.sparkSession.sql(f"INSERT OVERWRITE {target} SELECT id FROM {{rows}}", rows=rows)
+
+
+def _made_with(spark: SparkSession, path: str, buckets: int) -> int:
+    """Bucket count recorded at ``path``; records ``buckets`` when there is none."""
+    try:
+        return spark.read.schema("buckets INT").json(path).first()["buckets"]
+    except AnalysisException as problem:
+        if problem.getCondition() != "PATH_NOT_FOUND":
+            raise
+    spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1).write.json(path)
+    return buckets

@@ -12,7 +12,7 @@ from tallycast.operators.align import bucket_join, count_per_run
 from tallycast.operators.clean import clean_weather, flatten_events
 from tallycast.operators.dedup import first_sightings
 from tallycast.sources import landing
-from tallycast.sources.tables import SeenIds
+from tallycast.sources.tables import SeenIds, append_csv
 from tallycast.streaming.runs import begin, per_batch
 
 
@@ -32,6 +32,8 @@ class Tick:
     tz: str = "UTC"
     #: False when a run may land one city and kind in several envelopes.
     replace_recollected: bool = True
+    #: ``"csv"`` writes the two result tables as delimited text with a header.
+    result_format: str = "parquet"
 
     @property
     def event_weather(self) -> str:
@@ -61,10 +63,17 @@ class Tick:
         events = _store(flatten_events(fresh, self.tz), f"{self.out}/events", batch_id)
         weather = _store(clean_weather(landing.weather_records(readings), self.tz), f"{self.out}/weather", batch_id)
 
-        _store(bucket_join(events, weather), self.event_weather, batch_id)
-        _store(count_per_run(weather, events), self.run_count, batch_id)
+        self._publish(bucket_join(events, weather), self.event_weather, batch_id)
+        self._publish(count_per_run(weather, events), self.run_count, batch_id)
         self.seen.remember(events.select("id"), batch_id)
 
+    def _publish(self, df: DataFrame, path: str, batch_id: int) -> None:
+        place = f"{path}/batch={batch_id}"
+        if self.result_format == "csv":
+            append_csv(df, place, mode="overwrite")
+        else:
+            df.write.mode("overwrite").format(self.result_format).save(place)
+
     def _current(self, landed: DataFrame, kind: str) -> DataFrame:
         envelopes = landing.only_kind(landed, kind)
         return landing.latest_per_key(envelopes) if self.replace_recollected else envelopes

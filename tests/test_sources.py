@@ -130,7 +130,7 @@ def test_predictions_append_and_require_every_field(spark, tmp_path):
 
 def test_seen_ids_replace_a_repeated_batch_and_survive_a_session(spark, tmp_path):
     path = str(tmp_path / "seen")
-    seen = tables.SeenIds(spark, "seen_a", path, buckets=4)
+    seen = tables.SeenIds(spark, path, buckets=4)
     ids = spark.createDataFrame([("x",), ("y",)], "id string")
     for _ in range(2):
         seen.remember(ids, 0)
@@ -138,12 +138,20 @@ def test_seen_ids_replace_a_repeated_batch_and_survive_a_session(spark, tmp_path
     assert sorted(r["id"] for r in seen.before(1).collect()) == ["x", "y"]
     seen.remember(spark.createDataFrame([("z",)], "id string"), 1)
     assert sorted(r["id"] for r in seen.before(2).collect()) == ["x", "y", "z"]
-    again = tables.SeenIds(spark, "seen_b", path, buckets=4)  # another catalog, same files
-    assert again.before(2).count() == 3
+    spark.sql(f"DROP TABLE {seen.table}")  # a new session has no catalog entry, only the files
+    again = tables.SeenIds(spark, path, buckets=9)
+    assert again.buckets == 4
+    assert sorted(r["id"] for r in again.before(2).collect()) == ["x", "y", "z"]
+
+
+def test_seen_ids_of_two_folders_are_apart(spark, tmp_path):
+    one, two = (tables.SeenIds(spark, str(tmp_path / name), buckets=4) for name in ("one", "two"))
+    one.remember(spark.createDataFrame([("x",)], "id string"), 0)
+    assert (one.before(1).count(), two.before(1).count()) == (1, 0)
 
 
 def test_checking_seen_ids_shuffles_only_the_batch(spark, tmp_path):
-    seen = tables.SeenIds(spark, "seen_c", str(tmp_path / "seen"), buckets=4)
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"), buckets=4)
     seen.remember(spark.createDataFrame([("x",)], "id string"), 0)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
@@ -152,6 +160,6 @@ def test_checking_seen_ids_shuffles_only_the_batch(spark, tmp_path):
         assert [r["id"] for r in fresh.collect()] == ["z"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    history = next(line for line in plan.splitlines() if "seen_c" in line)
+    history = next(line for line in plan.splitlines() if seen.table in line)
     assert "Bucketed: true" in history
     assert plan.count("Exchange hashpartitioning") == 2  # the batch and its ids; none above the history

@@ -54,7 +54,7 @@ def test_tick_works_off_what_is_new(spark, tmp_path):
 def test_a_batch_run_twice_leaves_one_result(spark, tmp_path):
     landed = tmp_path / "in"
     land(landed, "0.json", traffic("r1", ("a", 1)), reading("r1", 1, "1"))
-    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, "seen_twice", str(tmp_path / "seen"), 4))
+    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen"), 4))
     batch = landing.read_landing(spark, str(landed))
     for _ in range(2):
         tick.process(batch, 3)
@@ -74,7 +74,7 @@ def test_one_batch_equals_the_batch_operators(spark, sf_dir, tmp_path):
     landed = str(tmp_path / "in")
     landing.write_landing(views.weather_envelopes(source), landed)
     landing.write_landing(views.traffic_envelopes(source), landed)
-    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, "seen_whole", str(tmp_path / "seen"), 4), replace_recollected=False)
+    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen"), 4), replace_recollected=False)
     runs.drain(tick.start(landing.read_landing(spark, landed, streaming=True), str(tmp_path / "cp")))
 
     envelopes = landing.read_landing(spark, landed)
@@ -85,6 +85,20 @@ def test_one_batch_equals_the_batch_operators(spark, sf_dir, tmp_path):
     assert key(spark.read.parquet(tick.event_weather).drop("batch")) == key(align.bucket_join(events, weather))
 
 
+def test_results_as_delimited_text_and_as_sql_views(spark, tmp_path):
+    land(tmp_path / "in", "0.json", traffic("r1", ("a", 1), ("b", 2)), reading("r1", 1, "−1"), reading("r2", 31, "4"))
+    shared = [str(tmp_path / "in")]
+    ticks = {
+        kind: jobs.process(spark, *shared, *[str(tmp_path / f"{kind}-{n}") for n in ("out", "seen", "cp")], buckets=4, result_format=kind)
+        for kind in ("csv", "parquet")
+    }
+    key = lambda kind: sorted(map(repr, jobs.read_counts(spark, ticks[kind].run_count, kind).collect()))
+    assert key("csv") == key("parquet") and len(key("csv")) == 2
+    jobs.register_tables(spark, ticks["parquet"].out)
+    assert spark.sql("SELECT sum(crashes) FROM run_count").first()[0] == 2
+    assert spark.sql("SELECT count(*) FROM event_weather").first()[0] == 2
+
+
 def test_dedup_does_not_depend_on_how_input_is_cut_into_files(spark, sf_dir, tmp_path):
     repeated = views.traffic_repeated(views.events(spark, sf_dir))
     expected = sorted(r["id"] for r in repeated.select("id").distinct().collect())
@@ -102,7 +116,7 @@ def test_dedup_does_not_depend_on_how_input_is_cut_into_files(spark, sf_dir, tmp
                 runs.drain(runs.begin(runs.append_files(fresh, out), out + "-cp"))
             assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == expected
         out = str(tmp_path / f"table{pieces}")
-        seen = tables.SeenIds(spark, f"seen_cut_{pieces}", out + "-seen", 4)
+        seen = tables.SeenIds(spark, out + "-seen", 4)
         runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["collected_at"], out + "-cp"))
         assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == expected
 
