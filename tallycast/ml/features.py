@@ -55,7 +55,9 @@ def labelled(features: PipelineModel, df: DataFrame, label: str = "crashes") ->
     return features.transform(df).select("features", F.col(label).cast("double").alias("label"))
 
 
-def stable_split(df: DataFrame, keys: Sequence[str], ratio: float = 0.8, seed: int = SPLIT_SEED) -> tuple[DataFrame, DataFrame]:
+def stable_split(
+    df: DataFrame, keys: Sequence[str], ratio: float = 0.8, seed: int = SPLIT_SEED
+) -> tuple[DataFrame, DataFrame]:
     """Split by a hash of ``keys``: the same rows whatever the partitioning or order."""
     place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
     inside = place < int(ratio * 1_000_000)

@@ -12,7 +12,12 @@ from tallycast.operators.align import WEATHER_MEANS, WEATHER_MODES
 from tallycast.operators.summarize import summarize
 
 
-def add_calendar(df: DataFrame, ts: str = "date", tz: str | None = None, parts: Sequence[str] = ("hour", "month", "weekday")) -> DataFrame:
+def add_calendar(
+    df: DataFrame,
+    ts: str = "date",
+    tz: str | None = None,
+    parts: Sequence[str] = ("hour", "month", "weekday"),
+) -> DataFrame:
     """Add calendar columns of ``ts`` as seen in ``tz``."""
     wanted = calendar_parts(ts, tz)
     return df.withColumns({name: wanted[name] for name in parts})

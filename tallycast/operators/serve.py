@@ -23,7 +23,9 @@ DISPLAY_COLUMNS = ("city", "crashes", "startDate", "endDate")
 END_DAY = "end_day"
 
 
-def prediction_rows(scored: DataFrame, city: str = "city_name", prediction: str = "prediction", ts: str = "date") -> DataFrame:
+def prediction_rows(
+    scored: DataFrame, city: str = "city_name", prediction: str = "prediction", ts: str = "date"
+) -> DataFrame:
     """Scored readings -> predictions: count rounded half up, valid from ``ts`` on."""
     rows = scored.select(
         F.col(city).alias("city"),
@@ -39,9 +41,13 @@ def end_day(end: Column) -> Column:
     return F.date_from_unix_date(F.floor(F.unix_seconds(end) / F.lit(86400)).cast("int"))
 
 
-def recent_predictions(predictions: DataFrame, as_of: datetime | Column | None = None, days: int = LISTED_DAYS) -> DataFrame:
+def recent_predictions(
+    predictions: DataFrame, as_of: datetime | Column | None = None, days: int = LISTED_DAYS
+) -> DataFrame:
     """Predictions that ended in ``[as_of - days, as_of)``, latest first."""
-    until = F.current_timestamp() if as_of is None else as_of if isinstance(as_of, Column) else F.lit(as_of)
+    if as_of is None:
+        as_of = F.current_timestamp()
+    until = as_of if isinstance(as_of, Column) else F.lit(as_of)
     since = until - F.expr(f"INTERVAL {int(days)} DAYS")
     end = F.col("endDate")
     listed = predictions.filter((end >= since) & (end < until))

@@ -28,7 +28,16 @@ from tallycast.streaming.microbatch import Tick
 from tallycast.streaming.runs import drain
 
 
-def process(spark: SparkSession, landed: str, out: str, seen: str, checkpoint: str, tz: str = "UTC", buckets: int = 200, **settings) -> Tick:
+def process(
+    spark: SparkSession,
+    landed: str,
+    out: str,
+    seen: str,
+    checkpoint: str,
+    tz: str = "UTC",
+    buckets: int = 200,
+    **settings,
+) -> Tick:
     """Work off everything landed since the last call; ``settings`` go to the tick."""
     tick = Tick(out, tables.SeenIds(spark, seen, buckets), tz, **settings)
     drain(tick.start(landing.read_landing(spark, landed, streaming=True), checkpoint))
@@ -51,7 +60,9 @@ def predict(spark: SparkSession, readings: DataFrame, models: str, predictions:
     return True
 
 
-def listing(spark: SparkSession, predictions: str, as_of: datetime | None = None, term: str = "", compat: bool = False) -> DataFrame:
+def listing(
+    spark: SparkSession, predictions: str, as_of: datetime | None = None, term: str = "", compat: bool = False
+) -> DataFrame:
     """Recent predictions as shown to readers, optionally only those with ``term``."""
     recent = serve.recent_predictions(tables.read_predictions(spark, predictions), as_of)
     return serve.search_any(serve.display_predictions(recent, compat=compat), term)

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycast import schemas
-from tallycast.functions.wording import CITY_LABELS
+from tallycast.functions.wording import CITY_LABELS, label_of
 from tallycast.ml import features
 from tallycast.ml.registry import ModelStore
 from tallycast.ml.scoring import score
@@ -32,8 +32,6 @@ AS_OF = datetime(2024, 1, 21, 12, tzinfo=timezone.utc)
 #: Events collected before this time are "already seen" in drop_seen.
 SEEN_UNTIL = datetime(2024, 1, 16, tzinfo=timezone.utc)
 
-_MEASURES = ["humidity", "pressure", "temperature", "wind_speed"]
-
 
 def query(run: Query) -> Query:
     """Register ``run`` under its name; it runs in UTC."""
@@ -95,7 +93,9 @@ def typed_event_explode(spark, sf_dir):
 @query
 def calendar_parts(spark, sf_dir):
     orders = views.table(spark, sf_dir, "orders").select(
-        F.lit("orders").alias("source"), F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("timestamp").alias("date")
+        F.lit("orders").alias("source"),
+        F.col("o_orderkey").alias("id"),
+        F.col("o_orderdate").cast("timestamp").alias("date"),
     )
     events = views.events(spark, sf_dir).select(
         F.lit("events").alias("source"), F.col("event_id").alias("id"), F.col("ts").alias("date")
@@ -215,7 +215,8 @@ def calendar_rollup_all_years(spark, sf_dir):
 
 @query
 def rmse(spark, sf_dir):
-    lineitem = views.table(spark, sf_dir, "lineitem").select("l_quantity", (F.col("l_extendedprice") / 1000).alias("scaled_price"))
+    scaled = (F.col("l_extendedprice") / 1000).alias("scaled_price")
+    lineitem = views.table(spark, sf_dir, "lineitem").select("l_quantity", scaled)
     return summarize.root_mean_square_error(lineitem, "l_quantity", "scaled_price")
 
 
@@ -277,11 +278,12 @@ def route_by_kind(spark, sf_dir):
     """Event types become record kinds; three of the five are of no known kind."""
     kinds = {"error": schemas.TRAFFIC_KIND, "view": schemas.WEATHER_KIND}
     source = views.events(spark, sf_dir)
-    reading = [F.lit(None).cast(f.dataType).alias(f.name) for f in schemas.ANY_PAYLOAD.fields if f.name != "city_name"]
+    others = [f for f in schemas.ANY_PAYLOAD.fields if f.name != "city_name"]
+    reading = [F.lit(None).cast(f.dataType).alias(f.name) for f in others]
     city = F.when(F.col("user_id") % 2 == 0, "msc").otherwise("spb").alias("city_name")
     envelopes = source.select(
         F.col("event_id").cast("string").alias("scheduler_id"),
-        F.coalesce(*[F.when(F.col("event_type") == t, k) for t, k in kinds.items()], F.col("event_type")).alias("crawler_type"),
+        label_of(F.col("event_type"), kinds).alias("crawler_type"),
         F.struct(city, *reading).alias("data"),
     )
     branches = [landing.only_kind(envelopes, kind) for kind in kinds.values()]
@@ -420,7 +422,8 @@ def stream_bucket_agg(spark, sf_dir):
         closed = stateful.bucket_weather_stream(readings)
         runs.drain(runs.begin(runs.append_files(closed, out), checkpoint))
     stored = spark.read.parquet(out)
-    return stored.select(F.col("window.start").alias("window_start"), "city_name", *_MEASURES, "weather_type", "wind_direction")
+    start = F.col("window.start").alias("window_start")
+    return stored.select(start, "city_name", *align.WEATHER_MEANS, *align.WEATHER_MODES)
 
 
 @query

@@ -128,7 +128,8 @@ def traffic_envelopes(source: DataFrame) -> DataFrame:
     """Landing envelopes of :func:`raw_events`, one event each."""
     event = F.struct(*[F.col(name) for name in schemas.RAW_EVENT.names])
     data = F.struct("city_name", F.array(event).alias("events"))
-    return raw_events(source).select("scheduler_id", F.lit(schemas.TRAFFIC_KIND).alias("crawler_type"), data.alias("data"))
+    kind = F.lit(schemas.TRAFFIC_KIND).alias("crawler_type")
+    return raw_events(source).select("scheduler_id", kind, data.alias("data"))
 
 
 def weather_envelopes(source: DataFrame, malformed: bool = True) -> DataFrame:

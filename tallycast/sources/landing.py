@@ -14,7 +14,9 @@ from tallycast.operators.dedup import keep_first
 LANDED_AT, LANDED_FILE = "landed_at", "landed_file"
 
 
-def read_landing(spark: SparkSession, path: str, kind: str | None = None, streaming: bool = False, **options) -> DataFrame:
+def read_landing(
+    spark: SparkSession, path: str, kind: str | None = None, streaming: bool = False, **options
+) -> DataFrame:
     """Envelopes below ``path`` with the file each came from and its time.
 
     ``kind=None`` reads both kinds with a payload schema that covers either.

@@ -74,16 +74,20 @@ class SeenIds:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 200):
         path = path.rstrip("/")
+        recorded = _recorded_buckets(spark, f"{path}/layout")
         self.spark = spark
-        self.buckets = _made_with(spark, f"{path}/layout", buckets)
+        self.buckets = recorded or buckets
         self.table = "tallycast_seen_" + hashlib.sha256(path.encode()).hexdigest()[:16]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (id STRING, batch BIGINT) USING parquet "
             f"PARTITIONED BY (batch) CLUSTERED BY (id) INTO {self.buckets} BUCKETS LOCATION '{path}/ids'"
         )
-        # find the partitions of earlier sessions; the empty append makes sure the folder is there
-        spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(self.table)
-        spark.sql(f"MSCK REPAIR TABLE {self.table}")
+        if recorded:
+            spark.sql(f"MSCK REPAIR TABLE {self.table}")  # partitions of earlier sessions
+        else:
+            spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(self.table)  # makes the folder
+            layout = spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1)
+            layout.write.mode("overwrite").json(f"{path}/layout")
 
     def before(self, batch: int, spark: SparkSession | None = None) -> DataFrame:
         """Ids remembered by earlier batches, read through ``spark`` when given."""
@@ -100,12 +104,12 @@ class SeenIds:
         rows.sparkSession.sql(f"INSERT OVERWRITE {target} SELECT id FROM {{rows}}", rows=rows)
 
 
-def _made_with(spark: SparkSession, path: str, buckets: int) -> int:
-    """Bucket count recorded at ``path``; records ``buckets`` when there is none."""
+def _recorded_buckets(spark: SparkSession, path: str) -> int | None:
+    """Bucket count of an existing table."""
     try:
-        return spark.read.schema("buckets INT").json(path).first()["buckets"]
+        row = spark.read.schema("buckets INT").json(path).first()
     except AnalysisException as problem:
         if problem.getCondition() != "PATH_NOT_FOUND":
             raise
-    spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1).write.json(path)
-    return buckets
+        return None
+    return row["buckets"] if row else None

@@ -79,7 +79,9 @@ class Tick:
         return landing.latest_per_key(envelopes) if self.replace_recollected else envelopes
 
 
-def remember_first_sightings(stream: DataFrame, seen: SeenIds, out: str, order: list, checkpoint: str) -> StreamingQuery:
+def remember_first_sightings(
+    stream: DataFrame, seen: SeenIds, out: str, order: list, checkpoint: str
+) -> StreamingQuery:
     """Cross-batch de-duplication on ``id`` against a bucketed table of seen ids.
 
     Copies are reduced inside the tasks that read them, so an id with a large share

@@ -150,3 +150,41 @@ def test_train_predict_and_list(spark, sf_dir, tmp_path):
     runs.drain(stateful.start_scoring(ModelStore(spark, models), stream, out, str(tmp_path / "cp")))
     key = lambda path: sorted(map(repr, tables.read_predictions(spark, path).collect()))
     assert key(out) == key(stored)
+
+
+def in_time_order(spark, frame, folder, pieces=3):
+    """Land ``frame`` as files whose order is the order of their times; one per trigger."""
+    folder.mkdir()
+    rows = frame.orderBy("date").toPandas()
+    size = -(-len(rows) // pieces)
+    for n in range(pieces):
+        rows.iloc[n * size : (n + 1) * size].to_parquet(folder / f"{n}.parquet", coerce_timestamps="us", allow_truncated_timestamps=True)
+    return spark.readStream.schema(frame.schema).option("maxFilesPerTrigger", 1).parquet(str(folder))
+
+
+def test_windows_of_files_in_time_order_equal_the_batch(spark, sf_dir, tmp_path):
+    source = views.events(spark, sf_dir)
+    readings = views.weather(source).drop("event_id")
+    out = str(tmp_path / "out")
+    with runs.state_partitions(spark, 2):
+        closed = stateful.bucket_weather_stream(in_time_order(spark, readings, tmp_path / "in"))
+        runs.drain(runs.begin(runs.append_files(closed, out), str(tmp_path / "cp")))
+    key = lambda df: sorted(map(repr, df.collect()))
+    bucket = (F.unix_seconds("window.start") / 900).cast("bigint").alias("time_interval")
+    columns = ["city_name", *[F.round(c, 6).alias(c) for c in align.WEATHER_MEANS], *align.WEATHER_MODES]
+    batch = align.bucket_weather(readings)
+    limit = readings.select(F.max("date") - F.expr("INTERVAL 300 SECONDS")).first()[0].timestamp()
+    finished = batch.filter((F.col("time_interval") + 1) * 900 <= F.lit(limit))
+    assert key(spark.read.parquet(out).select(bucket, *columns)) == key(finished.select("time_interval", *columns))
+
+
+def test_slices_do_not_change_the_joined_rows(spark, sf_dir, tmp_path):
+    source = views.events_stream(spark, sf_dir)
+    found = []
+    for slices in (1, 5):
+        out = str(tmp_path / f"out{slices}")
+        with runs.state_partitions(spark, 2):
+            joined = stateful.bucket_join_stream(views.traffic(source), views.weather(source), slices=slices)
+            runs.drain(runs.begin(runs.append_files(joined, out), f"{out}-cp"))
+        found.append(sorted(map(repr, spark.read.parquet(out).collect())))
+    assert found[0] == found[1] and found[0]
