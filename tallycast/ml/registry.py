@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallycast.session import read_json_if_present
+
 FIRST, BETTER, KEPT = 0, 1, -1
 
 _LEDGER = "version BIGINT, path STRING, decision INT, new_rmse DOUBLE, old_rmse DOUBLE"
@@ -30,12 +31,7 @@ class ModelStore:
 
     def ledger(self) -> DataFrame | None:
         """All decisions taken, or None before the first."""
-        try:
-            return self.spark.read.schema(_LEDGER).json(self._ledger_path)
-        except AnalysisException as problem:
-            if problem.getCondition() == "PATH_NOT_FOUND":
-                return None
-            raise
+        return read_json_if_present(self.spark, self._ledger_path, _LEDGER)
 
     def current(self) -> tuple[int, str] | None:
         """Version number and path of the model in use."""

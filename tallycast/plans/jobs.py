@@ -96,8 +96,10 @@ def main(argv: list[str] | None = None) -> None:
         command = kinds.add_parser(job)
         for name in names:
             command.add_argument(f"--{name}", required=True)
-        command.add_argument("--tz", default="UTC")
+        command.add_argument("--tz", default="UTC", help="of zoneless times and calendar parts")
         command.add_argument("--format", default="parquet", help="of the result tables: parquet or csv")
+    kinds.choices["list"].add_argument("--as-of", type=datetime.fromisoformat, help="default: now")
+    kinds.choices["list"].add_argument("--search", default="")
     given = parser.parse_args(argv)
     spark = build_session(f"tallycast-{given.job}")
 
@@ -109,7 +111,7 @@ def main(argv: list[str] | None = None) -> None:
         readings = landing.weather_records(landing.read_landing(spark, given.landing))
         predict(spark, readings, given.models, given.predictions, given.tz)
     else:
-        listing(spark, given.predictions).show(truncate=False)
+        listing(spark, given.predictions, given.as_of, given.search).show(truncate=False)
 
 
 if __name__ == "__main__":

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 
 _TARGET_PARTITION_BYTES = 128 * 1024 * 1024
 
@@ -80,10 +81,23 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tallycast/{purpose}-{uuid.uuid4().hex}"
 
 
-def cut_lineage(df):
+def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder."""
     folder = shared_folder(df.sparkSession)
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
         context.setCheckpointDir(folder)
     return df.checkpoint()
+
+
+def read_json_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
+    """JSON table at ``path``, None when nothing was written there yet.
+
+    Spark logs a warning with a stack trace for a missing path; it has no effect.
+    """
+    try:
+        return spark.read.schema(schema).json(path)
+    except AnalysisException as problem:
+        if problem.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise

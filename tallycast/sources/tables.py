@@ -4,13 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycast import schemas
 from tallycast.operators.serve import END_DAY, end_day
+from tallycast.session import read_json_if_present
 
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -74,7 +74,8 @@ class SeenIds:
 
     def __init__(self, spark: SparkSession, path: str, buckets: int = 200):
         path = path.rstrip("/")
-        recorded = _recorded_buckets(spark, f"{path}/layout")
+        layout = read_json_if_present(spark, f"{path}/layout", "buckets INT")
+        recorded = None if layout is None else layout.agg(F.max("buckets")).first()[0]
         self.spark = spark
         self.buckets = recorded or buckets
         self.table = "tallycast_seen_" + hashlib.sha256(path.encode()).hexdigest()[:16]
@@ -102,14 +103,3 @@ class SeenIds:
         rows = ids.select(F.col("id").cast("string")).repartition(self.buckets, "id")
         target = f"{self.table} PARTITION (batch = {int(batch)})"
         rows.sparkSession.sql(f"INSERT OVERWRITE {target} SELECT id FROM {{rows}}", rows=rows)
-
-
-def _recorded_buckets(spark: SparkSession, path: str) -> int | None:
-    """Bucket count of an existing table."""
-    try:
-        row = spark.read.schema("buckets INT").json(path).first()
-    except AnalysisException as problem:
-        if problem.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-    return row["buckets"] if row else None
