@@ -40,13 +40,15 @@ def extract_page_fields(df: DataFrame, mapping: Mapping[str, tuple[str, str]], h
 
 def _steps(selector: str) -> list[tuple[str, str, frozenset[str]]]:
     """``'div.a #b'`` -> [('div', '', {'a'}), ('', 'b', {})]."""
-    if not selector.split() or set(selector) & set(">+~[]:*,\"'"):
-        raise ValueError(f"not a simple selector: {selector!r}")
     steps = []
     for part in selector.split():
-        head, *classes = part.split(".")
-        tag, _, ident = head.partition("#")
-        steps.append((tag.lower(), ident, frozenset(classes)))
+        if not re.fullmatch(r"[\w-]*(?:[.#][\w-]+)*", part):
+            raise ValueError(f"not a simple selector: {selector!r}")
+        tag = re.match(r"[\w-]*", part).group()
+        ident = "".join(re.findall(r"#([\w-]+)", part)[-1:])
+        steps.append((tag.lower(), ident, frozenset(re.findall(r"\.([\w-]+)", part))))
+    if not steps:
+        raise ValueError("empty selector")
     return steps
 
 

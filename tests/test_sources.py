@@ -82,6 +82,10 @@ PAGE = """<html><head><title> A &amp;
         ("div.absent", "none"),
         ("div.empty", ""),
         ("p#sky", "none"),
+        ("div.card#none", "none"),
+        ("div#sky", "snow"),
+        ("a[href]", ValueError),
+        ("", ValueError),
     ],
 )
 def test_page_fields(spark, selector, expected):
