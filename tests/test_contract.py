@@ -1,5 +1,7 @@
 """Every named query against its SQL, on the smallest tables."""
 
+import re
+
 import duckdb
 import pandas as pd
 import pytest
@@ -22,7 +24,11 @@ def rows(frame):
     return sorted((tuple(None if pd.isna(v) else v for v in row) for row in frame.itertuples(index=False, name=None)), key=repr)
 
 
-@pytest.mark.parametrize("name", sorted(contract.queries()))
+#: The text operators have tests of their own.
+NAMES = sorted(n for n in contract.queries() if n != "pipeline" and not re.match(r"op\d+_", n))
+
+
+@pytest.mark.parametrize("name", NAMES)
 def test_query(spark, sf_dir, duck, name):
     ours = contract.queries()[name](spark, sf_dir).toPandas()
     sql = contract.oracle_sql().get(name)
@@ -36,7 +42,7 @@ def test_query(spark, sf_dir, duck, name):
 
 def test_only_known_queries_have_sql():
     assert set(contract.oracle_sql()) <= set(contract.queries())
-    assert set(contract.queries()) - set(contract.oracle_sql()) == {"forest_tuned_score", "promotion_decision", "stream_score"}
+    assert set(NAMES) - set(contract.oracle_sql()) == {"forest_tuned_score", "promotion_decision", "stream_score"}
 
 
 def test_entry(spark):
