@@ -104,6 +104,17 @@ def _follow(pointers: DataFrame) -> DataFrame:
         )
 
 
+def filter_late(df: DataFrame, condition: str) -> DataFrame:
+    """Rows where the column ``condition`` is true, without moving the filter down.
+
+    A filter on a column is pushed below the projection that makes it, with the whole
+    expression written out once per use. A column that the optimizer may not evaluate twice
+    keeps it in place.
+    """
+    kept = df.withColumn("__late", F.monotonically_increasing_id())
+    return kept.filter(F.col(condition) & (F.col("__late") >= 0)).drop("__late")
+
+
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of ``value``, which is evaluated once however often it is used.
 

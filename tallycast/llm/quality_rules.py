@@ -14,7 +14,7 @@ import json
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.llm.common import SPACES, document_columns, let, table, word_array
+from tallycast.llm.common import SPACES, document_columns, filter_late, let, table, word_array
 from tallycast.session import cut_lineage
 
 # Fixed values of the contract.
@@ -235,4 +235,4 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     """The documents that pass; columns of documents."""
     rows = document_columns(docs)
     judged = judge(rows, learn_references(rows))
-    return judged.filter("kept").select(*rows.columns)
+    return filter_late(judged, "kept").select(*rows.columns)
