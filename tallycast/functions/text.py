@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}:\d{2}"
-_ISO_ZONE = r"(?:[Zz]|UTC|GMT|[+-]\d{2}:?\d{2}|[A-Za-z_]+(?:/[A-Za-z_+-]+)+)$"
+#: A date comes first; a time of day alone would be read as one of today.
+_DATED = r"^\s*[+-]?\d{4,6}(?:-|\s*$)"
+#: A zone can only follow a time of day; what ends a bare date is its day.
+_ZONED = (
+    r"[T ]\d{1,2}(?::\d{1,2}){0,2}(?:\.\d*)?\s*"
+    r"(?:[Zz]|(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|UTC|GMT|UT|[A-Za-z_]+(?:/[A-Za-z_+-]+)+)\s*$"
+)
 
 
 def _col(value: Column | str) -> Column:
@@ -34,14 +39,16 @@ def comma_decimal(text: Column | str) -> Column:
 
 
 def iso_time(text: Column | str, tz: str = "UTC") -> Column:
-    """ISO date-time text -> timestamp, with or without fraction and zone.
+    """ISO date or date-time text -> timestamp, as a cast reads it; NULL if it cannot.
 
-    ``tz`` is the zone of text that names none. It is written into the text, so
-    the result does not depend on the session time zone.
+    Seconds, minutes, the fraction and the zone may be missing. ``tz`` is the zone of
+    text that names none. It is written into the text, so the result does not depend
+    on the session time zone.
     """
     text = _col(text)
-    zoned = F.when(text.rlike(_ISO_ZONE), text).otherwise(F.concat(text, F.lit(f" {tz}")))
-    return F.when(text.rlike(_ISO_SHAPE), F.try_to_timestamp(zoned))
+    local = F.date_format(text.try_cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    zoned = F.when(text.rlike(_ZONED), text).otherwise(F.concat(local, F.lit(f" {tz}")))
+    return F.when(text.rlike(_DATED), F.try_to_timestamp(zoned))
 
 
 def epoch_or_iso_time(text: Column | str, tz: str = "UTC") -> Column:

@@ -31,12 +31,13 @@ FEATURE_ORDER = (
 SPLIT_SEED = 2022
 
 
-def feature_pipeline(handle_invalid: str = "keep", missing_numbers: str = "skip") -> Pipeline:
+def feature_pipeline(handle_invalid: str = "keep", missing_numbers: str = "error") -> Pipeline:
     """Indexers and assembler.
 
     ``handle_invalid='keep'`` gives unseen and absent categories a code of their
     own, so the row is still scored; ``'skip'`` leaves such rows out. Rows lacking a
-    number cannot be scored and follow ``missing_numbers`` (``'skip'`` or ``'error'``).
+    number cannot be scored: they fail, or are left out where ``missing_numbers`` is
+    ``'skip'``; :func:`unscorable` counts them.
     """
     indexer = StringIndexer(
         inputCols=list(CATEGORIES), outputCols=list(CATEGORIES.values()), handleInvalid=handle_invalid
@@ -45,9 +46,15 @@ def feature_pipeline(handle_invalid: str = "keep", missing_numbers: str = "skip"
     return Pipeline(stages=[indexer, assembler])
 
 
-def needed_bins(features: PipelineModel, least: int = 32) -> int:
-    """``maxBins`` a tree needs for the largest category, unseen code included."""
-    return max(least, *[len(labels) + 1 for labels in features.stages[0].labelsArray])
+def check_bins(features: PipelineModel, max_bins: int) -> None:
+    """Fail if a category has more values, unseen code included, than a tree may have bins.
+
+    The number is the caller's: it also sets how finely numbers are binned, so it must
+    not change because a category appears.
+    """
+    for column, labels in zip(CATEGORIES, features.stages[0].labelsArray):
+        if len(labels) + 1 > max_bins:
+            raise ValueError(f"{column} has {len(labels)} values; max_bins={max_bins} is too small for them")
 
 
 def labelled(features: PipelineModel, df: DataFrame, label: str = "crashes") -> DataFrame:
@@ -72,10 +79,13 @@ def random_split(df: DataFrame, ratio: float = 0.8, seed: int = SPLIT_SEED) -> t
 
 def unscorable(features: PipelineModel, df: DataFrame) -> DataFrame:
     """One row, ``rows`` and ``dropped``: what the pipeline would leave out of ``df``."""
-    known = {column: set(labels) for column, labels in zip(CATEGORIES, features.stages[0].labelsArray)}
     numbers = [c for c in FEATURE_ORDER if c not in CATEGORIES.values()]
     lost = F.greatest(*[F.col(c).isNull() for c in numbers])
-    if features.stages[0].getHandleInvalid() == "skip":
-        unseen = [~F.coalesce(F.col(c).isin(*labels), F.lit(False)) for c, labels in known.items()]
-        lost = F.greatest(lost, *unseen)
+    indexer = features.stages[0]
+    if indexer.getHandleInvalid() == "skip":
+        # encoded with a code for everything unknown: the one after the last label
+        keeping = indexer.copy().setHandleInvalid("keep")
+        df = keeping.transform(df)
+        codes = zip(CATEGORIES.values(), keeping.labelsArray)
+        lost = F.greatest(lost, *[F.col(code) >= len(labels) for code, labels in codes])
     return df.agg(F.count(F.lit(1)).alias("rows"), F.count_if(lost).alias("dropped"))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -10,7 +12,7 @@ from tallycast.session import read_json_if_present
 
 FIRST, BETTER, KEPT = 0, 1, -1
 
-_LEDGER = "version BIGINT, path STRING, decision INT, new_rmse DOUBLE, old_rmse DOUBLE"
+_LEDGER = "version BIGINT, path STRING, decision INT, new_rmse DOUBLE, old_rmse DOUBLE, tz STRING"
 
 
 class ModelStore:
@@ -52,7 +54,16 @@ class ModelStore:
             raise FileNotFoundError(f"no model saved in {self.path}")
         return PipelineModel.load(current[1])
 
-    def promote_if_better(self, model: PipelineModel, held_out: DataFrame, label: str = "crashes") -> int:
+    def zone(self) -> str | None:
+        """Zone of the calendar parts that the model in use was trained on."""
+        current = self.current()
+        if current is None:
+            return None
+        return self.ledger().filter(F.col("path") == current[1]).agg(F.max("tz")).first()[0]
+
+    def promote_if_better(
+        self, model: PipelineModel, held_out: DataFrame, label: str = "crashes", tz: str | None = None
+    ) -> int:
         """Save ``model`` if it is the first (0) or has lower RMSE than the current
         one on ``held_out`` (1); otherwise, also on a tie, keep the current one (-1).
         """
@@ -65,10 +76,11 @@ class ModelStore:
             comparable = new_rmse is not None and old_rmse is not None
             decision = BETTER if comparable and new_rmse < old_rmse else KEPT
         version = 1 if current is None else current[0] + (decision == BETTER)
-        path = f"{self.path}/versions/v{version:06d}"
+        # a name of its own: two trainers at once never write one folder
+        path = f"{self.path}/versions/v{version:06d}-{uuid.uuid4().hex[:12]}"
         if decision != KEPT:
-            model.write().overwrite().save(path)
-        entry = [(version, path, decision, new_rmse, old_rmse)]
+            model.write().save(path)
+        entry = [(version, path, decision, new_rmse, old_rmse, tz)]
         self.spark.createDataFrame(entry, _LEDGER).coalesce(1).write.mode("append").json(self._ledger_path)
         return decision
 

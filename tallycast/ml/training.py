@@ -12,12 +12,15 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.ml.tuning import ParamGridBuilder, TrainValidationSplit, TrainValidationSplitModel
 from pyspark.sql import DataFrame
 
-from tallycast.ml.features import SPLIT_SEED, feature_pipeline, labelled, needed_bins, stable_split
+from tallycast.ml.features import SPLIT_SEED, check_bins, feature_pipeline, labelled, stable_split, unscorable
 
 # ---- fixed values: the search grid
 TREE_COUNTS = (2, 3, 4, 5)
 TREE_DEPTHS = (5, 6, 7, 8)
 
+#: Bins of a tree: at least the values of the largest category and one more.
+MAX_BINS = 128
+
 ROW_KEYS = ("city_name", "year", "day_of_year", "hour")
 
 
@@ -28,11 +31,13 @@ class Trained:
     model: PipelineModel
     held_out: DataFrame
     metrics: list[float]
+    #: Rows that lack a number and so are in no part.
+    left_out: int = 0
 
 
 def tune_forest(
     train: DataFrame,
-    max_bins: int = 32,
+    max_bins: int = MAX_BINS,
     tree_counts: Sequence[int] = TREE_COUNTS,
     depths: Sequence[int] = TREE_DEPTHS,
     ratio: float = 0.8,
@@ -63,6 +68,7 @@ def train_forest(
     ratio: float = 0.8,
     handle_invalid: str = "keep",
     seed: int = SPLIT_SEED,
+    max_bins: int = MAX_BINS,
     **tuning,
 ) -> Trained:
     """Fit encoders on ``hourly``, tune on its training part, keep the rest aside.
@@ -71,10 +77,12 @@ def train_forest(
     scoring uses the codes of training. Runs jobs that read ``hourly`` several
     times: give it a stored table or a frame whose lineage is cut.
     """
-    features = feature_pipeline(handle_invalid).fit(hourly)
+    features = feature_pipeline(handle_invalid, missing_numbers="skip").fit(hourly)
+    check_bins(features, max_bins)
+    left_out = unscorable(features, hourly).first()["dropped"]
     train, held_out = stable_split(hourly, keys, ratio, seed)
     vectors = labelled(features, train).persist(StorageLevel.MEMORY_AND_DISK)
-    tuned = tune_forest(vectors, needed_bins(features), ratio=ratio, seed=seed, **tuning)
+    tuned = tune_forest(vectors, max_bins, ratio=ratio, seed=seed, **tuning)
     vectors.unpersist()
     model = PipelineModel([*features.stages, tuned.bestModel])
-    return Trained(model, held_out, tuned.validationMetrics)
+    return Trained(model, held_out, tuned.validationMetrics, left_out)

@@ -8,7 +8,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast.functions.timeparts import time_bucket
-from tallycast.operators.skew import ROWS_PER_TASK, split_join
 from tallycast.operators.summarize import summarize, zero_filled_count
 
 # ---- fixed values: bucket width, lateness tolerance, averaged and voted columns
@@ -21,7 +20,7 @@ WEATHER_MODES = ("weather_type", "wind_direction")
 #: these columns share their partitioning.
 RUN_KEYS = ("city_name", "scheduler_id")
 
-_BUCKET = "time_interval"
+_BUCKET, _KEY = "time_interval", "__key"
 
 
 def bucket_weather(
@@ -45,17 +44,20 @@ def bucket_join(
     seconds: int = BUCKET_SECONDS,
     means: Sequence[str] = WEATHER_MEANS,
     modes: Sequence[str] = WEATHER_MODES,
-    rows_per_task: int = ROWS_PER_TASK,
 ) -> DataFrame:
     """Every event with the weather of its own bucket; events without any are left out.
 
-    The weather side comes out of an aggregation on the join keys, which keeps AQE
-    from splitting a skewed partition by itself, hence the explicit split.
+    The weather side comes out of an aggregation on the join keys, whose partitions
+    AQE may not split. Joining on one struct of the keys gives that side a shuffle of
+    its own, so AQE splits a hot bucket by itself. Rows with a NULL key match nothing
+    and are dropped first: structs of NULLs would be equal.
     """
     weather = bucket_weather(readings, keys, ts, seconds, means, modes)
     kept = [name for name in events.columns if name != "scheduler_id"]
     placed = events.select(*kept).withColumn(_BUCKET, time_bucket(ts, seconds))
-    joined = split_join(placed, weather, [_BUCKET, *keys], "inner", rows_per_task)
+    key = F.struct(_BUCKET, *keys).alias(_KEY)
+    sides = [side.dropna(subset=[_BUCKET, *keys]) for side in (placed, weather)]
+    joined = sides[0].select(*kept, key).join(sides[1].select(*means, *modes, key), _KEY)
     return joined.select(*kept, *means, *modes)
 
 

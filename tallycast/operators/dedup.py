@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallycast.session import cut_lineage
+
 _RANK = "__rank"
 
 
@@ -39,5 +41,8 @@ def drop_seen(df: DataFrame, seen: DataFrame, keys: Sequence[str]) -> DataFrame:
 def first_sightings(
     df: DataFrame, seen: DataFrame, keys: Sequence[str], order: Sequence[Column | str]
 ) -> DataFrame:
-    """Rows to process from this batch: the first of every key never seen before."""
-    return drop_seen(keep_first(df, keys, order), seen, keys)
+    """Rows to process from this batch: the first of every key never seen before.
+
+    The first rows are checkpointed, so the batch is evaluated once.
+    """
+    return drop_seen(cut_lineage(keep_first(df, keys, order)), seen, keys)

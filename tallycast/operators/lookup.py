@@ -3,25 +3,26 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from tallycast.operators.skew import ROWS_PER_TASK, pack_copies, split_join, unpack_copies
+MATCHED = "matched"
 
 
-def lookup_records(
-    messages: DataFrame,
-    records: DataFrame,
-    message_key: str = "cache_id",
-    record_key: str = "key",
-    rows_per_task: int = ROWS_PER_TASK,
-) -> tuple[DataFrame, DataFrame]:
-    """``(found, missing)``: messages with their record, and messages without one.
+def look_up(messages: DataFrame, records: DataFrame, message_key: str = "cache_id", record_key: str = "key") -> DataFrame:
+    """Every message with the fields of its record, NULL without one, and ``matched``.
 
-    ``records`` is unique per key. A repeated message repeats its record. Repeats
-    travel through the join as counted slices and are restored after it.
+    ``records`` is unique per key. A repeated message repeats its record. One left
+    join of two plain inputs: AQE splits a key that holds most of the messages.
     """
-    keyed = records.withColumnRenamed(record_key, message_key)
-    packed = pack_copies(messages)
-    found = unpack_copies(split_join(packed, keyed, [message_key], "inner", rows_per_task))
-    missing = unpack_copies(packed.join(keyed.select(message_key), [message_key], "left_anti"))
-    fields = [name for name in keyed.columns if name != message_key]
-    return found.select(*messages.columns, *fields), missing.select(*messages.columns)
+    keyed = records.withColumnRenamed(record_key, message_key).withColumn(MATCHED, F.lit(True))
+    fields = [name for name in keyed.columns if name not in (message_key, MATCHED)]
+    joined = messages.join(keyed, message_key, "left")
+    return joined.select(*messages.columns, *fields, F.coalesce(MATCHED, F.lit(False)).alias(MATCHED))
+
+
+def lookup_records(
+    messages: DataFrame, records: DataFrame, message_key: str = "cache_id", record_key: str = "key"
+) -> tuple[DataFrame, DataFrame]:
+    """``(found, missing)``: messages with their record, and messages without one."""
+    joined = look_up(messages, records, message_key, record_key)
+    return joined.filter(MATCHED).drop(MATCHED), joined.filter(~F.col(MATCHED)).select(*messages.columns)

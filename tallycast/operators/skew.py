@@ -1,4 +1,7 @@
-"""Joins of many rows to few when single keys may hold a large share of the rows."""
+"""Joins of many rows to few when single keys may hold a large share of the rows.
+
+For plans that AQE cannot split by itself; the operators here are shaped so that it can.
+"""
 
 from __future__ import annotations
 
@@ -15,7 +18,7 @@ ROWS_PER_TASK = 2_000_000
 #: Slices for rows whose key is NULL; they match nothing, so any number is right.
 _NULL_SLICES = 4096
 
-_SALT, _COPIES, _SIZE, _SLICE = "__salt", "__copies", "__size", "__slice"
+_SALT, _COPIES = "__salt", "__copies"
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], rows_per_task: int = ROWS_PER_TASK) -> DataFrame:
@@ -49,8 +52,7 @@ def split_join(
     if how not in ("inner", "left"):
         raise ValueError(f"split_join does inner and left joins, not {how!r}")
     keys = list(keys)
-    # broadcast: bounded by count(many) / rows_per_task, see hot_keys
-    hot = F.broadcast(hot_keys(many, keys, rows_per_task))
+    hot = hot_keys(many, keys, rows_per_task)
 
     no_key = reduce(or_, [F.col(key).isNull() for key in keys])
     slices = F.when(no_key, _NULL_SLICES).otherwise(F.coalesce(F.col(_COPIES), F.lit(1)))
@@ -62,22 +64,3 @@ def split_join(
         *few.columns, F.explode(F.sequence(F.lit(0).cast("bigint"), copies - 1)).alias(_SALT)
     )
     return sliced.join(copied, [*keys, _SALT], how).drop(_SALT)
-
-
-def pack_copies(df: DataFrame, rows_per_slice: int = 1_000_000) -> DataFrame:
-    """Identical rows -> a few numbered rows with the count each stands for.
-
-    The inverse is :func:`unpack_copies`. A group of copies turns into slices that
-    differ in number, so :func:`split_join` can spread them.
-    """
-    counted = df.groupBy(*df.columns).agg(F.count(F.lit(1)).alias(_SIZE))
-    last = F.floor((F.col(_SIZE) - 1) / F.lit(rows_per_slice))
-    return counted.withColumn(_SLICE, F.explode(F.sequence(F.lit(0).cast("bigint"), last))).withColumn(
-        _SIZE, F.least(F.lit(rows_per_slice), F.col(_SIZE) - F.col(_SLICE) * rows_per_slice).cast("int")
-    )
-
-
-def unpack_copies(df: DataFrame) -> DataFrame:
-    """Restore the copies that :func:`pack_copies` counted."""
-    names = [name for name in df.columns if name not in (_SIZE, _SLICE)]
-    return df.select(*names, F.explode(F.sequence(F.lit(1), F.col(_SIZE))).alias(_SLICE)).drop(_SLICE)

@@ -4,7 +4,7 @@ Run as::
 
     python -m tallycast.plans.jobs process --landing L --out O --seen S --checkpoint C
     python -m tallycast.plans.jobs train   --counts O/run_count --models M
-    python -m tallycast.plans.jobs predict --landing R --models M --predictions P
+    python -m tallycast.plans.jobs predict --landing R --models M --predictions P --checkpoint D
     python -m tallycast.plans.jobs list    --predictions P
 """
 
@@ -17,15 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tallycast import schemas
 from tallycast.ml.registry import ModelStore
-from tallycast.ml.scoring import score
 from tallycast.ml.training import train_forest
 from tallycast.operators import serve
-from tallycast.operators.clean import type_weather
 from tallycast.operators.rollup import calendar_rollup
 from tallycast.session import build_session, cut_lineage
 from tallycast.sources import landing, tables
 from tallycast.streaming.microbatch import Tick
 from tallycast.streaming.runs import drain
+from tallycast.streaming.stateful import observed, start_scoring
 
 
 def process(
@@ -35,12 +34,15 @@ def process(
     seen: str,
     checkpoint: str,
     tz: str = "UTC",
-    buckets: int = 200,
+    every: str | None = None,
     **settings,
 ) -> Tick:
-    """Work off everything landed since the last call; ``settings`` go to the tick."""
-    tick = Tick(out, tables.SeenIds(spark, seen, buckets), tz, **settings)
-    drain(tick.start(landing.read_landing(spark, landed, streaming=True), checkpoint))
+    """Work off everything landed since the last call, or go on at an interval.
+
+    ``settings`` go to the tick.
+    """
+    tick = Tick(out, tables.SeenIds(spark, seen), tz, **settings)
+    drain(tick.start(landing.read_landing(spark, landed, streaming=True), checkpoint, every))
     return tick
 
 
@@ -48,16 +50,31 @@ def train(spark: SparkSession, counts: DataFrame, models: str, tz: str | None =
     """Train on run counts; 0, 1 or -1 as the model was first, better or not kept."""
     hourly = cut_lineage(calendar_rollup(counts, tz=tz, keep_day=True))
     trained = train_forest(hourly, **tuning)
-    return ModelStore(spark, models).promote_if_better(trained.model, trained.held_out)
+    return ModelStore(spark, models).promote_if_better(trained.model, trained.held_out, tz=tz)
 
 
-def predict(spark: SparkSession, readings: DataFrame, models: str, predictions: str, tz: str = "UTC") -> bool:
-    """Score text readings and store the predictions. False when there is no model."""
+def predict(
+    spark: SparkSession,
+    landed: str,
+    models: str,
+    predictions: str,
+    checkpoint: str,
+    tz: str = "UTC",
+    every: str | None = None,
+) -> dict[str, int] | None:
+    """Score the readings landed since the last call and store the predictions.
+
+    A run that is collected again is scored once. Returns how many readings there were and
+    how many lack a number and were left out; None when there is no model.
+    """
     store = ModelStore(spark, models)
-    if not store.exists():
-        return False
-    tables.append_predictions(score(store.load(), type_weather(readings, tz)), predictions)
-    return True
+    envelopes = landing.read_landing(spark, landed, schemas.WEATHER_KIND, streaming=True)
+    once = landing.weather_records(envelopes).dropDuplicates(["city_name", "scheduler_id"])
+    query = start_scoring(store, once, predictions, checkpoint, every, tz)
+    if query is None:
+        return None
+    drain(query)
+    return observed(query)
 
 
 def listing(
@@ -69,10 +86,12 @@ def listing(
 
 
 def read_counts(spark: SparkSession, path: str, kind: str = "parquet") -> DataFrame:
-    """Run counts of all batches, stored as parquet or delimited text."""
+    """Run counts of all streams and batches, stored as parquet or delimited text."""
     if kind == "csv":
-        return tables.read_csv(spark, path, schemas.RUN_COUNT)
-    return spark.read.schema(schemas.RUN_COUNT).format(kind).load(path)
+        stored = tables.read_csv(spark, path, schemas.RUN_COUNT)
+    else:
+        stored = spark.read.schema(schemas.RUN_COUNT).format(kind).load(path)
+    return stored.select(*schemas.RUN_COUNT.names)
 
 
 def register_tables(spark: SparkSession, out: str, predictions: str | None = None) -> None:
@@ -89,27 +108,30 @@ def main(argv: list[str] | None = None) -> None:
     options = {
         "process": ("landing", "out", "seen", "checkpoint"),
         "train": ("counts", "models"),
-        "predict": ("landing", "models", "predictions"),
+        "predict": ("landing", "models", "predictions", "checkpoint"),
         "list": ("predictions",),
     }
     for job, names in options.items():
         command = kinds.add_parser(job)
         for name in names:
             command.add_argument(f"--{name}", required=True)
-        command.add_argument("--tz", default="UTC", help="of zoneless times and calendar parts")
+        if job != "list":
+            command.add_argument("--tz", default="UTC", help="of zoneless times and calendar parts")
         command.add_argument("--format", default="parquet", help="of the result tables: parquet or csv")
+    for job in ("process", "predict"):
+        kinds.choices[job].add_argument("--every", help="interval such as '1 hour'; default: what is there, then stop")
     kinds.choices["list"].add_argument("--as-of", type=datetime.fromisoformat, help="default: now")
     kinds.choices["list"].add_argument("--search", default="")
     given = parser.parse_args(argv)
     spark = build_session(f"tallycast-{given.job}")
 
     if given.job == "process":
-        process(spark, given.landing, given.out, given.seen, given.checkpoint, given.tz, result_format=given.format)
+        process(spark, given.landing, given.out, given.seen, given.checkpoint, given.tz, given.every, result_format=given.format)
     elif given.job == "train":
         train(spark, read_counts(spark, given.counts, given.format), given.models, given.tz)
     elif given.job == "predict":
-        readings = landing.weather_records(landing.read_landing(spark, given.landing))
-        predict(spark, readings, given.models, given.predictions, given.tz)
+        folders = (given.landing, given.models, given.predictions, given.checkpoint)
+        print(predict(spark, *folders, given.tz, given.every))
     else:
         listing(spark, given.predictions, given.as_of, given.search).show(truncate=False)
 

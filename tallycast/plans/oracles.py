@@ -18,7 +18,7 @@ traffic AS (
          event_id % 7 AS likes, event_id % 3 AS dislikes,
          CAST(30 AS DOUBLE) + CAST(user_id % 10 AS DOUBLE) / CAST(10 AS DOUBLE) AS longitude,
          CAST(55 AS DOUBLE) + CAST(user_id % 10 AS DOUBLE) / CAST(10 AS DOUBLE) AS latitude
-  FROM events WHERE event_type = 'error')"""
+  FROM events WHERE event_type IN ('error', 'purchase', 'signup'))"""
 
 _REPEATED = f"""
 repeated AS (
@@ -36,7 +36,7 @@ weather AS (
          CAST(event_id % 150 AS DOUBLE) / CAST(10 AS DOUBLE) AS wind_speed,
          ['clear', 'cloudy', 'rain', 'snow'][user_id % 4 + 1] AS weather_type,
          ['N', 'NE', 'E', 'SE', 'S', 'SW', 'W', 'NW'][user_id % 8 + 1] AS wind_direction
-  FROM events WHERE event_type = 'view')"""
+  FROM events WHERE event_type IN ('click', 'view'))"""
 
 _FIRST = """
 first_reading AS (
@@ -164,6 +164,12 @@ hourly AS (
   FROM rolled LEFT JOIN type_mode USING (city_name, y, d, clock) LEFT JOIN wind_mode USING (city_name, y, d, clock))"""
 
 
+_JOINED = f"""
+SELECT t.id, t.city_name, epoch_us(t.date) AS date, t.likes, t.dislikes, {_r('t.longitude')}, {_r('t.latitude')},
+  {_ROUNDED}, weather_type, wind_direction
+FROM traffic t JOIN buckets b ON b.time_interval = {_bucket('t.date')} AND b.city_name = t.city_name"""
+
+
 def _index(column: str) -> str:
     """CTE ``<column>_codes``: 0 for the most frequent value, ties in value order."""
     return f"""
@@ -280,9 +286,9 @@ SELECT page_id, trim(regexp_replace({_decoded('title')}, '\s+', ' ', 'g')) AS ti
   trim(regexp_replace({_decoded('heading')}, '\s+', ' ', 'g')) AS heading, 'calm' AS wind_speed
 FROM found""",
     "route_by_kind": f"""
-SELECT CASE event_type WHEN 'error' THEN 'traffic_events' ELSE 'weather_forecast' END AS crawler_type,
+SELECT CASE WHEN event_type IN ('error', 'purchase') THEN 'traffic_events' ELSE 'weather_forecast' END AS crawler_type,
   CAST(event_id AS VARCHAR) AS scheduler_id, {_CITY} AS city_name
-FROM events WHERE event_type IN ('error', 'view')""",
+FROM events WHERE event_type <> 'signup'""",
     "landing_roundtrip": f"""{_with(_WEATHER)},
 landed AS (
   SELECT 'weather_forecast:' || city_name || ':' || scheduler_id AS key,
@@ -300,15 +306,25 @@ WHERE rn = 1""",
     "csv_append_roundtrip": f"{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED)} SELECT {_COUNT_COLUMNS} FROM counted",
     "prediction_sink_roundtrip": _LISTED,
     "stream_dedup": _STREAM_DEDUPED,
-    "stream_dedup_limited": _STREAM_DEDUPED,
-    "stream_dedup_table": _STREAM_DEDUPED,
+    "stream_dedup_limited": _DEDUPED.format(columns=f"{_EVENT_COLUMNS}, epoch_us(collected_at) AS collected_at"),
+    "stream_dedup_table": _DEDUPED.format(columns=f"{_EVENT_COLUMNS}, epoch_us(collected_at) AS collected_at"),
     "stream_bucket_agg": f"""{_with(_WEATHER, _BUCKETS)}
 SELECT time_interval * 900000000 AS window_start, city_name, {_ROUNDED}, weather_type, wind_direction
+FROM buckets""",
+    "stream_bucket_join": f"{_with(_TRAFFIC, _WEATHER, _BUCKETS)} {_JOINED}",
+    "stream_bucket_agg_closed": f"""{_with(_WEATHER, _BUCKETS)}
+SELECT time_interval * 900000000 AS window_start, city_name, {_ROUNDED}, weather_type, wind_direction
 FROM buckets WHERE {_WINDOW_END} <= {_CLOSED_READINGS}""",
-    "stream_bucket_join": f"""{_with(_TRAFFIC, _WEATHER, _BUCKETS)}
-SELECT t.id, t.city_name, epoch_us(t.date) AS date, t.likes, t.dislikes, {_r('t.longitude')}, {_r('t.latitude')},
-  {_ROUNDED}, weather_type, wind_direction
-FROM traffic t JOIN buckets b ON b.time_interval = {_bucket('t.date')} AND b.city_name = t.city_name
-WHERE {_WINDOW_END} <= {_CLOSED_BOTH}""",
+    "stream_bucket_join_closed": f"{_with(_TRAFFIC, _WEATHER, _BUCKETS)} {_JOINED} WHERE {_WINDOW_END} <= {_CLOSED_BOTH}",
     "stream_micro_batch": f"{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED)} SELECT {_COUNT_COLUMNS} FROM counted",
+    "stream_event_weather": f"""{_with(_TRAFFIC, _WEATHER, _FIRST, _BUCKETS.replace("FROM weather)", "FROM first_reading)", 1))}
+{_JOINED}""",
+    "csv_as_text": """
+SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+  CAST(o_custkey + 1 AS BIGINT) AS next, 'string,string,string,int,int,string' AS kinds
+FROM orders""",
+    "event_times": """
+SELECT event_id, epoch_us(CASE event_id % 5 WHEN 0 THEN ts WHEN 1 THEN date_trunc('minute', ts)
+  WHEN 2 THEN date_trunc('day', ts + INTERVAL 3 HOURS) - INTERVAL 3 HOURS ELSE date_trunc('second', ts) END) AS date
+FROM events""",
 }

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycast import schemas
+from tallycast.functions import text
 from tallycast.functions.wording import CITY_LABELS, label_of
 from tallycast.ml import features
 from tallycast.ml.registry import ModelStore
@@ -176,8 +177,7 @@ def lookup_records(spark, sf_dir):
     records = views.table(spark, sf_dir, "customer").select(
         F.concat(F.lit("customer:"), F.col("c_custkey").cast("string")).alias("key"), "c_name", "c_mktsegment"
     )
-    found, missing = lookup.lookup_records(messages, records)
-    return found.unionByName(missing, allowMissingColumns=True)
+    return lookup.look_up(messages, records).drop(lookup.MATCHED)
 
 
 # ---------------------------------------------------------------- aggregation
@@ -275,8 +275,13 @@ def page_fields(spark, sf_dir):
 
 @query
 def route_by_kind(spark, sf_dir):
-    """Event types become record kinds; three of the five are of no known kind."""
-    kinds = {"error": schemas.TRAFFIC_KIND, "view": schemas.WEATHER_KIND}
+    """Event types become record kinds; one of the five is of no known kind."""
+    kinds = {
+        "error": schemas.TRAFFIC_KIND,
+        "purchase": schemas.TRAFFIC_KIND,
+        "click": schemas.WEATHER_KIND,
+        "view": schemas.WEATHER_KIND,
+    }
     source = views.events(spark, sf_dir)
     others = [f for f in schemas.ANY_PAYLOAD.fields if f.name != "city_name"]
     reading = [F.lit(None).cast(f.dataType).alias(f.name) for f in others]
@@ -286,7 +291,7 @@ def route_by_kind(spark, sf_dir):
         label_of(F.col("event_type"), kinds).alias("crawler_type"),
         F.struct(city, *reading).alias("data"),
     )
-    branches = [landing.only_kind(envelopes, kind) for kind in kinds.values()]
+    branches = [landing.only_kind(envelopes, kind) for kind in (schemas.TRAFFIC_KIND, schemas.WEATHER_KIND)]
     chosen = [b.select("crawler_type", "scheduler_id", "data.city_name") for b in branches]
     return chosen[0].unionByName(chosen[1])
 
@@ -304,16 +309,45 @@ def landing_roundtrip(spark, sf_dir):
 @query
 def csv_append_roundtrip(spark, sf_dir):
     path = work_path(spark, "run-count")
-    counted = schemas.conform(_run_count(spark, sf_dir), schemas.RUN_COUNT)
+    counted = cut_lineage(schemas.conform(_run_count(spark, sf_dir), schemas.RUN_COUNT))
     for city in ("msc", "spb"):
         tables.append_csv(counted.filter(F.col("city_name") == city), path)
     return tables.read_csv(spark, path, schemas.RUN_COUNT)
 
 
+@query
+def csv_as_text(spark, sf_dir):
+    """A delimited table read without types, and typed from its data."""
+    path = work_path(spark, "orders")
+    orders = views.table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    tables.append_csv(orders, path)
+    plain_, typed = tables.read_csv(spark, path), tables.read_csv(spark, path, infer=True)
+    kinds = F.lit(",".join(kind for _, kind in [*plain_.dtypes, *typed.dtypes])).alias("kinds")
+    return plain_.join(typed.select(F.col("o_orderkey").cast("string"), (F.col("o_custkey") + 1).alias("next")), "o_orderkey").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", F.col("next").cast("bigint").alias("next"), kinds
+    )
+
+
+@query
+def event_times(spark, sf_dir):
+    """Times as text in the forms a feed may send, with the zone of those that name none."""
+    source = views.events(spark, sf_dir)
+    local = F.col("ts") + F.expr("INTERVAL 3 HOURS")
+    forms = (
+        F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"),
+        F.date_format(local, "yyyy-MM-dd HH:mm"),
+        F.date_format(local, "yyyy-MM-dd"),
+        F.concat(F.date_format(local, "yyyy-MM-dd'T'HH:mm:ss"), F.lit("+03")),
+        F.unix_seconds("ts").cast("string"),
+    )
+    raw = F.get(F.array(*forms), (F.col("event_id") % len(forms)).cast("int"))
+    return source.select("event_id", text.epoch_or_iso_time(raw, "Europe/Moscow").alias("date"))
+
+
 @query
 def prediction_sink_roundtrip(spark, sf_dir):
     path = work_path(spark, "predictions")
-    rows = views.predictions(views.events(spark, sf_dir))
+    rows = cut_lineage(views.predictions(views.events(spark, sf_dir)))
     for city in ("msc", "spb"):
         tables.append_predictions(rows.filter(F.col("city") == city), path)
     return serve.recent_predictions(tables.read_predictions(spark, path), AS_OF).drop(serve.END_DAY)
@@ -331,8 +365,8 @@ def _training_rows(spark, sf_dir) -> DataFrame:
 @query
 def feature_vectors(spark, sf_dir):
     """The assembled vectors, one column per element, with their label."""
-    rows = rollup.calendar_rollup(_run_count(spark, sf_dir))
-    fitted = features.feature_pipeline().fit(rows)
+    rows = cut_lineage(rollup.calendar_rollup(_run_count(spark, sf_dir)))
+    fitted = features.feature_pipeline().fit(rows)  # no number is missing here: one would fail
     elements = vector_to_array("features")
     return features.labelled(fitted, rows).select(
         "label", *[F.get(elements, i).alias(name) for i, name in enumerate(features.FEATURE_ORDER)]
@@ -342,8 +376,8 @@ def feature_vectors(spark, sf_dir):
 @query
 def unscorable_rows(spark, sf_dir):
     """Encoders that know one city only, asked about both."""
-    rows = rollup.calendar_rollup(_run_count(spark, sf_dir))
-    fitted = features.feature_pipeline("skip").fit(rows.filter(F.col("city_name") == "msc"))
+    rows = cut_lineage(rollup.calendar_rollup(_run_count(spark, sf_dir)))
+    fitted = features.feature_pipeline("skip", "skip").fit(rows.filter(F.col("city_name") == "msc"))
     return features.unscorable(fitted, rows)
 
 
@@ -373,15 +407,19 @@ def _state_size(spark) -> int:
 
 
 def _seen(spark, purpose: str) -> tables.SeenIds:
-    return tables.SeenIds(spark, work_path(spark, purpose), buckets=_state_size(spark))
+    return tables.SeenIds(spark, work_path(spark, purpose))
 
 
 def _land_repeated(spark, sf_dir) -> DataFrame:
-    """The repeated events as a stream of several triggers."""
+    """The repeated events as a stream of several triggers, what was collected first first."""
     path = work_path(spark, "repeated")
-    views.traffic_repeated(views.events(spark, sf_dir)).repartition(3, "scheduler_id").write.parquet(path)
-    schema = spark.read.parquet(path).schema
-    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(path)
+    repeated = views.traffic_repeated(views.events(spark, sf_dir))
+    files = max(2, repeated.rdd.getNumPartitions())  # follows the size of the table
+    early = F.col("collected_at") < F.lit(SEEN_UNTIL)
+    for part in (repeated.filter(early), repeated.filter(~early)):
+        part.repartition(files, "id").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(spark.read.parquet(path).schema)
+    return stream.option("maxFilesPerTrigger", files).parquet(path)
 
 
 @query
@@ -394,28 +432,50 @@ def stream_dedup(spark, sf_dir):
     return spark.read.parquet(out).drop("scheduler_id", "collected_at")
 
 
+def _remembered(spark, sf_dir, days: int | None = None) -> DataFrame:
+    out, checkpoint = work_path(spark, "dedup"), work_path(spark, "checkpoint")
+    stream = _land_repeated(spark, sf_dir)
+    seen = _seen(spark, "seen")
+    runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["collected_at"], checkpoint, days=days))
+    return spark.read.parquet(out).drop("stream", "batch", "day")
+
+
 @query
 def stream_dedup_limited(spark, sf_dir):
-    """Keys are forgotten 60 days after their time, longer than the table spans."""
-    out, checkpoint = work_path(spark, "dedup"), work_path(spark, "checkpoint")
-    with runs.state_partitions(spark, _state_size(spark)):
-        fresh = stateful.stateful_dedup(_land_repeated(spark, sf_dir), ["id"], "date", "60 days")
-        runs.drain(runs.begin(runs.append_files(fresh, out), checkpoint))
-    return spark.read.parquet(out).drop("scheduler_id", "collected_at")
+    """Ids are forgotten 60 days after the newest, longer than the table spans."""
+    return _remembered(spark, sf_dir, days=60)
 
 
 @query
 def stream_dedup_table(spark, sf_dir):
-    """The same against the bucketed table of seen ids."""
-    out, checkpoint = work_path(spark, "dedup"), work_path(spark, "checkpoint")
-    stream = _land_repeated(spark, sf_dir)
-    runs.drain(microbatch.remember_first_sightings(stream, _seen(spark, "seen"), out, ["collected_at"], checkpoint))
-    return spark.read.parquet(out).drop("scheduler_id", "collected_at", "batch")
+    """The earliest copy of each id over all batches, against the table of seen ids."""
+    return _remembered(spark, sf_dir)
+
+
+def _bucket_tables(spark, sf_dir) -> microbatch.BucketTables:
+    kept = microbatch.BucketTables(work_path(spark, "buckets"))
+    split = lambda batch: (views.traffic(batch), views.weather(batch))
+    runs.drain(kept.start(views.events_stream(spark, sf_dir), split, work_path(spark, "checkpoint")))
+    return kept
 
 
 @query
 def stream_bucket_agg(spark, sf_dir):
-    """Windows that have closed; the newest stay open."""
+    """All windows, late rows included."""
+    stored = spark.read.parquet(_bucket_tables(spark, sf_dir).buckets)
+    start = F.timestamp_seconds(F.col("time_interval") * align.BUCKET_SECONDS).alias("window_start")
+    return stored.select(start, "city_name", *align.WEATHER_MEANS, *align.WEATHER_MODES)
+
+
+@query
+def stream_bucket_join(spark, sf_dir):
+    """All events with the weather of their window, late rows included."""
+    return spark.read.parquet(_bucket_tables(spark, sf_dir).joined).drop("day")
+
+
+@query
+def stream_bucket_agg_closed(spark, sf_dir):
+    """The watermarked form: windows that have closed; the newest stay open."""
     out, checkpoint = work_path(spark, "buckets"), work_path(spark, "checkpoint")
     readings = views.weather(views.events_stream(spark, sf_dir))
     with runs.state_partitions(spark, _state_size(spark)):
@@ -427,7 +487,7 @@ def stream_bucket_agg(spark, sf_dir):
 
 
 @query
-def stream_bucket_join(spark, sf_dir):
+def stream_bucket_join_closed(spark, sf_dir):
     out, checkpoint = work_path(spark, "joined"), work_path(spark, "checkpoint")
     source = views.events_stream(spark, sf_dir)
     with runs.state_partitions(spark, _state_size(spark)):
@@ -436,16 +496,27 @@ def stream_bucket_join(spark, sf_dir):
     return spark.read.parquet(out)
 
 
-@query
-def stream_micro_batch(spark, sf_dir):
-    """Both kinds landed as JSON, processed in one tick, counts read back."""
+def _ticked(spark, sf_dir) -> microbatch.Tick:
+    """Both kinds landed as JSON and processed in one tick."""
     path, out, checkpoint = (work_path(spark, p) for p in ("landing", "tick", "checkpoint"))
     source = views.events(spark, sf_dir)
     landing.write_landing(views.weather_envelopes(source, malformed=False), path)
     landing.write_landing(views.traffic_envelopes(source), path)
     tick = microbatch.Tick(out, _seen(spark, "seen"), replace_recollected=False)
     runs.drain(tick.start(landing.read_landing(spark, path, streaming=True), checkpoint))
-    return spark.read.parquet(tick.run_count).drop("batch")
+    return tick
+
+
+@query
+def stream_micro_batch(spark, sf_dir):
+    """The counts of one tick, read back."""
+    return spark.read.parquet(_ticked(spark, sf_dir).run_count).drop("stream", "batch")
+
+
+@query
+def stream_event_weather(spark, sf_dir):
+    """The joined events of one tick, read back; a reading of a run counts once."""
+    return spark.read.parquet(_ticked(spark, sf_dir).event_weather).drop("stream", "batch")
 
 
 @query
@@ -456,5 +527,5 @@ def stream_score(spark, sf_dir):
     store.promote_if_better(trained.model, trained.held_out)
     raw = views.weather_text(views.events_stream(spark, sf_dir), malformed=False)
     out, checkpoint = work_path(spark, "predictions"), work_path(spark, "checkpoint")
-    runs.drain(stateful.start_scoring(store, raw, out, checkpoint))
+    runs.drain(stateful.start_scoring(store, raw, out, checkpoint))  # the zone is the session's
     return tables.read_predictions(spark, out).drop(serve.END_DAY)

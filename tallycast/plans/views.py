@@ -9,6 +9,8 @@ from tallycast import schemas
 from tallycast.operators.align import RUN_KEYS
 from tallycast.operators.dedup import keep_first
 
+#: Each of the five types of the table stands for one kind of record.
+TRAFFIC_TYPES, READING_TYPES = ("error", "purchase", "signup"), ("click", "view")
 WEATHER_TYPES = ("clear", "cloudy", "rain", "snow")
 WIND_DIRECTIONS = ("N", "NE", "E", "SE", "S", "SW", "W", "NW")
 
@@ -51,9 +53,9 @@ def _run(ts: Column) -> Column:
 
 
 def traffic(source: DataFrame) -> DataFrame:
-    """Clean traffic events, from the rows of type ``error``."""
+    """Clean traffic events, from the rows of types ``TRAFFIC_TYPES``."""
     number = F.col("event_id")
-    return source.filter(F.col("event_type") == "error").select(
+    return source.filter(F.col("event_type").isin(*TRAFFIC_TYPES)).select(
         number.cast("string").alias("id"),
         *_common(),
         (number % 7).alias("likes"),
@@ -73,9 +75,9 @@ def traffic_repeated(source: DataFrame) -> DataFrame:
 
 
 def weather(source: DataFrame) -> DataFrame:
-    """Clean weather readings, from the rows of type ``view``."""
+    """Clean weather readings, from the rows of types ``READING_TYPES``."""
     number, user = F.col("event_id"), F.col("user_id")
-    return source.filter(F.col("event_type") == "view").select(
+    return source.filter(F.col("event_type").isin(*READING_TYPES)).select(
         number,
         *_common(),
         _per(number, 100, 100.0).alias("humidity"),

@@ -81,6 +81,12 @@ def work_path(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/tallycast/{purpose}-{uuid.uuid4().hex}"
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete ``path`` and what is below it, on whatever file system it is."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint of ``df`` in the shared folder."""
     folder = shared_folder(df.sparkSession)

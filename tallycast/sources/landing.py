@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from tallycast import schemas
 from tallycast.operators.dedup import keep_first
 
-LANDED_AT, LANDED_FILE = "landed_at", "landed_file"
+LANDED_AT, LANDED_FILE, LANDED_TEXT = "landed_at", "landed_file", "landed_text"
 
 
 def read_landing(
@@ -19,10 +19,13 @@ def read_landing(
 ) -> DataFrame:
     """Envelopes below ``path`` with the file each came from and its time.
 
-    ``kind=None`` reads both kinds with a payload schema that covers either.
+    ``kind=None`` reads both kinds with a payload schema that covers either, and also the
+    lines that are no JSON object, as ``landed_text`` (see :func:`unreadable`). A document
+    of several lines needs ``multiLine=True`` among the ``options``.
     """
     reader = (spark.readStream if streaming else spark.read).options(**options)
-    envelopes = reader.schema(schemas.envelope(kind)).json(path)
+    shape = schemas.envelope(kind).add(LANDED_TEXT, T.StringType())
+    envelopes = reader.schema(shape).option("columnNameOfCorruptRecord", LANDED_TEXT).json(path)
     stamped = envelopes.select(
         "*",
         F.col("_metadata.file_modification_time").alias(LANDED_AT),
@@ -31,6 +34,12 @@ def read_landing(
     return stamped if kind is None else only_kind(stamped, kind)
 
 
+def unreadable(envelopes: DataFrame) -> DataFrame:
+    """What could not be read as an envelope, with its file: to be counted, not lost."""
+    broken = envelopes.filter(F.col(LANDED_TEXT).isNotNull())
+    return broken.select(LANDED_TEXT, LANDED_AT, LANDED_FILE)
+
+
 def only_kind(envelopes: DataFrame, kind: str) -> DataFrame:
     """Envelopes of one kind, payload narrowed to its fields; other kinds are ignored."""
     payload = schemas.PAYLOADS[kind]

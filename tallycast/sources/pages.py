@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Mapping
 from html.parser import HTMLParser
 
@@ -14,6 +15,20 @@ from pyspark.sql import types as T
 # ---- fixed values: void elements, and elements whose text is never shown
 _VOID = frozenset("area base br col embed hr img input link meta source track wbr".split())
 _UNSHOWN = frozenset(("script", "style"))
+# ---- fixed values: an open element (left) whose end tag is implied by these start tags
+_IMPLIED_END = {
+    "li": frozenset(("li",)),
+    "dt": frozenset(("dt", "dd")),
+    "dd": frozenset(("dt", "dd")),
+    "td": frozenset(("td", "th", "tr", "tbody", "tfoot")),
+    "th": frozenset(("td", "th", "tr", "tbody", "tfoot")),
+    "tr": frozenset(("tr", "tbody", "tfoot")),
+    "option": frozenset(("option", "optgroup")),
+    "p": frozenset(
+        "address article aside blockquote div dl fieldset footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre "
+        "section table ul".split()
+    ),
+}
 
 
 def extract_page_fields(df: DataFrame, mapping: Mapping[str, tuple[str, str]], html: str = "html") -> DataFrame:
@@ -60,6 +75,8 @@ def _read_fields(page: str, wanted: Mapping) -> list[str]:
             reader.close()
     except _Complete:
         pass
+    except Exception:  # markup that the parser gives up on: what was found so far stands
+        pass
     return [default if text is None else text for text, (_, default) in zip(reader.texts(), wanted.values())]
 
 
@@ -86,6 +103,8 @@ class _FieldReader(HTMLParser):
         self._found: list[list[str] | None] = [None] * len(selectors)
         self._pending = sum(steps is not None for steps in selectors)
         self._open: list[tuple] = []  # (tag, id, classes, selectors capturing here)
+        self._tags: Counter[str] = Counter()  # of the open elements
+        self._capturing: list[int] = []  # selectors whose element is open
 
     def done(self) -> bool:
         return self._pending == 0
@@ -94,6 +113,8 @@ class _FieldReader(HTMLParser):
         return [None if parts is None else " ".join("".join(parts).split()) for parts in self._found]
 
     def handle_starttag(self, tag, attrs):
+        while self._open and tag in _IMPLIED_END.get(self._open[-1][0], ()):
+            self._close(len(self._open) - 1)
         values = dict(attrs)
         element = (tag, values.get("id") or "", frozenset((values.get("class") or "").split()))
         started = []
@@ -106,22 +127,30 @@ class _FieldReader(HTMLParser):
             self._finish(len(started))
         else:
             self._open.append((*element, started))
+            self._tags[tag] += 1
+            self._capturing.extend(started)
 
     def handle_endtag(self, tag):
-        for depth in range(len(self._open) - 1, -1, -1):
-            if self._open[depth][0] == tag:
-                closed = sum(len(entry[3]) for entry in self._open[depth:])
-                del self._open[depth:]
-                self._finish(closed)
-                return
+        if self._tags[tag]:
+            depth = len(self._open) - 1
+            while self._open[depth][0] != tag:
+                depth -= 1
+            self._close(depth)
 
     def handle_data(self, data):
-        if any(entry[0] in _UNSHOWN for entry in self._open):
-            return
-        for entry in self._open:
-            for number in entry[3]:
+        if self._capturing and not any(self._tags[tag] for tag in _UNSHOWN):
+            for number in self._capturing:
                 self._found[number].append(data)
 
+    def _close(self, depth: int) -> None:
+        """Close the element at ``depth`` and all inside it."""
+        closed = [number for entry in self._open[depth:] for number in entry[3]]
+        self._tags.subtract(entry[0] for entry in self._open[depth:])
+        del self._open[depth:]
+        if closed:
+            self._capturing = [number for number in self._capturing if number not in closed]
+            self._finish(len(closed))
+
     def _finish(self, closed: int) -> None:
         self._pending -= closed
         if closed and self.done():

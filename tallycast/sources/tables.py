@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-import hashlib
+from datetime import date
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallycast import schemas
 from tallycast.operators.serve import END_DAY, end_day
-from tallycast.session import read_json_if_present
+from tallycast.session import cut_lineage, remove
 
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -62,44 +63,83 @@ def _required(name: str) -> Column:
 
 
 class SeenIds:
-    """Ids processed so far, one column, never expiring.
+    """Ids processed so far with the day each belongs to.
 
-    The table is bucketed on the id, so checking a batch against it reads it in
-    place and shuffles only the batch. Each batch owns a partition: writing a batch
-    again replaces its ids, and a repeated batch ignores what it wrote itself.
-
-    ``buckets`` is for a new table. An existing one keeps the number it was made
-    with, which is stored beside it.
+    An id keeps its time, so a copy has the day of the original: the table is partitioned
+    by day and checking a batch reads the days in the batch alone. Ids without a time are
+    one more partition. Inside a day each batch of each stream has a part of its own: a
+    batch that is run again replaces its ids and ignores what it wrote itself, and a
+    stream that starts anew, or another one, never meets the parts of the others.
     """
 
-    def __init__(self, spark: SparkSession, path: str, buckets: int = 200):
-        path = path.rstrip("/")
-        layout = read_json_if_present(spark, f"{path}/layout", "buckets INT")
-        recorded = None if layout is None else layout.agg(F.max("buckets")).first()[0]
-        self.spark = spark
-        self.buckets = recorded or buckets
-        self.table = "tallycast_seen_" + hashlib.sha256(path.encode()).hexdigest()[:16]
-        spark.sql(
-            f"CREATE TABLE IF NOT EXISTS {self.table} (id STRING, batch BIGINT) USING parquet "
-            f"PARTITIONED BY (batch) CLUSTERED BY (id) INTO {self.buckets} BUCKETS LOCATION '{path}/ids'"
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark, self.path = spark, path.rstrip("/")
+
+    @property
+    def _ids(self) -> str:
+        return f"{self.path}/ids"
+
+    def ids(self, spark: SparkSession | None = None) -> DataFrame:
+        """All rows ``(id, day, stream, batch)``."""
+        spark = spark or self.spark
+        try:
+            return spark.read.schema(_SEEN).parquet(self._ids)
+        except AnalysisException as problem:
+            if problem.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.createDataFrame([], _SEEN)
+
+    def known(self, days: DataFrame, stream: str, batch: int) -> DataFrame:
+        """Ids of the ``day``s of a batch that other batches remembered.
+
+        The days, at most one per calendar day of the batch, become a filter on the
+        partitions.
+        """
+        found = [r["day"] for r in days.select("day").distinct().collect()]
+        dated = [d for d in found if d is not None]
+        wanted = F.col("day").isin(*dated) if dated else F.lit(False)
+        if len(dated) < len(found):
+            wanted = wanted | F.col("day").isNull()
+        own = (F.col("stream") == stream) & (F.col("batch") >= batch)
+        return self.ids(days.sparkSession).filter(wanted & ~own).select("id")
+
+    def remember(self, ids: DataFrame, stream: str, batch: int) -> None:
+        """Store the ``(id, day)`` rows of a batch, in place of what it stored before.
+
+        ``ids`` has to come from a written copy of the batch, not from this table. The
+        rebalance hint lets AQE size the files and split a day with most of the rows.
+        """
+        rows = ids.select(
+            F.col("id").cast("string").alias("id"),
+            F.col("day").cast("date").alias("day"),
+            F.lit(stream).alias("stream"),
+            F.lit(batch).cast("bigint").alias("batch"),
         )
-        if recorded:
-            spark.sql(f"MSCK REPAIR TABLE {self.table}")  # partitions of earlier sessions
-        else:
-            spark.createDataFrame([], "id STRING, batch BIGINT").write.insertInto(self.table)  # makes the folder
-            layout = spark.createDataFrame([(buckets,)], "buckets INT").coalesce(1)
-            layout.write.mode("overwrite").json(f"{path}/layout")
-
-    def before(self, batch: int, spark: SparkSession | None = None) -> DataFrame:
-        """Ids remembered by earlier batches, read through ``spark`` when given."""
-        return (spark or self.spark).table(self.table).filter(F.col("batch") < batch).select("id")
-
-    def remember(self, ids: DataFrame, batch: int) -> None:
-        """Store the ids of ``batch``, one file per bucket.
-
-        Spark refuses to overwrite a table that the new rows are computed from, so
-        ``ids`` has to come from a written copy of the batch.
+        writer = rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day", "stream", "batch")
+        writer.option("partitionOverwriteMode", "dynamic").parquet(self._ids)
+
+    def compact(self, before: date) -> None:
+        """Put the parts of every day before ``before`` into one, and drop repeats.
+
+        For days that no running batch writes to. The merged part is complete before the
+        others are removed; stopping between the two leaves repeats, which do no harm.
         """
-        rows = ids.select(F.col("id").cast("string")).repartition(self.buckets, "id")
-        target = f"{self.table} PARTITION (batch = {int(batch)})"
-        rows.sparkSession.sql(f"INSERT OVERWRITE {target} SELECT id FROM {{rows}}", rows=rows)
+        old = self.ids().filter((F.col("day") < F.lit(before)) & (F.col("stream") != _MERGED))
+        parts = [tuple(r) for r in old.select("day", "stream", "batch").distinct().collect()]
+        if not parts:
+            return
+        days = sorted({day for day, _, _ in parts})
+        merged = self.ids().filter(F.col("day").isin(*days)).select("id", "day").distinct()
+        self.remember(cut_lineage(merged), _MERGED, 0)
+        for day, stream, batch in parts:
+            remove(self.spark, f"{self._ids}/day={day}/stream={stream}/batch={batch}")
+
+    def forget(self, before: date) -> None:
+        """Drop the days before ``before``; a copy of theirs counts as new from then on."""
+        days = self.ids().filter(F.col("day") < F.lit(before)).select("day").distinct()
+        for row in days.collect():
+            remove(self.spark, f"{self._ids}/day={row['day']}")
+
+
+_SEEN = "id STRING, day DATE, stream STRING, batch BIGINT"
+_MERGED = "merged"

@@ -3,28 +3,36 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import timedelta
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tallycast import schemas
-from tallycast.operators.align import bucket_join, count_per_run
+from tallycast.operators.align import BUCKET_SECONDS, bucket_join, bucket_weather, count_per_run
 from tallycast.operators.clean import clean_weather, flatten_events
-from tallycast.operators.dedup import first_sightings
+from tallycast.operators.dedup import drop_seen, keep_first
+from tallycast.session import remove
 from tallycast.sources import landing
 from tallycast.sources.tables import SeenIds, append_csv
-from tallycast.streaming.runs import begin, per_batch
+from tallycast.streaming.runs import begin, per_batch, stream_id
+
+#: Name of a stream whose batches are handed over by the caller.
+DIRECT = "direct"
 
 
 @dataclass
 class Tick:
     """One processing job over a landing stream.
 
-    Both result tables and the seen ids are keyed by batch number and replaced as a
-    whole, so a batch that is run again after a failure leaves the same result.
+    Both result tables and the seen ids are keyed by stream and batch number and replaced
+    as a whole, so a batch that is run again after a failure leaves the same result, and a
+    renewed checkpoint, which makes a new stream, touches nothing of the old one.
     Events count in the run that saw them first. An event whose reading comes in a
     later batch is not joined afterwards; the lateness bound is the earliest reading
-    of the batch.
+    of the batch. Lines that are no envelope are kept aside in ``unreadable``.
     """
 
     out: str
@@ -34,6 +42,8 @@ class Tick:
     replace_recollected: bool = True
     #: ``"csv"`` writes the two result tables as delimited text with a header.
     result_format: str = "parquet"
+    #: True keeps the parsed and cleaned copies of a batch after its results are written.
+    keep_copies: bool = False
 
     @property
     def event_weather(self) -> str:
@@ -43,32 +53,43 @@ class Tick:
     def run_count(self) -> str:
         return f"{self.out}/run_count"
 
+    @property
+    def unreadable(self) -> str:
+        return f"{self.out}/unreadable"
+
     def start(self, envelopes: DataFrame, checkpoint: str, every: str | None = None) -> StreamingQuery:
         """Start on a streaming ``envelopes`` frame."""
-        return begin(per_batch(envelopes, self.process), checkpoint, every)
+        stream = stream_id(envelopes.sparkSession, checkpoint)
+        return begin(per_batch(envelopes, lambda batch, n: self.process(batch, n, stream)), checkpoint, every)
 
-    def process(self, batch: DataFrame, batch_id: int) -> None:
+    def process(self, batch: DataFrame, batch_id: int, stream: str = DIRECT) -> None:
         """Write the results of one batch.
 
         The JSON is parsed once, into a copy split by kind, and the cleaned inputs
         are stored too. Later steps read the columns they need from those copies, so
         a lost executor costs a read and not the work of the whole batch.
         """
-        landed = _store(batch, f"{self.out}/landed", batch_id, "crawler_type")
+        part = f"stream={stream}/batch={batch_id}"
+        copies = [f"{self.out}/{name}/{part}" for name in ("landed", "first", "events", "weather")]
+        landed = _store(batch, copies[0], "crawler_type")
+        landing.unreadable(landed).write.mode("overwrite").parquet(f"{self.unreadable}/{part}")
         sightings, readings = (self._current(landed, kind) for kind in (schemas.TRAFFIC_KIND, schemas.WEATHER_KIND))
 
-        known = self.seen.before(batch_id, batch.sparkSession)
         order = [landing.LANDED_AT, landing.LANDED_FILE]
-        fresh = first_sightings(landing.traffic_records(sightings), known, ["id"], order)
-        events = _store(flatten_events(fresh, self.tz), f"{self.out}/events", batch_id)
-        weather = _store(clean_weather(landing.weather_records(readings), self.tz), f"{self.out}/weather", batch_id)
-
-        self._publish(bucket_join(events, weather), self.event_weather, batch_id)
-        self._publish(count_per_run(weather, events), self.run_count, batch_id)
-        self.seen.remember(events.select("id"), batch_id)
-
-    def _publish(self, df: DataFrame, path: str, batch_id: int) -> None:
-        place = f"{path}/batch={batch_id}"
+        first = flatten_events(keep_first(landing.traffic_records(sightings), ["id"], order), self.tz)
+        first = _store(first.withColumn("day", F.to_date("date")), copies[1])
+        fresh = drop_seen(first, self.seen.known(first, stream, batch_id), ["id"])
+        events = _store(fresh, copies[2])
+        weather = _store(clean_weather(landing.weather_records(readings), self.tz), copies[3])
+
+        self._publish(bucket_join(events.drop("day"), weather), f"{self.event_weather}/{part}")
+        self._publish(count_per_run(weather, events), f"{self.run_count}/{part}")
+        self.seen.remember(events.select("id", "day"), stream, batch_id)
+        if not self.keep_copies:
+            for copy in copies:
+                remove(batch.sparkSession, copy)
+
+    def _publish(self, df: DataFrame, place: str) -> None:
         if self.result_format == "csv":
             append_csv(df, place, mode="overwrite")
         else:
@@ -80,24 +101,93 @@ class Tick:
 
 
 def remember_first_sightings(
-    stream: DataFrame, seen: SeenIds, out: str, order: list, checkpoint: str
+    stream: DataFrame,
+    seen: SeenIds,
+    out: str,
+    order: list,
+    checkpoint: str,
+    ts: str = "date",
+    days: int | None = None,
 ) -> StreamingQuery:
-    """Cross-batch de-duplication on ``id`` against a bucketed table of seen ids.
+    """Cross-batch de-duplication on ``id`` against the table of seen ids.
 
     Copies are reduced inside the tasks that read them, so an id with a large share
-    of the rows does not end up in one task. There is no expiry.
+    of the rows does not end up in one task. No first sighting is lost, however late it
+    comes. With ``days``, ids of days further than that before the newest of a batch are
+    forgotten after it; a later copy of theirs counts as new.
     """
+    name = stream_id(stream.sparkSession, checkpoint)
 
     def work(batch: DataFrame, batch_id: int) -> None:
-        known = seen.before(batch_id, batch.sparkSession)
-        fresh = _store(first_sightings(batch, known, ["id"], order), out, batch_id)
-        seen.remember(fresh.select("id"), batch_id)
+        part = f"stream={name}/batch={batch_id}"
+        first = keep_first(batch, ["id"], order).withColumn("day", F.to_date(ts))
+        first = _store(first, f"{out}-first/{part}")
+        fresh = _store(drop_seen(first, seen.known(first, name, batch_id), ["id"]), f"{out}/{part}")
+        seen.remember(fresh.select("id", "day"), name, batch_id)
+        remove(batch.sparkSession, f"{out}-first/{part}")
+        newest = fresh.agg(F.max("day")).first()[0] if days is not None else None
+        if newest is not None:
+            seen.forget(newest - timedelta(days=days))
 
     return begin(per_batch(stream, work), checkpoint)
 
 
-def _store(df: DataFrame, path: str, batch_id: int, *partition_by: str) -> DataFrame:
+@dataclass
+class BucketTables:
+    """Weather per bucket, and events with it, kept right however late rows come.
+
+    Rows are stored by day; a batch then works out the days it touches anew with the batch
+    operators and replaces them. Nothing is dropped for coming late and no state grows with
+    the stream; what a batch costs is the size of its days. A bucket never spans two days.
+    """
+
+    out: str
+
+    @property
+    def buckets(self) -> str:
+        return f"{self.out}/buckets"
+
+    @property
+    def joined(self) -> str:
+        return f"{self.out}/joined"
+
+    def start(self, stream: DataFrame, split, checkpoint: str, every: str | None = None) -> StreamingQuery:
+        """Start; ``split`` gives the events and the readings of a batch."""
+        name = stream_id(stream.sparkSession, checkpoint)
+
+        def work(batch: DataFrame, batch_id: int) -> None:
+            self.process(*split(batch), batch_id, name)
+
+        return begin(per_batch(stream, work), checkpoint, every)
+
+    def process(self, events: DataFrame, readings: DataFrame, batch_id: int, stream: str = DIRECT) -> None:
+        whole, touched = {}, None
+        for name, rows in (("events", events), ("readings", readings)):
+            dated = rows.withColumn("day", F.to_date("date"))
+            part = _store(dated, f"{self.out}/{name}/stream={stream}/batch={batch_id}", "day")
+            days = part.select("day").distinct()
+            touched = days if touched is None else touched.unionAll(days)
+            schema = T.StructType([*dated.schema.fields, *_PART])
+            whole[name] = rows.sparkSession.read.schema(schema).parquet(f"{self.out}/{name}").drop("stream", "batch")
+        # one row per calendar day of the batch; it prunes the partitions read
+        days = [r["day"] for r in touched.filter("day is not null").distinct().collect()]
+        events, readings = (whole[name].filter(F.col("day").isin(*days)) for name in ("events", "readings"))
+        buckets = bucket_weather(readings)
+        start = F.to_date(F.timestamp_seconds(F.col("time_interval") * BUCKET_SECONDS))
+        _replace_days(buckets.withColumn("day", start), self.buckets)
+        _replace_days(bucket_join(events, readings), self.joined)
+
+
+_PART = (T.StructField("stream", T.StringType()), T.StructField("batch", T.LongType()))
+
+
+def _replace_days(df: DataFrame, path: str) -> None:
+    """Replace the days in ``df``; others stay."""
+    writer = df.hint("rebalance", "day").write.mode("overwrite").partitionBy("day")
+    writer.option("partitionOverwriteMode", "dynamic").parquet(path)
+
+
+def _store(df: DataFrame, place: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as the data of one batch and return the written copy."""
-    place = f"{path}/batch={batch_id}"
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from tallycast.session import read_json_if_present
+
 _STATE_PARTITIONS = "spark.sql.shuffle.partitions"
 
 
@@ -29,6 +32,21 @@ def state_partitions(spark: SparkSession, count: int | None) -> Iterator[None]:
         spark.conf.set(_STATE_PARTITIONS, before)
 
 
+def stream_id(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream that ``checkpoint`` belongs to.
+
+    It is made with the checkpoint and lives in it, so a renewed checkpoint, which counts
+    its batches from 0 again, is another stream.
+    """
+    place = f"{checkpoint.rstrip('/')}/stream_id"
+    stored = read_json_if_present(spark, place, "name STRING")
+    if stored is None:
+        made = spark.createDataFrame([(uuid.uuid4().hex,)], "name STRING").coalesce(1)
+        made.write.json(place)
+        stored = read_json_if_present(spark, place, "name STRING")
+    return stored.first()["name"]
+
+
 def begin(writer: DataStreamWriter, checkpoint: str, every: str | None = None) -> StreamingQuery:
     """Start ``writer``: process what is there and stop, or run on ``every`` interval."""
     writer = writer.option("checkpointLocation", checkpoint)

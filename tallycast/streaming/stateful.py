@@ -28,16 +28,13 @@ WIDTH = f"{BUCKET_SECONDS} seconds"
 _MICROS, _SALT = "__micros", "__salt"
 
 
-def stateful_dedup(stream: DataFrame, keys: Sequence[str], ts: str | None = None, ttl: str | None = None) -> DataFrame:
-    """First row per key over the life of the stream.
+def stateful_dedup(stream: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """First row per key over the life of the stream; every key is remembered for good.
 
-    Without ``ttl`` every key is remembered for good. With it a key is forgotten
-    ``ttl`` after its time ``ts``, which bounds the state: a copy that comes later
-    than that counts as new.
+    Where keys have to be forgotten, or many copies of one come, use
+    :func:`tallycast.streaming.microbatch.remember_first_sightings`.
     """
-    if ttl is None:
-        return stream.dropDuplicates(list(keys))
-    return stream.withWatermark(ts, ttl).dropDuplicatesWithinWatermark(list(keys))
+    return stream.dropDuplicates(list(keys))
 
 
 def bucket_weather_stream(
@@ -90,17 +87,38 @@ def bucket_join_stream(
     return joined.select(*kept, F.timestamp_micros(_MICROS).alias(ts), *WEATHER_MEANS, *WEATHER_MODES)
 
 
-def predictions_stream(model: PipelineModel, raw_readings: DataFrame, tz: str = "UTC") -> DataFrame:
-    """Text readings -> prediction rows with their partition column; no state."""
-    predicted = score(model, type_weather(raw_readings, tz))
+def predictions_stream(model: PipelineModel, raw_readings: DataFrame, tz: str = "UTC", model_tz: str | None = None) -> DataFrame:
+    """Text readings -> prediction rows with their partition column; no state.
+
+    ``tz`` is the zone of times that name none, ``model_tz`` the zone of the calendar parts
+    that the model was trained on. How many readings there were and how many lack a number,
+    which cannot be scored, is observed as ``readings``.
+    """
+    typed = type_weather(raw_readings, tz)
+    missing = F.greatest(*[F.col(c).isNull() for c in (*WEATHER_MEANS, "date")])
+    counted = typed.observe("readings", F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("dropped"))
+    predicted = score(model, counted, model_tz)
     return predicted.withColumn(END_DAY, end_day(F.col("endDate")))
 
 
 def start_scoring(
     store: ModelStore, raw_readings: DataFrame, out: str, checkpoint: str, every: str | None = None, tz: str = "UTC"
 ) -> StreamingQuery | None:
-    """Score new readings with the current model; without a model, do nothing."""
+    """Score new readings with the current model; without a model, do nothing.
+
+    Calendar parts are taken in the zone stored with the model.
+    """
     if not store.exists():
         return None
-    predicted = predictions_stream(store.load(), raw_readings, tz)
+    predicted = predictions_stream(store.load(), raw_readings, tz, store.zone())
     return begin(append_files(predicted, out, (END_DAY,)), checkpoint, every)
+
+
+def observed(query: StreamingQuery) -> dict[str, int]:
+    """Readings seen and left out by a finished scoring query."""
+    found = {"rows": 0, "dropped": 0}
+    for progress in query.recentProgress:
+        metrics = progress["observedMetrics"].get("readings")
+        if metrics is not None:
+            found = {name: n + (metrics[name] or 0) for name, n in found.items()}
+    return found

@@ -119,15 +119,6 @@ def test_split_join_spreads_the_hot_key(spark):
     assert sum(sizes) == 4000 and max(sizes) < 2000
 
 
-def test_copies_survive_packing(spark):
-    frame = spark.createDataFrame([("a", None)] * 2503 + [("b", 1)], "k string, n int")
-    packed = skew.pack_copies(frame, rows_per_slice=1000)
-    assert packed.count() == 4
-    back = skew.unpack_copies(packed)
-    assert back.columns == frame.columns
-    assert {r["k"]: r["count"] for r in back.groupBy("k").count().collect()} == {"a": 2503, "b": 1}
-
-
 def test_lookup_repeats_records_and_reports_missing(spark):
     messages = spark.createDataFrame([("r1", "k1", "w"), ("r1", "k1", "w"), ("r2", "gone", "w")], schemas.NOTIFICATION)
     records = spark.createDataFrame([("k1", 7), ("k2", 8)], "key string, payload int")

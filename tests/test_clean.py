@@ -41,7 +41,13 @@ def test_text_readings(spark, function, raw, expected):
         ("2022-12-25T10:15:30.5", "UTC", datetime(2022, 12, 25, 10, 15, 30, 500000)),
         ("2022-12-25T10:15:30.5", "Europe/Moscow", datetime(2022, 12, 25, 7, 15, 30, 500000)),
         ("2022-12-25T10:15:30Z", "Europe/Moscow", datetime(2022, 12, 25, 10, 15, 30)),
-        ("2022-12-25", "UTC", None),
+        ("2022-12-25", "UTC", datetime(2022, 12, 25)),
+        ("2022-12-25", "Europe/Moscow", datetime(2022, 12, 24, 21)),
+        ("2022-12-25T10:15", "UTC", datetime(2022, 12, 25, 10, 15)),
+        ("2022-12-25T10:15:30+03", "UTC", datetime(2022, 12, 25, 7, 15, 30)),
+        ("2022-12-25 10:15:30 Europe/Moscow", "UTC", datetime(2022, 12, 25, 7, 15, 30)),
+        ("10:15:30", "UTC", None),
+        ("2022-13-25", "UTC", None),
         ("yesterday", "UTC", None),
     ],
 )

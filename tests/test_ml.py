@@ -87,7 +87,7 @@ def test_dropped_rows_are_reported(spark):
     broken = rows.withColumn("humidity", F.when(F.col("hour") != 3, F.col("humidity"))).withColumn(
         "city_name", F.when(F.col("hour") == 4, "ekb").otherwise(F.col("city_name")))
     for invalid, hours in [("keep", (3,)), ("skip", (3, 4))]:
-        fitted = features.feature_pipeline(invalid).fit(rows)
+        fitted = features.feature_pipeline(invalid, "skip").fit(rows)
         expected = broken.filter(F.col("hour").isin(*hours)).count()
         report = features.unscorable(fitted, broken).first()
         assert (report["rows"], report["dropped"]) == (300, expected)
@@ -98,6 +98,16 @@ def test_more_than_32_categories(spark):
     many = hourly(spark, cities=[f"c{i}" for i in range(40)], rows=400)
     result = training.train_forest(many, tree_counts=(2,), depths=(3,))
     assert not math.isnan(result.metrics[0])
+    with pytest.raises(ValueError, match="city_name has 40 values; max_bins=40"):
+        training.train_forest(many, max_bins=40, tree_counts=(2,), depths=(3,))
+
+
+def test_a_missing_number_fails_unless_told_otherwise(spark):
+    rows = hourly(spark)
+    broken = rows.withColumn("humidity", F.when(F.col("hour") != 3, F.col("humidity")))
+    with pytest.raises(Exception, match="null"):
+        features.feature_pipeline().fit(rows).transform(broken).collect()
+    assert training.train_forest(broken, tree_counts=(2,), depths=(2,)).left_out == broken.filter("humidity is null").count() > 0
 
 
 class Fixed:

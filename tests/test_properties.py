@@ -58,8 +58,8 @@ def test_bucket_weather(spark, rows):
 
 
 @few_runs
-@given(seen=events, rows=readings, limit=st.sampled_from([1, 3, 1000]))
-def test_bucket_join(spark, seen, rows, limit):
+@given(seen=events, rows=readings)
+def test_bucket_join(spark, seen, rows):
     groups = bucket_groups(rows)
     base = int((START - datetime(1970, 1, 1)).total_seconds())
     expected = sorted(
@@ -67,7 +67,7 @@ def test_bucket_join(spark, seen, rows, limit):
         for n, (_, c, _, m) in enumerate(seen)
         if (key := ((base + m * 60) // 900, c)) in groups
     )
-    joined = align.bucket_join(event_frame(spark, seen), weather_frame(spark, rows), rows_per_task=limit)
+    joined = align.bucket_join(event_frame(spark, seen), weather_frame(spark, rows))
     assert sorted((r["dislikes"], str(None if r["temperature"] is None else round(r["temperature"], 9))) for r in joined.collect()) == expected
 
 
@@ -98,14 +98,6 @@ def test_first_sightings(spark, seen, known):
     assert {r["id"]: r["dislikes"] for r in fresh.collect()} == expected
 
 
-@few_runs
-@given(rows=st.lists(st.tuples(st.sampled_from("ab"), st.one_of(st.none(), st.integers(0, 2))), max_size=40), size=st.sampled_from([1, 7, 100]))
-def test_packing_is_lossless(spark, rows, size):
-    frame = spark.createDataFrame(rows, "k string, n int")
-    back = skew.unpack_copies(skew.pack_copies(frame, size))
-    assert Counter(map(tuple, back.collect())) == Counter(rows)
-
-
 @few_runs
 @given(keys=st.sets(st.integers(0, 9)), rows=st.lists(st.integers(0, 9), max_size=60))
 def test_zero_filled_count(spark, keys, rows):

@@ -1,5 +1,6 @@
 import json
-from datetime import datetime
+import time
+from datetime import date, datetime
 
 import pytest
 from pyspark.sql import functions as F
@@ -104,6 +105,33 @@ def test_page_without_text_gives_defaults(spark):
     assert [r["t"] for r in found] == ["none", "none", "x"]
 
 
+@pytest.mark.parametrize(
+    "html, selector, expected",
+    [
+        ("<b class=a>x</b><![foo[bar]]><i class=b>y</i>", ".a", "x"),
+        ("<ul><li class=x>a<li>b</ul>", ".x", "a"),
+        ("<ul><li class=x>a<ul><li>b</ul>c<li>d</ul>", ".x", "abc"),
+        ("<table><tr><td class=v>1<td>2<tr><td>3</table>", ".v", "1"),
+        ("<p class=a>first<p>second", ".a", "first"),
+        ("<p class=a>first<div>second</div>", ".a", "first"),
+        ("<div class=a><p>one<p>two</div>three", ".a", "onetwo"),
+    ],
+)
+def test_pages_never_fail_and_end_tags_are_implied(spark, html, selector, expected):
+    frame = spark.createDataFrame([(1, html)], "page_id int, html string")
+    assert pages.extract_page_fields(frame, {"t": (selector, "none")}).first()["t"] == expected
+
+
+def test_unclosed_elements_take_linear_time():
+    def took(n):
+        begun = time.process_time()
+        pages._read_fields("<div class=k>" + "<b>x " * n, {"f": (pages._steps(".k"), "")})
+        return time.process_time() - begun
+
+    took(100)
+    assert took(80_000) < 8 * took(20_000) + 0.1
+
+
 COUNT = ("spb", 3, datetime(2024, 1, 1, 0, 0, 0, 123456), 0.5, 740, -3, "snow, wet", "N", 3.5)
 
 
@@ -132,38 +160,49 @@ def test_predictions_append_and_require_every_field(spark, tmp_path):
     assert tables.read_predictions(spark, path).count() == 2
 
 
-def test_seen_ids_replace_a_repeated_batch_and_survive_a_session(spark, tmp_path):
-    path = str(tmp_path / "seen")
-    seen = tables.SeenIds(spark, path, buckets=4)
-    ids = spark.createDataFrame([("x",), ("y",)], "id string")
+def days(spark, *rows):
+    return spark.createDataFrame(rows, "id string, day string").withColumn("day", F.col("day").cast("date"))
+
+
+def test_seen_ids_of_a_batch_run_twice_and_of_other_streams(spark, tmp_path):
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"))
+    batch = days(spark, ("x", "2024-01-01"), ("y", None))
+    assert seen.known(batch, "s", 0).count() == 0
     for _ in range(2):
-        seen.remember(ids, 0)
-    assert seen.before(0).count() == 0
-    assert sorted(r["id"] for r in seen.before(1).collect()) == ["x", "y"]
-    seen.remember(spark.createDataFrame([("z",)], "id string"), 1)
-    assert sorted(r["id"] for r in seen.before(2).collect()) == ["x", "y", "z"]
-    spark.sql(f"DROP TABLE {seen.table}")  # a new session has no catalog entry, only the files
-    again = tables.SeenIds(spark, path, buckets=9)
-    assert again.buckets == 4
-    assert sorted(r["id"] for r in again.before(2).collect()) == ["x", "y", "z"]
-
-
-def test_seen_ids_of_two_folders_are_apart(spark, tmp_path):
-    one, two = (tables.SeenIds(spark, str(tmp_path / name), buckets=4) for name in ("one", "two"))
-    one.remember(spark.createDataFrame([("x",)], "id string"), 0)
-    assert (one.before(1).count(), two.before(1).count()) == (1, 0)
-
-
-def test_checking_seen_ids_shuffles_only_the_batch(spark, tmp_path):
-    seen = tables.SeenIds(spark, str(tmp_path / "seen"), buckets=4)
-    seen.remember(spark.createDataFrame([("x",)], "id string"), 0)
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    try:
-        fresh = dedup.drop_seen(spark.createDataFrame([("x",), ("z",)], "id string"), seen.before(1), ["id"])
-        plan = fresh._jdf.queryExecution().executedPlan().toString()
-        assert [r["id"] for r in fresh.collect()] == ["z"]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-    history = next(line for line in plan.splitlines() if seen.table in line)
-    assert "Bucketed: true" in history
-    assert plan.count("Exchange hashpartitioning") == 2  # the batch and its ids; none above the history
+        seen.remember(batch, "s", 0)
+    shown = lambda *args: sorted(r["id"] for r in seen.known(batch, *args).collect())
+    assert shown("s", 0) == [] and shown("s", 1) == ["x", "y"] and shown("new", 0) == ["x", "y"]
+    seen.remember(days(spark, ("z", "2024-01-01")), "new", 0)
+    assert shown("s", 1) == ["x", "y", "z"]
+    again = tables.SeenIds(spark, str(tmp_path / "seen"))
+    assert again.ids().count() == 3
+
+
+def test_only_the_days_of_a_batch_are_read(spark, tmp_path):
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"))
+    seen.remember(days(spark, ("x", "2024-01-01"), ("y", "2024-01-02"), ("q", None)), "s", 0)
+    known = seen.known(days(spark, ("x", "2024-01-01")), "t", 0)
+    plan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [" in plan and "2024-01-01" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert [r["id"] for r in known.collect()] == ["x"]
+
+
+def test_compacting_and_forgetting_days(spark, tmp_path):
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"))
+    for batch in range(3):
+        seen.remember(days(spark, ("x", "2024-01-01"), (f"y{batch}", "2024-01-01"), ("z", "2024-02-01")), "s", batch)
+    seen.compact(date(2024, 1, 15))
+    found = sorted((r["id"], r["stream"]) for r in seen.ids().filter("day = '2024-01-01'").collect())
+    assert found == [("x", "merged"), ("y0", "merged"), ("y1", "merged"), ("y2", "merged")]
+    assert seen.ids().filter("day = '2024-02-01'").count() == 3
+    seen.forget(date(2024, 1, 15))
+    assert {r["id"] for r in seen.ids().collect()} == {"z"}
+
+
+def test_a_batch_is_evaluated_once(spark, tmp_path):
+    path = str(tmp_path / "batch")
+    spark.createDataFrame([("x", 1), ("x", 0), ("z", 1)], "id string, n int").write.parquet(path)
+    history = spark.createDataFrame([("x",)], "id string")
+    fresh = dedup.first_sightings(spark.read.parquet(path), history, ["id"], ["n"])
+    assert [r["id"] for r in fresh.collect()] == ["z"]
+    assert "FileScan" not in fresh._jdf.queryExecution().executedPlan().toString()

@@ -1,6 +1,8 @@
 import json
 from datetime import datetime, timedelta, timezone
 
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
 from tallycast import schemas
@@ -36,7 +38,7 @@ def counts(spark, tick):
 
 def test_tick_works_off_what_is_new(spark, tmp_path):
     landed, args = tmp_path / "in", [str(tmp_path / n) for n in ("out", "seen", "checkpoint")]
-    run = lambda: jobs.process(spark, str(landed), *args, buckets=4)
+    run = lambda: jobs.process(spark, str(landed), *args)
 
     land(landed, "0.json", traffic("r1", ("a", 1), ("b", 2)), reading("r1", 1, "−1"))
     tick = run()
@@ -54,18 +56,18 @@ def test_tick_works_off_what_is_new(spark, tmp_path):
 def test_a_batch_run_twice_leaves_one_result(spark, tmp_path):
     landed = tmp_path / "in"
     land(landed, "0.json", traffic("r1", ("a", 1)), reading("r1", 1, "1"))
-    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen"), 4))
+    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen")))
     batch = landing.read_landing(spark, str(landed))
     for _ in range(2):
         tick.process(batch, 3)
     assert counts(spark, tick) == {1: 1}
-    assert tick.seen.before(4).count() == 1
+    assert tick.seen.ids().count() == 1
 
 
 def test_tick_without_events_or_without_readings(spark, tmp_path):
     for name, record, expected in [("w", reading("r1", 1, "1"), {1: 0}), ("t", traffic("r1", ("a", 1)), {})]:
         land(tmp_path / name, "0.json", record)
-        tick = jobs.process(spark, str(tmp_path / name), *[str(tmp_path / f"{name}-{n}") for n in ("out", "seen", "cp")], buckets=4)
+        tick = jobs.process(spark, str(tmp_path / name), *[str(tmp_path / f"{name}-{n}") for n in ("out", "seen", "cp")])
         assert counts(spark, tick) == expected
 
 
@@ -74,22 +76,22 @@ def test_one_batch_equals_the_batch_operators(spark, sf_dir, tmp_path):
     landed = str(tmp_path / "in")
     landing.write_landing(views.weather_envelopes(source), landed)
     landing.write_landing(views.traffic_envelopes(source), landed)
-    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen"), 4), replace_recollected=False)
+    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen")), replace_recollected=False)
     runs.drain(tick.start(landing.read_landing(spark, landed, streaming=True), str(tmp_path / "cp")))
 
     envelopes = landing.read_landing(spark, landed)
     events = clean.clean_events(landing.traffic_records(envelopes))
     weather = clean.clean_weather(landing.weather_records(envelopes))
     key = lambda df: sorted(map(repr, df.collect()))
-    assert key(spark.read.parquet(tick.run_count).drop("batch")) == key(align.count_per_run(weather, events))
-    assert key(spark.read.parquet(tick.event_weather).drop("batch")) == key(align.bucket_join(events, weather))
+    assert key(spark.read.parquet(tick.run_count).drop("stream", "batch")) == key(align.count_per_run(weather, events))
+    assert key(spark.read.parquet(tick.event_weather).drop("stream", "batch")) == key(align.bucket_join(events, weather))
 
 
 def test_results_as_delimited_text_and_as_sql_views(spark, tmp_path):
     land(tmp_path / "in", "0.json", traffic("r1", ("a", 1), ("b", 2)), reading("r1", 1, "−1"), reading("r2", 31, "4"))
     shared = [str(tmp_path / "in")]
     ticks = {
-        kind: jobs.process(spark, *shared, *[str(tmp_path / f"{kind}-{n}") for n in ("out", "seen", "cp")], buckets=4, result_format=kind)
+        kind: jobs.process(spark, *shared, *[str(tmp_path / f"{kind}-{n}") for n in ("out", "seen", "cp")], result_format=kind)
         for kind in ("csv", "parquet")
     }
     key = lambda kind: sorted(map(repr, jobs.read_counts(spark, ticks[kind].run_count, kind).collect()))
@@ -108,7 +110,6 @@ def test_dedup_does_not_depend_on_how_input_is_cut_into_files(spark, sf_dir, tmp
         stream = spark.readStream.schema(repeated.schema).option("maxFilesPerTrigger", 1).parquet(source)
         forms = {
             "forever": stateful.stateful_dedup(stream, ["id"]),
-            "limited": stateful.stateful_dedup(stream, ["id"], "date", "60 days"),
         }
         for name, fresh in forms.items():
             out = str(tmp_path / f"{name}{pieces}")
@@ -116,7 +117,7 @@ def test_dedup_does_not_depend_on_how_input_is_cut_into_files(spark, sf_dir, tmp
                 runs.drain(runs.begin(runs.append_files(fresh, out), out + "-cp"))
             assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == expected
         out = str(tmp_path / f"table{pieces}")
-        seen = tables.SeenIds(spark, out + "-seen", 4)
+        seen = tables.SeenIds(spark, out + "-seen")
         runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["collected_at"], out + "-cp"))
         assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == expected
 
@@ -129,27 +130,81 @@ def test_state_partitions_are_restored(spark):
 
 
 def test_train_predict_and_list(spark, sf_dir, tmp_path):
-    models, stored = str(tmp_path / "models"), str(tmp_path / "predictions")
+    models, stored, landed = (str(tmp_path / n) for n in ("models", "predictions", "landed"))
     source = views.events(spark, sf_dir)
-    raw = views.weather_text(source, malformed=False)
-    assert jobs.predict(spark, raw, models, stored) is False
-    assert stateful.start_scoring(ModelStore(spark, models), raw, stored, str(tmp_path / "cp")) is None
+    landing.write_landing(views.weather_envelopes(source, malformed=False), landed)
+    predict = lambda: jobs.predict(spark, landed, models, stored, str(tmp_path / "cp"))
+    assert predict() is None
 
-    weather = clean.clean_weather(raw)
+    weather = clean.clean_weather(views.weather_text(source, malformed=False))
     assert jobs.train(spark, align.count_per_run(weather, views.traffic(source)), models, tree_counts=(2,), depths=(3,)) == 0
-    assert jobs.predict(spark, raw, models, stored) is True
+    once = weather.select("city_name", "scheduler_id").distinct().count()
+    assert predict() == {"rows": once, "dropped": 0}
+    assert tables.read_predictions(spark, stored).count() == once
+    assert predict() == {"rows": 0, "dropped": 0}  # nothing new, nothing stored again
+    assert tables.read_predictions(spark, stored).count() == once
 
     shown = jobs.listing(spark, stored, datetime(2024, 1, 21, 12))
-    lower, upper = datetime(2024, 1, 11, 11), datetime(2024, 1, 21, 11)
-    expected = views.weather(source).filter(F.col("date").between(lower, upper)).count()
-    assert shown.count() == expected > 0
-    assert jobs.listing(spark, stored, datetime(2024, 1, 21, 12), "москва").count() < expected
-
-    out = str(tmp_path / "streamed")
-    stream = views.weather_text(views.events_stream(spark, sf_dir), malformed=False)
-    runs.drain(stateful.start_scoring(ModelStore(spark, models), stream, out, str(tmp_path / "cp")))
-    key = lambda path: sorted(map(repr, tables.read_predictions(spark, path).collect()))
-    assert key(out) == key(stored)
+    assert 0 < shown.count() < once
+    assert jobs.listing(spark, stored, datetime(2024, 1, 21, 12), "москва").count() < shown.count()
+
+
+def test_scoring_uses_the_zone_of_training(spark, sf_dir, tmp_path):
+    hours = PipelineModel([SQLTransformer(statement="SELECT *, CAST(hour AS DOUBLE) AS prediction FROM __THIS__")])
+    store = ModelStore(spark, str(tmp_path / "models"))
+    held_out = spark.createDataFrame([(1, 1)], "hour int, crashes int")
+    assert store.promote_if_better(hours, held_out, tz="Europe/Moscow") == 0 and store.zone() == "Europe/Moscow"
+    land(tmp_path / "in", "0.json", reading("r1", 1, "1"), reading("r1", 1, "1"), reading("r2", 1, "n/a"))
+    found = jobs.predict(spark, str(tmp_path / "in"), str(tmp_path / "models"), str(tmp_path / "out"), str(tmp_path / "cp"))
+    assert found == {"rows": 2, "dropped": 1}
+    # 07:01 UTC is hour 10 in Moscow, as the roll-up of training has it
+    stored = tables.read_predictions(spark, str(tmp_path / "out"))
+    assert [r["crashes"] for r in stored.filter("crashes is not null").limit(1).collect()] == [10]
+
+
+def test_a_new_checkpoint_keeps_old_ids_out_and_loses_none(spark, tmp_path):
+    landed, seen = tmp_path / "in", str(tmp_path / "seen")
+    out = [str(tmp_path / "out"), seen]
+    land(landed, "0.json", traffic("r1", ("a", 1), ("b", 2)), reading("r1", 1, "1"))
+    jobs.process(spark, str(landed), *out, str(tmp_path / "cp1"))
+    other = tmp_path / "other"
+    land(other, "0.json", traffic("r2", ("a", 1), ("z", 3)), reading("r2", 1, "2"))
+    tick = jobs.process(spark, str(other), *out, str(tmp_path / "cp2"))
+    assert sorted(r["id"] for r in tick.seen.ids().collect()) == ["a", "b", "z"]
+    assert counts(spark, tick) == {1: 2, 2: 1}  # the first stream's result is still there
+
+
+def test_late_first_sightings_are_kept(spark, tmp_path):
+    schema = "id string, date timestamp"
+    stream_in = str(tmp_path / "in")
+    for day in ("2024-06-02", "2024-01-01"):
+        spark.sql(f"select 'at {day}' id, timestamp'{day} 10:00:00' date").coalesce(1).write.mode("append").parquet(stream_in)
+    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(stream_in)
+    seen, out = tables.SeenIds(spark, str(tmp_path / "seen")), str(tmp_path / "out")
+    runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["date"], str(tmp_path / "cp"), days=60))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["at 2024-01-01", "at 2024-06-02"]
+
+
+def test_unreadable_lines_are_kept_aside(spark, tmp_path):
+    land(tmp_path / "in", "0.json", traffic("r1", ("a", 1)), reading("r1", 1, "1"))
+    with open(tmp_path / "in" / "0.json", "a") as more:
+        more.write('\n{"scheduler_id": "r9", "crawler_ty')
+    tick = jobs.process(spark, str(tmp_path / "in"), *[str(tmp_path / n) for n in ("out", "seen", "cp")])
+    assert counts(spark, tick) == {1: 1}
+    assert [r["landed_text"] for r in spark.read.parquet(tick.unreadable).collect()] == ['{"scheduler_id": "r9", "crawler_ty']
+
+
+def test_late_rows_change_their_day(spark, sf_dir, tmp_path):
+    source = views.events(spark, sf_dir)
+    events, weather = views.traffic(source), views.weather(source)
+    kept = microbatch.BucketTables(str(tmp_path / "out"))
+    for number, part in enumerate((F.col("date") >= "2024-01-15", F.col("date") < "2024-01-15")):
+        kept.process(events.filter(part), weather.filter(part).filter("event_id % 2 = 0"), number)
+    kept.process(events.limit(0), weather.filter("event_id % 2 = 1"), 2)
+    rounded = lambda df: df.select(*[F.round(c, 6).alias(c) if c in align.WEATHER_MEANS else F.col(c) for c in df.columns])
+    key = lambda df: sorted(map(repr, rounded(df).collect()))
+    assert key(spark.read.parquet(kept.joined).drop("day")) == key(align.bucket_join(events, weather))
+    assert key(spark.read.parquet(kept.buckets).drop("day")) == key(align.bucket_weather(weather))
 
 
 def in_time_order(spark, frame, folder, pieces=3):
