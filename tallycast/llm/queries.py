@@ -6,6 +6,7 @@ from tallycast.llm.chat_format import op6_chat_format
 from tallycast.llm.language_id import op2_language_id
 from tallycast.llm.mixing import op9_mixing
 from tallycast.llm.near_dedup import op4_near_dedup
+from tallycast.llm.oracles import ORACLES
 from tallycast.llm.personal_data import op7_personal_data
 from tallycast.llm.piece_coding import op8_piece_coding
 from tallycast.llm.quality_rules import op3_quality_rules
@@ -13,6 +14,8 @@ from tallycast.llm.secret_scan import op1_secret_scan
 from tallycast.llm.token_files import op10_token_files
 from tallycast.llm.vector_dedup import op5_vector_dedup
 
+__all__ = ["ORACLES", "QUERIES"]
+
 QUERIES = {
     query.__name__: query
     for query in (
@@ -28,5 +31,3 @@ QUERIES = {
         op10_token_files,
     )
 }
-
-ORACLES: dict[str, str] = {}

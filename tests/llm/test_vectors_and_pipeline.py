@@ -2,7 +2,9 @@
 
 import re
 
+import duckdb
 import numpy as np
+import pandas as pd
 import pytest
 
 import __spark_entry__ as contract
@@ -100,3 +102,18 @@ def test_registered_queries():
     names = set(contract.queries())
     assert {int(re.match(r"op(\d+)_", n)[1]) for n in names if re.match(r"op\d+_", n)} == set(range(1, 11))
     assert "pipeline" in names and set(contract.oracle_sql()) <= names
+
+
+@pytest.mark.parametrize("name", sorted(n for n in contract.oracle_sql() if n == "pipeline" or re.match(r"op\d+_", n)))
+def test_query_against_its_sql(spark, sf_dir, name):
+    duck = duckdb.connect()
+    for table in ("documents", "embeddings", "conversations"):
+        duck.execute(f"CREATE VIEW {table} AS SELECT * FROM '{sf_dir}/{table}.parquet'")
+    ours, theirs = contract.queries()[name](spark, sf_dir).toPandas(), duck.execute(contract.oracle_sql()[name]).df()
+
+    def rows(frame):
+        frame = frame[sorted(frame.columns)]
+        return sorted((tuple(None if pd.isna(v) else v for v in r) for r in frame.itertuples(index=False, name=None)), key=repr)
+
+    assert sorted(ours.columns) == sorted(theirs.columns) and len(ours) > 0
+    assert rows(ours) == rows(theirs)
