@@ -327,4 +327,24 @@ FROM orders""",
 SELECT event_id, epoch_us(CASE event_id % 5 WHEN 0 THEN ts WHEN 1 THEN date_trunc('minute', ts)
   WHEN 2 THEN date_trunc('day', ts + INTERVAL 3 HOURS) - INTERVAL 3 HOURS ELSE date_trunc('second', ts) END) AS date
 FROM events""",
+    "forest_tuned_score": f"""{_with(_WEATHER)}
+SELECT city_name AS city, epoch_us(date) AS "startDate", epoch_us(date + INTERVAL 1 HOUR) AS "endDate", TRUE AS in_range
+FROM weather""",
+    "promotion_decision": f"""{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED, _HOURLY)},
+errors AS (
+  SELECT sqrt(avg(CAST(4 AS DOUBLE))) AS two, sqrt(avg(CAST(crashes AS DOUBLE) * crashes / 16)) AS quarter, sqrt(avg(CAST(9 AS DOUBLE))) AS three
+  FROM rolled WHERE d % 5 = 0),
+steps AS (
+  SELECT 1 AS step, two AS new_rmse, CAST(NULL AS DOUBLE) AS old_rmse FROM errors
+  UNION ALL SELECT 2, two, two FROM errors
+  UNION ALL SELECT 3, quarter, two FROM errors
+  UNION ALL SELECT 4, three, least(two, quarter) FROM errors),
+decided AS (SELECT *, CASE WHEN old_rmse IS NULL THEN 0 WHEN new_rmse < old_rmse THEN 1 ELSE -1 END AS decision FROM steps)
+SELECT 1 + CAST(sum(CASE decision WHEN 1 THEN 1 ELSE 0 END) OVER (ORDER BY step) AS BIGINT) AS version, decision,
+  {_r('new_rmse')}, {_r('old_rmse')}, CAST(NULL AS VARCHAR) AS tz
+FROM decided""",
+    "stream_score": f"""{_with(_WEATHER)}
+SELECT city_name AS city, CAST(CASE WHEN hour(date) = 0 THEN 24 ELSE hour(date) END + month(date) AS INTEGER) AS crashes,
+  epoch_us(date) AS "startDate", epoch_us(date + INTERVAL 1 HOUR) AS "endDate"
+FROM weather""",
 }
