@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm.common import components, document_columns, per_worker, slices_of, table
-from tallycast.session import cut_lineage
+from tallycast.session import cut_lineage, work_path
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -235,11 +235,10 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     digest = F.when(worded, F.md5("text")).alias("digest")
     light = rows.select("doc_id", digest)
     known = cut_lineage(light.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("v")))
-    # an id may stand for a class only once, whatever rows repeat it
-    texts = rows.filter(worded).join(known.select("v", "digest"), (F.col("doc_id") == F.col("v")) & (F.md5("text") == F.col("digest")))
-    texts = texts.select("v", "text")
-    signed = cut_lineage(signatures(texts))
-    links = _links(signed, texts, similarity)
+    # every text is signed where it is read: moving the texts costs more than signing copies
+    texts = rows.filter(worded).select(F.col("doc_id").alias("v"), "text")
+    signed = signatures(texts).join(known.select("v"), "v", "left_semi").dropDuplicates(["v"])
+    links = _links(cut_lineage(signed), texts, similarity)
     grouped = components(links.select("a", "b"))
     classes = known.join(grouped, "v", "left").select("digest", "v", F.coalesce("root", "v").alias("root"))
     # rows without a digest match nothing; a key of their own spreads them
@@ -258,6 +257,10 @@ def _links(signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     """Verified pairs ``(a, b)`` between class representatives."""
     banded = signed.select("v", F.explode("keys").alias("key"))
     met = cut_lineage(_with_hub(banded, F.min("v")).select("key", "v", "a"))
+    # the texts that may be compared are moved once, and from then on only they are
+    spark, place = signed.sparkSession, work_path(signed.sparkSession, "near-texts")
+    texts.join(met.select("v").distinct(), "v", "left_semi").write.parquet(place)
+    texts = spark.read.parquet(place)
     pairs = met.filter("a <> v").select("a", F.col("v").alias("b")).distinct()
     first = cut_lineage(verified(pairs, texts, similarity))
     grouped = components(first.select("a", "b"))
