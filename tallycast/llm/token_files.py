@@ -40,20 +40,28 @@ _TEXT_BYTES, _CACHED_WORDS = 4_000_000, 900_000
 _STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
 
 
+def _bytes_of(planes_used: int) -> int:
+    """Bytes per id that hold so many planes: 1, 2 or 4."""
+    return 1 if planes_used <= 8 else 2 if planes_used <= 16 else 4
+
+
 def planes(ids: np.ndarray) -> list[tuple[int, bytes]]:
     """The bit planes of a block that are not all zero, lowest first."""
-    raw = np.ascontiguousarray(ids, dtype="<u4").view(np.uint8).reshape(-1, 4)
-    bits = np.unpackbits(raw, axis=1, bitorder="little")
-    packed = np.packbits(bits.T, axis=1, bitorder="little")
-    return [(k, packed[k].tobytes()) for k in range(32) if packed[k].any()]
+    used = int(ids.max(initial=0)).bit_length()
+    width = _bytes_of(used)
+    raw = np.ascontiguousarray(ids, dtype=f"<u{width}").view(np.uint8).reshape(-1, width)
+    bits = np.ascontiguousarray(np.unpackbits(raw, axis=1, bitorder="little").T[:used])
+    packed = np.packbits(bits, axis=1, bitorder="little")
+    return [(k, packed[k].tobytes()) for k in range(used) if packed[k].any()]
 
 
 def from_planes(count: int, parts: list[tuple[int, bytes]]) -> np.ndarray:
-    bits = np.zeros((32, count), dtype=np.uint8)
+    width = _bytes_of(max([k for k, _ in parts], default=0) + 1)
+    bits = np.zeros((width * 8, count), dtype=np.uint8)
     for k, raw in parts:
         bits[k] = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=count)
     joined = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    return np.ascontiguousarray(joined).view("<u4").reshape(-1)
+    return np.ascontiguousarray(joined).view(f"<u{width}").reshape(-1).astype("<u4")
 
 
 class BitPlaneWriter:
@@ -283,7 +291,7 @@ def document_digests(files: DataFrame, folder: str) -> DataFrame:
         begins = ends - reader.counts
         for at in range(0, len(ends), 10_000):
             to = slice(at, at + 10_000)
-            crc = [zlib.crc32(reader.ids(int(b), int(e)).astype("<u4").tobytes()) for b, e in zip(begins[to], ends[to])]
+            crc = [zlib.crc32(reader.ids(int(b), int(e)).tobytes()) for b, e in zip(begins[to], ends[to])]
             names = pa.array(reader.doc_ids[to], mask=~reader.known[to])
             yield pa.RecordBatch.from_arrays(
                 [names, pa.array(begins[to] + row["before"]), pa.array(reader.counts[to]), pa.array(crc, pa.int64())],
