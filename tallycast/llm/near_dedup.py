@@ -9,9 +9,9 @@ every register is taken, so most shingles need few points.
 
 Registers are cut into bands; documents that agree in a band meet in a bucket and are
 verified by their exact J_P. Equal texts are one class from the start. Inside a bucket each
-class is compared with one hub, never all with all; where a bucket still holds classes of
-different components, its members meet again in finer buckets of two bands with other hubs,
-in which texts that are not alike no longer meet.
+class is first compared with one hub. Where a bucket still holds classes of different
+components, all its pairs across components are settled exactly, in tasks of two blocks of
+bounded size: an upper bound of J_P by matrix products leaves few pairs to compute.
 """
 
 from __future__ import annotations
@@ -32,8 +32,9 @@ SIMILARITY = 0.8
 #: 32 bands of 4 registers: documents of similarity 0.8 share no band with probability
 #: (1 - 0.8^4)^32 < 1e-7.
 BANDS, ROWS = 32, 4
-#: A band is combined with each of as many that follow it into the finer buckets.
-FINER = 6
+#: Texts, and bytes of text, in one of the two blocks of a task.
+BLOCK, BLOCK_BYTES = 512, 16_000_000
+_COLUMNS = 2048
 _TEXT_BYTES = 1_000_000
 _U64 = np.uint64
 
@@ -259,7 +260,8 @@ def _links(signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     met = cut_lineage(_with_hub(banded, F.min("v")).select("key", "v", "a"))
     # the texts that may be compared are moved once, and from then on only they are
     spark, place = signed.sparkSession, work_path(signed.sparkSession, "near-texts")
-    texts.join(met.select("v").distinct(), "v", "left_semi").write.parquet(place)
+    moved = texts.join(met.select("v").distinct(), "v", "left_semi")
+    moved.withColumn("bytes", F.octet_length("text")).write.parquet(place)
     texts = spark.read.parquet(place)
     pairs = met.filter("a <> v").select("a", F.col("v").alias("b")).distinct()
     first = cut_lineage(verified(pairs, texts, similarity))
@@ -268,27 +270,152 @@ def _links(signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
     placed = met.select("key", "v").join(grouped, "v", "left").select("key", "v", F.coalesce("root", "v").alias("root"))
     placed = cut_lineage(placed)
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_ = placed.join(mixed.select("key"), "key").select("v", "root", "key")
-    chosen = open_.join(signed, "v")
-    finer = chosen.select("v", "root", F.explode(_finer_keys()).alias("key"))
-    hub = F.min(F.struct(F.xxhash64("key", "v").alias("h"), F.col("v").alias("v"), F.col("root").alias("root")))
-    hubs = finer.groupBy("key").agg(hub.alias("hub"), F.min("root").alias("low"), F.max("root").alias("high"))
-    hubs = hubs.filter("low <> high").select("key", F.col("hub.v").alias("a"), F.col("hub.root").alias("other"))
-    again = finer.join(hubs, "key").filter("root <> other")
-    again = again.select(F.least("a", "v").alias("a"), F.greatest("a", "v").alias("b")).distinct()
-    again = again.join(pairs, ["a", "b"], "left_anti")
-    second = verified(again, texts, similarity)
-    return cut_lineage(first.unionByName(second))
-
-
-def _finer_keys():
-    """Keys of this band together with each of the next ones."""
-    at = F.array_position("keys", F.col("key")).cast("int") - 1
-    size = F.size("keys")
-    return F.transform(
-        F.sequence(F.lit(1), F.lit(FINER)),
-        lambda d: F.xxhash64(F.col("key"), F.get("keys", F.pmod(at + d, size)), d),
-    )
+    open_ = cut_lineage(placed.join(mixed.select("key"), "key").select("key", "v", "root"))
+    rest = _settled(_seats(_groups(open_), texts), texts, similarity)
+    return cut_lineage(first.unionByName(rest))
+
+
+def _groups(open_: DataFrame) -> DataFrame:
+    """``(group, v, root)``: all of ``(key, v, root)`` that have to be compared with each other.
+
+    A family meets in buckets of many bands. Buckets that share members are one group, so
+    that each text moves once, unless to take them one by one moves fewer texts.
+    """
+
+    def moved(n):
+        return n * F.ceil(n / F.lit(BLOCK))
+
+    buckets = open_.groupBy("key").agg(F.min("v").alias("a"), F.count(F.lit(1)).alias("n"))
+    joined = components(open_.join(buckets, "key").select("a", F.col("v").alias("b")))
+    joined = joined.select("v", F.col("root").alias("whole"))
+    apart = buckets.join(joined, buckets["a"] == joined["v"]).groupBy("whole").agg(F.sum(moved(F.col("n"))).alias("apart"))
+    sizes = joined.groupBy("whole").agg(moved(F.count(F.lit(1))).alias("together")).join(apart, "whole")
+    kind = sizes.select("whole", (F.col("together") <= F.col("apart")).alias("one"))
+    group = F.when(F.col("one"), F.col("whole")).otherwise(F.col("key")).alias("group")
+    return open_.join(joined, "v").join(kind, "whole").select(group, "v", "root").distinct()
+
+
+def _seats(members: DataFrame, texts: DataFrame) -> DataFrame:
+    """``(task, second, v, root)``: who sits in the first or second block of each task.
+
+    A component that fills several blocks has blocks of its own, which are not compared
+    with each other; the other members of a group share blocks.
+    """
+    sizes = texts.groupBy("v").agg(F.max("bytes").alias("bytes"))
+    members = cut_lineage(members.join(sizes, "v"))
+    blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES))
+    large = members.groupBy("group", "root").agg(blocks.alias("own")).filter("own > 1")
+    laid = cut_lineage(members.join(large, ["group", "root"], "left"))
+    shared = laid.filter("own is null").groupBy("group").agg(blocks.alias("shared"))
+    part = F.pmod(F.xxhash64("v"), F.coalesce("own", "shared"))
+    is_large = F.col("own").isNotNull()
+    owner = F.when(is_large, F.col("root")).otherwise(F.lit(0))
+    block = F.struct(is_large.alias("large"), owner.alias("owner"), part.alias("part"))
+    laid = cut_lineage(laid.join(shared, "group", "left").select("group", block.alias("block"), "v", "root"))
+    counted = laid.groupBy("group", "block").agg(F.count(F.lit(1)).alias("n"))
+    x = counted.select("group", F.col("block").alias("x"), "n")
+    y = counted.select("group", F.col("block").alias("y"))
+    tasks = x.join(y, "group").filter("x <= y and (x < y or n > 1)")
+    tasks = tasks.filter("not (x.large and y.large and x.owner = y.owner)").select("group", "x", "y")
+    tasks = cut_lineage(tasks.withColumn("task", F.monotonically_increasing_id()))
+    sides = [
+        tasks.filter(f"not {second} or x < y").select("task", F.lit(second).alias("second"), "group", F.col(side).alias("block"))
+        for side, second in (("x", False), ("y", True))
+    ]
+    return laid.join(sides[0].unionByName(sides[1]), ["group", "block"]).select("task", "second", "v", "root")
+
+
+def _settled(seats: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links ``(a, b, similarity)`` that join the components which meet in the tasks."""
+    dealt = seats.join(texts.select("v", "text"), "v").select("task", "second", "v", "root", "text")
+    dealt = dealt.repartition("task").sortWithinPartitions("task", "second", "v")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[pa.RecordBatch] = []
+        for batch in batches:
+            task = batch.column(0).to_numpy()
+            starts = [0, *(np.flatnonzero(task[1:] != task[:-1]) + 1).tolist(), len(task)]
+            for begin, end in zip(starts, starts[1:]):
+                if waiting and begin < end and waiting[0].column(0)[0].as_py() != task[begin]:
+                    yield settle(waiting)
+                    waiting = []
+                if begin < end:
+                    waiting.append(batch.slice(begin, end - begin))
+        if waiting:
+            yield settle(waiting)
+
+    def settle(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+        rows = pa.Table.from_batches(parts)
+        names, roots = rows.column("v").to_numpy(), rows.column("root").to_numpy()
+        cut = int(np.searchsorted(rows.column("second").to_numpy(zero_copy_only=False), True))
+        found = block_links(rows.column("text").to_pylist(), roots, cut, similarity)
+        ends = [sorted((int(names[i]), int(names[j]))) for i, j, _ in found]
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([e[0] for e in ends], pa.int64()),
+                pa.array([e[1] for e in ends], pa.int64()),
+                pa.array([f[2] for f in found], pa.float64()),
+            ],
+            names=["a", "b", "similarity"],
+        )
+
+    return dealt.mapInArrow(run, "a bigint, b bigint, similarity double")
+
+
+def block_links(texts: list[str], roots: np.ndarray, cut: int, similarity: float) -> list[tuple[int, int, float]]:
+    """Pairs of ``similarity`` that join all components with a link across two blocks.
+
+    The first ``cut`` texts are compared with the rest, or with each other if there is no
+    rest. Pairs that are joined already are left out. With alpha and beta the shares of the
+    two weights that lie on common shingles, J_P <= 1 / (1 / alpha + 1 / beta - 1), and equal
+    to it where no shingle repeats.
+    """
+    owner, value, weight = shingles(texts)
+    same = cut == len(texts)
+    weight_of = weight / np.maximum(1.0, np.bincount(owner, weight, len(texts)))[owner]
+    _, column, held = np.unique(value, return_inverse=True, return_counts=True)
+    use = held[column] > 1
+    if not same:
+        left = np.bincount(column[owner < cut], minlength=len(held))
+        use &= (left > 0)[column] & (left < held)[column]
+    row, share = owner[use], weight_of[use]
+    _, column = np.unique(column[use], return_inverse=True)
+    order = np.argsort(column, kind="stable")
+    row, column, share = row[order], column[order], share[order]
+    rest = slice(0, None) if same else slice(cut, None)
+    alpha = np.zeros((cut, cut if same else len(texts) - cut))
+    beta = np.zeros_like(alpha)
+    for first in range(0, int(column[-1]) + 1 if len(column) else 0, _COLUMNS):
+        here = slice(*np.searchsorted(column, [first, first + _COLUMNS]))
+        dense = np.zeros((len(texts), _COLUMNS))
+        dense[row[here], column[here] - first] = share[here]
+        has = (dense > 0).astype(float)
+        alpha += dense[:cut] @ has[rest].T
+        beta += has[:cut] @ dense[rest].T
+    with np.errstate(divide="ignore"):
+        bound = 1 / (1 / alpha + 1 / beta - 1)
+    bound[roots[:cut, None] == roots[rest][None, :]] = 0
+    if same:
+        bound = np.triu(bound)
+    i, j = np.nonzero(bound >= similarity - 1e-9)
+    likely = np.argsort(-bound[i, j], kind="stable")
+    starts = np.searchsorted(owner, np.arange(len(texts) + 1))
+    bag = lambda k: (value[starts[k] : starts[k + 1]], weight[starts[k] : starts[k + 1]])
+    joined, found = {}, []
+
+    def root(k: int) -> int:
+        while joined.get(k, k) != k:
+            k = joined[k]
+        return k
+
+    for a, b in zip(i[likely].tolist(), (j[likely] + rest.start).tolist()):
+        ra, rb = root(int(roots[a])), root(int(roots[b]))
+        if ra != rb:
+            likeness = probability_jaccard(bag(a), bag(b))
+            if likeness >= similarity:
+                joined[ra] = rb
+                found.append((a, b, likeness))
+    return found
 
 
 def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -156,6 +156,59 @@ def test_near_duplicates_against_all_pairs(spark):
     assert all(r["kept"] == (r["doc_id"] == r["component_id"]) for r in found)
 
 
+def test_near_duplicates_inside_a_family_below_the_limit(spark, count=300):
+    rng = np.random.default_rng(11)
+    fresh = iter(range(10**9))
+    own = lambda n: [f"u{next(fresh)}" for _ in range(n)]
+    passage = own(400)
+    texts = [" ".join([*passage, *own(int(rng.integers(54, 59)))]) for _ in range(count)]
+    for _ in range(20):  # planted pairs share a few words more
+        more = own(int(rng.integers(8, 12)))
+        texts += [" ".join([*passage, *more, *own(56 - len(more))]) for _ in range(2)]
+    texts = [texts[i] for i in rng.permutation(len(texts))]
+    bags = [set(weighted(t)) for t in texts]
+    likeness = {(i, j): len(a & b) / len(a | b) for (i, a), (j, b) in combinations(enumerate(bags), 2)}
+    linked = {pair for pair, x in likeness.items() if x >= 0.8}
+    assert len(linked) == 20 and all(0.8 <= likeness[p] <= 0.825 for p in linked)
+    assert all(0.76 < x < 0.795 for p, x in likeness.items() if p not in linked)
+    expected = {i: i for i in range(len(texts))} | {b: a for a, b in linked}
+    found = near_dedup.near_duplicates(documents(spark, *enumerate(texts))).collect()
+    assert {r["doc_id"]: r["component_id"] for r in found} == expected
+
+
+def test_block_links_against_all_pairs(monkeypatch):
+    monkeypatch.setattr(near_dedup, "_COLUMNS", 64)
+    rng = np.random.default_rng(5)
+    base = [f"w{k}" for k in rng.integers(0, 40, 80)]
+    texts = []
+    for _ in range(40):
+        words = list(base)
+        for at in rng.integers(0, 80, rng.integers(0, 5)):
+            words[at] = f"w{rng.integers(0, 60)}"
+        texts.append(" ".join(words))
+    for cut in (40, 17):
+        pairs = combinations(range(40), 2) if cut == 40 else ((i, j) for i in range(17) for j in range(17, 40))
+        every = {p for p in pairs if plain_jaccard(weighted(texts[p[0]]), weighted(texts[p[1]])) >= 0.8}
+        found = near_dedup.block_links(texts, np.arange(40), cut, 0.8)
+        assert {(i, j) for i, j, _ in found} <= every and every
+        ends = lambda links: components_of(links, 40)
+        assert ends((i, j) for i, j, _ in found) == ends(every)
+
+
+def components_of(links, count):
+    root = list(range(count))
+    for a, b in links:
+        x, y = root[a], root[b]
+        root = [min(x, y) if r in (x, y) else r for r in root]
+    return root
+
+
+def test_blocks_of_large_components_and_small_tasks(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "BLOCK", 16)
+    test_near_duplicates_against_all_pairs(spark)
+    test_near_duplicates_inside_a_family_below_the_limit(spark, 60)
+
+
 def test_near_duplicate_edges(spark):
     rows = [(1, None), (2, None), (3, ""), (4, " \n"), (5, "a b c"), (6, "a b c"), (6, "a b c"), (None, "a b c"), (8, "q " * 3000), (9, "q " * 3001)]
     docs = documents(spark, *rows)
