@@ -38,6 +38,8 @@ END_ID = 2
 _TEXT_BYTES, _CACHED_WORDS = 4_000_000, 900_000
 #: Full stops and commas that end a word after a letter.
 _STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
+#: Holds the place of a word that is not ASCII; no word in UTF-8 is this byte.
+_APART = b"\x80"
 
 
 def _bytes_of(planes_used: int) -> int:
@@ -185,7 +187,7 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._cached) > self._most:
             self._cached = {}
-        split = [self._prepared(text.encode("utf-8", "surrogatepass")).split() for text in texts]
+        split = [self._words(text.encode("utf-8", "surrogatepass")) for text in texts]
         new = set().union(*split).difference(self._cached)
         if new:
             self._learn(list(new))
@@ -193,11 +195,24 @@ class WordEncoder:
         return [np.frombuffer(b"".join(map(known, words)), dtype="<u4") for words in split]
 
     @staticmethod
-    def _prepared(raw: bytes) -> bytes:
-        """ASCII letters in lower case, as the tokenizer has them, and stops set apart."""
+    def _words(raw: bytes) -> list[bytes]:
+        """Words; those of ASCII alone in lower case, as the tokenizer has them, without stops.
+
+        All others stay as they are: the tokenizer composes letters before it lowers them,
+        and some marks compose with a small letter only.
+        """
+        apart: list[bytes] = []
+        if not raw.isascii():
+            words = raw.split()
+            apart = [word for word in words if not word.isascii()]
+            raw = b" ".join([word if word.isascii() else _APART for word in words])
         if b"<|" not in raw:  # special tokens keep their case
             raw = raw.lower()
-        return _STOPS.sub(rb" \1", raw)
+        words = _STOPS.sub(rb" \1", raw).split()
+        if apart:
+            others = iter(apart)
+            words = [next(others) if word == _APART else word for word in words]
+        return words
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [word.decode("utf-8", "replace") for word in words]

@@ -361,6 +361,14 @@ def test_word_encoder_equals_the_library():
         assert encoder.encode([text])[0].tolist() == reference_ids(text)
 
 
+def test_word_encoder_leaves_composing_to_the_library():
+    marked = ["H\u0331", "J\u030c", "T\u0308", "Y\u030a", "W\u030a", "A\u030a.", "\u00c9TAT, Stop.", "\u0331 \u212b"]
+    texts = [*marked, " ".join(marked), f"Plain Words. {marked[0]}ara, END. \x80 \ufffd", "\u00dcber <|Endoftext|> Y\u030a. ABC."]
+    encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    for text, ids in zip(texts, encoder.encode(texts)):
+        assert list(ids) == reference_ids(text), text
+
+
 @pytest.mark.parametrize("ids", [[], [0] * 9, [2**32 - 1], [255, 1], [256], list(range(0, 70_000 * 61_000, 61_000))])
 def test_bit_planes_round_trip(ids):
     block = np.array(ids, "<u4")
