@@ -162,48 +162,57 @@ def _distance(p: Column, q: Column) -> Column:
 def judge(docs: DataFrame, references: dict[str, dict]) -> DataFrame:
     """Add the counts, ``class_distance``, ``word_distance``, ``base_failed`` and ``kept``.
 
-    ``docs`` needs ``text`` and ``lang``; a text in a language without a reference (or a
-    null one) is compared with all text. Null and empty texts have no words and fail the
+    ``docs`` needs ``text`` and ``lang``. A text whose language is null or has no reference
+    takes the smallest distance over the references of all languages; common words say
+    nothing of a named language without a reference, so its ``word_distance`` is null. The
+    mixture of all text (key "") is a reference for classes only where no language has one,
+    and for words nowhere. Null and empty texts have no words and fail the
     fixed limits; a distance that the length guards rule out is null and rejects nothing.
     Columns of the input with the names of added ones are replaced.
     """
-    schema = "map<string,struct<classes:array<double>,words:array<string>,shares:array<double>>>"
+    shape = "struct<classes:array<double>,words:array<string>,shares:array<double>>"
     as_rows = {
         lang: {"classes": r["classes"], "words": list(r["words"]), "shares": list(r["words"].values())}
         for lang, r in references.items()
     }
     every_word = sorted({w for r in references.values() for w in r["words"]})
-    known = F.from_json(F.lit(json.dumps(as_rows)), schema)
+    known = F.from_json(F.lit(json.dumps(as_rows)), f"map<string,{shape}>")
     named = [lang for lang in references if lang]
-    lang = F.when(F.col("lang").isin(*named), F.col("lang")).otherwise("") if named else F.lit("")
-    reference = F.element_at(known, lang)
-    rows = with_class_counts(with_counts(docs)).withColumn("__reference", reference)
+    others = [as_rows[lang] for lang in named] or list(as_rows.values())
+    every = F.from_json(F.lit(json.dumps(others)), f"array<{shape}>")
+    learned = F.coalesce(F.col("lang").isin(*named), F.lit(False)) if named else F.lit(False)
+    fitting = F.when(learned, F.array(F.element_at(known, F.col("lang")))).otherwise(every)
+    by_words = (learned | F.col("lang").isNull()) if named else F.lit(False)
+    rows = with_class_counts(with_counts(docs)).withColumn("__references", fitting)
 
     common = F.filter(_WORDS, lambda w: w.isin(*every_word)) if every_word else F.array().cast("array<string>")
     joined = F.concat(F.lit(" "), F.array_join(common, "  "), F.lit(" "))
     rows = rows.withColumn("__common", joined)
-    counts = F.transform(
-        F.col("__reference")["words"],
+    counts = lambda words: F.transform(
+        words,
         lambda w: let(
             F.concat(F.lit(" "), w, F.lit(" ")),
             lambda key: (F.length("__common") - F.length(F.replace("__common", key))) / F.length(key),
         ),
     )
+    nearest = lambda of: F.array_min(F.transform("__references", of))
     total = lambda a: F.aggregate(a, F.lit(0.0), lambda x, y: x + y)
     with_rest = lambda a: F.concat(a, F.array(F.greatest(F.lit(0.0), 1 - total(a))))
-    of_words = let(
-        F.transform(counts, lambda n: n / F.greatest(F.lit(1), F.col("n_words"))),
-        lambda p: _distance(with_rest(p), with_rest(F.col("__reference")["shares"])),
+    of_words = nearest(
+        lambda r: let(
+            F.transform(counts(r["words"]), lambda n: n / F.greatest(F.lit(1), F.col("n_words"))),
+            lambda p: _distance(with_rest(p), with_rest(r["shares"])),
+        )
     )
     chars = F.greatest(F.lit(1), F.col("word_chars"))
-    of_classes = _distance(F.transform("__classes", lambda n: n / chars), F.col("__reference")["classes"])
+    of_classes = nearest(lambda r: _distance(F.transform("__classes", lambda n: n / chars), r["classes"]))
     failed = (F.col("n_words") < MIN_WORDS) | (
         100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words")
     )
     rows = rows.withColumns(
         {
             "class_distance": F.when(F.col("word_chars") >= GUARD_CHARS, of_classes),
-            "word_distance": F.when(F.col("n_words") >= GUARD_WORDS, of_words),
+            "word_distance": F.when((F.col("n_words") >= GUARD_WORDS) & by_words, of_words),
             "base_failed": failed,
         }
     )
@@ -211,7 +220,7 @@ def judge(docs: DataFrame, references: dict[str, dict]) -> DataFrame:
         F.coalesce("word_distance", F.lit(0.0)) <= MAX_WORD_DISTANCE
     )
     return rows.withColumn("kept", ~F.col("base_failed") & near).drop(
-        _WORDS, "__classes", "__reference", "__common"
+        _WORDS, "__classes", "__references", "__common"
     )
 
 

@@ -5,6 +5,7 @@ import math
 import re
 from collections import Counter
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -264,3 +265,21 @@ def test_position_inverts_the_schedule(spark):
             t = row.select(mixing._time(F.lit(demand), F.lit(place), mixing.SCHEDULES).alias("t")).first()["t"]
             reached = (s.begin * t + (s.end - s.begin) * t * t / 2) / ((s.begin + s.end) / 2)
             assert reached == pytest.approx(demand)
+
+
+def test_quality_of_null_and_unlearned_languages(spark):
+    rng = np.random.default_rng(4)
+    common = {lang: [f"{lang}{chr(97 + k)}" for k in range(20)] for lang in ("xx", "yy", "zz", "ww")}
+
+    def prose(lang):
+        rare = ["".join(chr(97 + k) for k in rng.integers(0, 26, 7)) for _ in range(200)]
+        return " ".join(rng.choice(common[lang]) if rng.random() < 0.6 else word for word in rare)
+
+    learned = [(prose(lang), lang) for lang in ("xx", "yy", "zz") for _ in range(20)]
+    references = quality_rules.learn_references(spark.createDataFrame(learned, "text string, lang string"))
+    noise = " ".join(f"q{k}" for k in rng.permutation(5000)[:200])
+    cases = [(prose("xx"), "xx"), *[(prose(lang), None) for lang in ("xx", "yy", "zz")], (prose("ww"), "ww"), (noise, None)]
+    docs = spark.createDataFrame([(i, *c) for i, c in enumerate(cases)], "id long, text string, lang string")
+    rows = sorted(quality_rules.judge(docs, references).collect(), key=lambda r: r["id"])
+    assert [r["kept"] for r in rows] == [True] * 5 + [False]
+    assert rows[4]["word_distance"] is None and max(r["word_distance"] for r in rows[:4]) < 0.4 < rows[5]["word_distance"]
