@@ -12,6 +12,7 @@ numbers (three code points of 21 bits), no hashes.
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,8 +29,8 @@ UNKNOWN = "und"
 #: A trigram is contained in a language that uses it for this share of its trigrams, and
 #: at least this share of what its heaviest user does: at most 1 / MIN_RATE per language.
 MIN_RATE, MIN_RATIO = 1e-4, 0.3
-#: Languages with less than this share of all trigrams are not learned: at most 1 / share.
-LANGUAGE_SHARE = 0.001
+#: Every language is learned; more than this many are refused, none is left out.
+MAX_LANGUAGES = 1000
 HASHES = 3
 _TEXT_BYTES = 2_000_000
 _BLANK = 32
@@ -134,7 +135,8 @@ def learn(rows: DataFrame) -> LanguageFilter:
     """Filter from all ``lang, text`` rows.
 
     Tasks count the trigrams of their own rows, so what is shuffled is the different
-    trigrams of each task. What reaches the driver is bounded by the rates and shares above.
+    trigrams of each task. What reaches the driver is bounded by the rates and the number of
+    languages, which is logged; more than ``MAX_LANGUAGES`` raise an error.
     """
     known = rows.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()).select("lang", "text")
 
@@ -169,9 +171,11 @@ def learn(rows: DataFrame) -> LanguageFilter:
     counted = known.mapInArrow(count, "lang string, gram bigint, n bigint").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
     counted = cut_lineage(counted)
     sizes = counted.groupBy("lang").agg(F.sum("n").alias("total"))
-    everything = sizes.agg(F.sum("total")).first()[0] or 0
-    kept = sizes.filter(F.col("total") >= LANGUAGE_SHARE * everything).collect()
-    kept = sorted(kept, key=lambda r: (-r["total"], r["lang"]))
+    count_of = sizes.count()
+    if count_of > MAX_LANGUAGES:
+        raise ValueError(f"{count_of} languages to learn, at most {MAX_LANGUAGES} are possible")
+    logging.getLogger(__name__).info("learning %d languages", count_of)
+    kept = sorted(sizes.collect(), key=lambda r: (-r["total"], r["lang"]))
     totals = {r["lang"]: r["total"] for r in kept}
     if not totals:
         return LanguageFilter.build([], [])
@@ -182,9 +186,11 @@ def learn(rows: DataFrame) -> LanguageFilter:
 
 
 def _filter_from(found: dict, totals: dict[str, int]) -> LanguageFilter:
+    # the rates of a language with little text are chance; they may not drive out another's
     heaviest: dict[int, float] = {}
+    sure = [n / max(totals[lang], 1 / MIN_RATE) for lang, n in zip(found["lang"], found["n"])]
     rates = [n / totals[lang] for lang, n in zip(found["lang"], found["n"])]
-    for gram, rate in zip(found["gram"], rates):
+    for gram, rate in zip(found["gram"], sure):
         heaviest[gram] = max(rate, heaviest.get(gram, 0.0))
     members: dict[str, list[int]] = {lang: [] for lang in totals}
     for lang, gram, rate in zip(found["lang"], found["gram"], rates):
@@ -209,7 +215,7 @@ def predict_languages(docs: DataFrame, known: LanguageFilter) -> DataFrame:
     training text is taken. Repeated rows and ids each give a row, an empty table none.
     """
     rows = docs.select("doc_id", held_out("doc_id").alias("held_out"), F.coalesce("text", F.lit("")).alias("text"))
-    # a few MB: bounded by 1 / LANGUAGE_SHARE languages and 1 / MIN_RATE trigrams of each
+    # a few MB: bounded by MAX_LANGUAGES languages and 1 / MIN_RATE trigrams of each
     sent = docs.sparkSession.sparkContext.broadcast((known.languages, known.slots))
 
     def predict(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

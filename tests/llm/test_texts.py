@@ -41,6 +41,18 @@ def test_language_learns_only_from_its_part(spark):
     assert known.containing(language_id.trigrams(["xyzzy"])[1]).sum() == 0
 
 
+def test_small_languages_are_learned_and_take_nothing(spark, monkeypatch):
+    hot = "the quick brown fox jumps over the lazy dog and runs away from here " * 400
+    rows = [("en", hot)] * 20 + [("tiny", "zalu mipo kerav"), ("noise", "the")]
+    docs = spark.createDataFrame(rows, "lang string, text string")
+    known = language_id.learn(docs)
+    assert known.languages == ["en", "tiny", "noise"]
+    assert known.predict(["kerav zalu", "the dog jumps over the fox", "the the"])[0] == ["tiny", "en", "en"]
+    monkeypatch.setattr(language_id, "MAX_LANGUAGES", 2)
+    with pytest.raises(ValueError, match="3 languages"):
+        language_id.learn(docs)
+
+
 def test_language_edges(spark):
     docs = documents(spark, (1, None), (2, ""), (3, "123 ..."), (None, "hello world"), (4, "hello world"), (4, "hello world"))
     known = language_id.learn(docs)
