@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tallycast.llm.chat_format import ESCAPE, INSTRUCTION, TRIAL_ID, TRIAL_TEXT, Template
+from tallycast.llm.decontamination import COVERAGE, WINDOW
+from tallycast.llm.hard_negatives import HIGHEST, LOWEST, NEGATIVES, POSITIVES, STEPS
 from tallycast.llm.mixing import MIX_SHARE, MOST_PASSES, SCHEDULES, WEIGHTS
 from tallycast.llm.vector_dedup import THRESHOLD
 
@@ -109,8 +111,55 @@ FROM embeddings e
 LEFT JOIN (SELECT a, CAST(count(*) AS BIGINT) AS n FROM links GROUP BY a) ON a = e.vec_id
 JOIN (SELECT v, min(low) AS low FROM reached GROUP BY v) ON v = e.vec_id"""
 
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+_LEAKS = f"""
+WITH docs AS (SELECT row_number() OVER () AS r, doc_id, {_WORDS} AS w FROM documents),
+tests AS (SELECT item_id, {_WORDS} AS w FROM benchmark),
+windows AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[p : p + n - 1], ' ') AS gram
+  FROM (SELECT item_id, w, least(len(w), {WINDOW}) AS n, unnest(range(1, len(w) - least(len(w), {WINDOW}) + 2)) AS p
+        FROM tests WHERE len(w) > 0)),
+grams AS (
+  SELECT r, n, p, array_to_string(w[p : p + n - 1], ' ') AS gram
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM docs, (SELECT DISTINCT n FROM windows))),
+met AS (SELECT DISTINCT r, grams.n, p, item_id FROM grams JOIN windows USING (n, gram)),
+hits AS (SELECT DISTINCT r, unnest(range(p, p + n)) AS place FROM met),
+runs AS (SELECT r, place, place - row_number() OVER (PARTITION BY r ORDER BY place) AS run FROM hits),
+counted AS (SELECT r, CAST(count(*) AS BIGINT) AS n_hit, CAST(count(DISTINCT run) AS BIGINT) AS n_spans FROM runs GROUP BY r),
+named AS (
+  SELECT r, CAST(count(*) AS BIGINT) AS n_items, sha256(string_agg(name, ',' ORDER BY name)) AS items_sha256
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS name FROM met WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated, coalesce(n_spans, 0) AS n_spans,
+  coalesce(n_hit >= {COVERAGE} * len(w), false) AS dropped
+FROM docs LEFT JOIN counted USING (r) LEFT JOIN named USING (r)"""
+
+_NEGATIVES = f"""
+WITH steps AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (CAST(label AS BIGINT) + 1) % 10 ELSE label END AS label,
+    list_transform(embedding, lambda x: floor({STEPS} * CAST(x AS DOUBLE))) AS v
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scores AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, CAST(list_dot_product(a.v, b.v) AS BIGINT) AS score
+  FROM steps a JOIN steps b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scores WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= {POSITIVES})
+SELECT anchor_id, positive_id,
+  CAST(row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank,
+  vec_id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scores USING (anchor_id)
+WHERE NOT same AND {LOWEST} * positive_score <= 100 * score AND 100 * score <= {HIGHEST} * positive_score
+QUALIFY rank <= {NEGATIVES}"""
+
 ORACLES: dict[str, str] = {
     "op5_vector_dedup": _VECTORS,
     "op6_chat_format": _CHAT,
     "op9_mixing": _MIX,
+    "op11_decontamination": _LEAKS,
+    "op12_hard_negatives": _NEGATIVES,
 }

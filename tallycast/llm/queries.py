@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from tallycast.llm.chat_format import op6_chat_format
+from tallycast.llm.decontamination import op11_decontamination
+from tallycast.llm.hard_negatives import op12_hard_negatives
 from tallycast.llm.language_id import op2_language_id
 from tallycast.llm.mixing import op9_mixing
 from tallycast.llm.near_dedup import op4_near_dedup
@@ -11,6 +13,7 @@ from tallycast.llm.personal_data import op7_personal_data
 from tallycast.llm.piece_coding import op8_piece_coding
 from tallycast.llm.quality_rules import op3_quality_rules
 from tallycast.llm.secret_scan import op1_secret_scan
+from tallycast.llm.token_alignment import op13_token_alignment
 from tallycast.llm.token_files import op10_token_files
 from tallycast.llm.vector_dedup import op5_vector_dedup
 
@@ -29,5 +32,8 @@ QUERIES = {
         op8_piece_coding,
         op9_mixing,
         op10_token_files,
+        op11_decontamination,
+        op12_hard_negatives,
+        op13_token_alignment,
     )
 }
