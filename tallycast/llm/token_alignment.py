@@ -77,9 +77,13 @@ class ByteTokenizer:
         ranks = {spelt: i for i, spelt in enumerate(self.bytes) if i not in special}
         self._quick = tiktoken.Encoding("quick", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of a blank and each text."""
-        return [self._whole(" " + text) if len(text) > _QUICK else self._quick.encode_ordinary(" " + text) for text in texts]
+        quick = self._quick.encode_to_numpy
+        return [
+            np.array(self._whole(" " + text), "<u4") if len(text) > _QUICK else quick(" " + text, disallowed_special=())
+            for text in texts
+        ]
 
     def _whole(self, text: str) -> list[int]:
         return self._tokenizer.encode(text, add_special_tokens=False).ids
@@ -97,29 +101,39 @@ class PieceTokenizer:
             piece = self._model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[1:-1], 16)]) if self._model.is_byte(i) else piece.replace(BLANK, " ").encode())
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        return self._model.encode(texts, num_threads=1)
+    def encode(self, texts: list[str]) -> list[np.ndarray]:
+        return [np.array(ids, "<u4") for ids in self._model.encode(texts, num_threads=1)]
 
 
 #: The alignment of one window: text form, groups, links, pairs and how often each is linked,
-#: the last two as packed numbers of 64 bits.
-Window = tuple[str, int, int, bytes, bytes]
+#: the last two as packed numbers of 64 bits. A form of None: the sides spell different bytes.
+Window = tuple[str | None, int, int, bytes, bytes]
+#: Stands between the ids of the two sides in a window's key; no id.
+_NO_ID = 0xFFFFFFFF
+_MARK = b"\xff" * 4
 
 
-def align(windows: list[tuple[bytes, bytes]], sizes: tuple[np.ndarray, np.ndarray]) -> list[Window]:
-    """Group the ids of many windows, each two sequences that spell the same bytes, by shared ends.
+def align(windows: list[bytes], spelt: tuple[list[bytes], list[bytes]], sizes: tuple[np.ndarray, np.ndarray]) -> list[Window]:
+    """Group the ids of many windows, each two sequences of as many bytes, by shared ends.
 
-    ``sizes`` are the bytes of each id of either side. The windows are laid end to end.
+    A window is its ids, those of the first side ahead of the mark. ``spelt`` and ``sizes``
+    are the bytes of each id of either side and their number. The windows are laid end to end.
     """
     if not windows:
         return []
-    ids = [np.frombuffer(b"".join(side), "<u4").astype(np.int64) for side in zip(*windows)]
+    both = np.frombuffer(b"".join(windows), "<u4").astype(np.int64)
+    window = np.repeat(np.arange(len(windows)), [len(w) // 4 for w in windows])
+    marks = np.flatnonzero(both == _NO_ID)
+    second = np.arange(len(both)) > marks[window]
+    first = ~second
+    first[marks] = False
+    ids = [both[first], both[second]]
+    last = np.cumsum(np.bincount(window[first], minlength=len(windows)))  # the first side's tokens up to each window's end
     ends = [np.cumsum(size[i]) for size, i in zip(sizes, ids)]
     shared = _common(*ends, int(ends[0][-1]))
     to = [np.searchsorted(end, shared) + 1 for end in ends]  # tokens up to each shared end
     begin = [np.concatenate([[0], t[:-1]]) for t in to]
     count = [t - b for t, b in zip(to, begin)]
-    last = np.cumsum([len(a) // 4 for a, _ in windows])  # the first side's tokens up to each window's end
     group_ends = np.searchsorted(to[0], last) + 1
     groups = np.diff(np.concatenate([[0], group_ends]))
     owner = np.repeat(np.arange(len(windows)), groups)
@@ -129,6 +143,12 @@ def align(windows: list[tuple[bytes, bytes]], sizes: tuple[np.ndarray, np.ndarra
     forms = _forms(ids, begin, count, group_ends)
     edges = (cuts * 8).tolist()
     packed, often = pairs.tobytes(), times.tobytes()
+    raw = [b"".join([side[i] for i in own.tolist()]) for side, own in zip(spelt, ids)]
+    if raw[0] != raw[1]:
+        places = [0, *ends[0][last - 1].tolist()]
+        for n, (b, e) in enumerate(zip(places, places[1:])):
+            if raw[0][b:e] != raw[1][b:e]:
+                forms[n] = None
     return [
         (form, n, m, packed[b:e], _shared(often[b:e])) for form, n, m, b, e in zip(forms, groups.tolist(), links, edges, edges[1:])
     ]
@@ -205,15 +225,21 @@ class Aligner:
         self._first, self._second = first, second
         self._sizes = tuple(np.array([len(x) for x in side.bytes], np.int64) for side in (first, second))
         self._marked = [np.array([x.startswith(b" ") for x in side.bytes], bool) for side in (first, second)]
-        self._windows: dict[tuple[bytes, bytes], Window] = {}
+        self._spelt = (first.bytes, second.bytes)
+        self._windows: dict[bytes, Window] = {}
 
-    def keys(self, text: str, a: np.ndarray, b: np.ndarray) -> list[tuple[bytes, bytes]]:
-        """The ids of each window of a text; none if the tokens of a side do not spell it."""
+    def keys(self, text: str, a: np.ndarray, b: np.ndarray) -> list[bytes]:
+        """The ids of each window of a text; none if those of the second side do not spell it.
+
+        Those of the first side are compared with the second window by window.
+        """
         raw = b" " + text.encode("utf-8", "surrogatepass")
-        for ids, spelt in ((a, self._first.bytes), (b, self._second.bytes)):
-            if not text or b"".join([spelt[i] for i in ids.tolist()]) != raw:
-                return []
+        spelt = self._spelt[1]
+        if not text or b"".join([spelt[i] for i in b.tolist()]) != raw:
+            return []
         ends = [np.cumsum(size[ids]) for size, ids in zip(self._sizes, (a, b))]
+        if ends[0][-1] != len(raw):
+            return []
         begins = [end - size[ids] for end, size, ids in zip(ends, self._sizes, (a, b))]
         places = [begin[marked[ids]] for begin, marked, ids in zip(begins, self._marked, (a, b))]
         cuts = _common(*places, len(raw))
@@ -221,36 +247,35 @@ class Aligner:
         at_a, at_b = ((np.searchsorted(begin, cuts) * 4).tolist() for begin in begins)
         packed_a, packed_b = a.tobytes(), b.tobytes()
         at_a, at_b = [0, *at_a, len(packed_a)], [0, *at_b, len(packed_b)]
-        return [(packed_a[i:k], packed_b[j:n]) for i, k, j, n in zip(at_a, at_a[1:], at_b, at_b[1:])]
+        return [packed_a[i:k] + _MARK + packed_b[j:n] for i, k, j, n in zip(at_a, at_a[1:], at_b, at_b[1:])]
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """``(n_a, n_b, n_groups, n_links, digest, pairs, times)`` of each text."""
         if len(self._windows) > _CACHED_WINDOWS:
             self._windows = {}
         known = self._windows
-        coded = [[np.array(ids, "<u4") for ids in side.encode(texts)] for side in (self._first, self._second)]
-        coded = list(zip(*coded))
+        coded = list(zip(self._first.encode(texts), self._second.encode(texts)))
         keys = [self.keys(text, a, b) for text, (a, b) in zip(texts, coded)]
         new = list(set().union(*keys).difference(known))
-        known.update(zip(new, align(new, self._sizes)))
+        known.update(zip(new, align(new, self._spelt, self._sizes)))
         for (a, b), own in zip(coded, keys):
-            yield self._summary(len(a), len(b), [known[key] for key in own])
+            yield self._summary(len(a), len(b), own)
         for key in new:
-            if len(key[0]) + len(key[1]) > _LONG_WINDOW * 4:
+            if len(key) > _LONG_WINDOW * 4:
                 del known[key]
 
-    @staticmethod
-    def _summary(n_a: int, n_b: int, windows: list[Window]) -> tuple:
-        if not windows:
+    def _summary(self, n_a: int, n_b: int, keys: list[bytes]) -> tuple:
+        known = self._windows
+        windows = [known[key] for key in keys]
+        forms = [window[0] for window in windows]
+        if not keys or None in forms:
             none = np.zeros(0, np.int64)
             return 0, 0, 0, 0, "", none, none
-        names = list(map(id, windows))
-        times_of, window_of = Counter(names), dict(zip(names, windows))
-        different, repeats = [window_of[name] for name in times_of], list(times_of.values())
-        _, groups, links, packed, often = zip(*different)
+        repeats = list(Counter(keys).values())  # in the order of the first of each, as below
+        _, groups, links, packed, often = zip(*dict(zip(keys, windows)).values())
         pairs, times = (np.frombuffer(b"".join(x), np.int64) for x in (packed, often))
-        times = times * np.repeat(repeats, [len(p) // 8 for p in packed])
-        digest = hashlib.sha256(";".join([w[0] for w in windows]).encode()).hexdigest()
+        times = times * np.repeat(repeats, np.fromiter(map(len, packed), np.int64, len(packed)) // 8)
+        digest = hashlib.sha256(";".join(forms).encode()).hexdigest()
         both = (sum(map(mul, x, repeats)) for x in (groups, links))
         return n_a, n_b, *both, digest, *summed(pairs, times)
 
