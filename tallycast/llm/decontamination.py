@@ -336,7 +336,7 @@ def _past(rows: DataFrame, packed, last: bool) -> DataFrame:
                     named.append(sorted((met | items.get(i, set())) - {None}))
                 shown = before.column(1)
                 if last:
-                    shown = pc.if_else(pa.array([bool(s) for s in every]), shown, pa.scalar(None, pa.string()))
+                    shown = pa.array([shown[i].as_py() if s else None for i, s in enumerate(every)], pa.string())
                 kind = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
                 yield pa.RecordBatch.from_arrays(
                     [before.column(0), shown, pa.array(counts, pa.int64()), pa.array(every, kind), pa.array(named, pa.list_(pa.string()))],
