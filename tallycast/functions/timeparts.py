@@ -15,6 +15,11 @@ def time_bucket(ts: Column | str, seconds: int) -> Column:
     return F.floor(F.unix_seconds(_col(ts)) / F.lit(seconds))
 
 
+def utc_day(ts: Column | str) -> Column:
+    """Calendar day in UTC, whatever the session zone."""
+    return F.date_from_unix_date(F.floor(F.unix_seconds(_col(ts)) / F.lit(86400)).cast("int"))
+
+
 def local_time(ts: Column | str, tz: str | None) -> Column:
     """Wall-clock time in ``tz``; unchanged (session zone) when ``tz`` is None."""
     if tz is None:

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallycast import schemas
-from tallycast.functions.timeparts import local_time
+from tallycast.functions.timeparts import local_time, utc_day
 from tallycast.functions.wording import CITY_LABELS, DISPLAY_TIME, crash_word, label_of
 from tallycast.operators.summarize import any_contains
 
@@ -38,7 +38,7 @@ def prediction_rows(
 
 def end_day(end: Column) -> Column:
     """Value of :data:`END_DAY` for an end time, whatever the session zone."""
-    return F.date_from_unix_date(F.floor(F.unix_seconds(end) / F.lit(86400)).cast("int"))
+    return utc_day(end)
 
 
 def recent_predictions(

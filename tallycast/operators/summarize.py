@@ -35,20 +35,69 @@ def summarize(
             *[F.min(c).alias(c) for c in mins],
         )
 
-    # One grouping set per mode column. The numbers are read off the first set.
-    counted = df.groupingSets([[*keys, c] for c in modes], *keys, *modes).agg(
-        *[F.grouping(c).alias(_set(c)) for c in modes],
+    return finish_summary(partial_summary(df, keys, means, modes, sums, mins), keys, means, modes, sums, mins)
+
+
+def partial_summary(
+    df: DataFrame,
+    keys: Sequence[str],
+    means: Sequence[str] = (),
+    modes: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    mins: Sequence[str] = (),
+) -> DataFrame:
+    """What :func:`finish_summary` needs of ``df``: some rows per key, to be stored and merged.
+
+    Each value of a mode column has a row with its count. Sums, counts and minima are spread
+    over the rows of the first mode column; without any there is one row per key.
+    """
+    keys, modes = list(keys), list(modes)
+    numbers = [
         F.count(F.lit(1)).alias(_N),
         *[F.sum(c).alias(_part("sum", c)) for c in dict.fromkeys([*sums, *means])],
         *[F.count(c).alias(_part("count", c)) for c in means],
         *[F.min(c).alias(_part("min", c)) for c in mins],
-    )
-    first = F.col(_set(modes[0])) == 0
+    ]
+    if not modes:
+        return df.groupBy(*keys).agg(*numbers)
+    # one grouping set per mode column; the numbers are read off the first set
+    flags = [F.grouping(c).alias(_set(c)) for c in modes]
+    return df.groupingSets([[*keys, c] for c in modes], *keys, *modes).agg(*flags, *numbers)
+
+
+def merge_summaries(
+    parts: DataFrame,
+    keys: Sequence[str],
+    means: Sequence[str] = (),
+    modes: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    mins: Sequence[str] = (),
+) -> DataFrame:
+    """Partial summaries of several sets of rows, as one of all of them."""
+    numbers = [
+        F.sum(_N).alias(_N),
+        *[F.sum(_part("sum", c)).alias(_part("sum", c)) for c in dict.fromkeys([*sums, *means])],
+        *[F.sum(_part("count", c)).alias(_part("count", c)) for c in means],
+        *[F.min(_part("min", c)).alias(_part("min", c)) for c in mins],
+    ]
+    return parts.groupBy(*keys, *modes, *[_set(c) for c in modes]).agg(*numbers)
+
+
+def finish_summary(
+    parts: DataFrame,
+    keys: Sequence[str],
+    means: Sequence[str] = (),
+    modes: Sequence[str] = (),
+    sums: Sequence[str] = (),
+    mins: Sequence[str] = (),
+) -> DataFrame:
+    """One row per key from a partial summary."""
+    first = F.col(_set(modes[0])) == 0 if modes else F.lit(True)
 
     def total(kind: str, column: str) -> Column:
         return F.sum(F.when(first, F.col(_part(kind, column))))
 
-    return counted.groupBy(*keys).agg(
+    return parts.groupBy(*keys).agg(
         *[total("sum", c).alias(c) for c in sums],
         *[F.try_divide(total("sum", c), total("count", c)).alias(c) for c in means],
         *[F.min(F.when(first, F.col(_part("min", c)))).alias(c) for c in mins],

@@ -136,6 +136,21 @@ SELECT {{columns}} FROM (
   SELECT *, row_number() OVER (PARTITION BY id ORDER BY collected_at) AS rn FROM repeated)
 WHERE rn = 1"""
 
+_FORGETTING = f"""{_with(_TRAFFIC, _REPEATED)},
+early AS (SELECT * FROM repeated WHERE collected_at < TIMESTAMP '2024-01-16'),
+late AS (
+  SELECT * FROM repeated WHERE collected_at >= TIMESTAMP '2024-01-16'
+  UNION ALL
+  SELECT * REPLACE (TIMESTAMP '2024-01-26' AS collected_at) FROM early WHERE CAST(id AS BIGINT) % 25 = 0 AND collected_at = date),
+first_batch AS (SELECT * FROM early QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at) = 1),
+kept AS (
+  SELECT id FROM first_batch
+  WHERE floor(epoch(date) / 86400) >= (SELECT quantile_disc(CAST(floor(epoch(date) / 86400) AS INTEGER), 0.5) - 1 FROM first_batch)),
+second_batch AS (
+  SELECT * FROM late WHERE id NOT IN (SELECT id FROM kept)
+  QUALIFY row_number() OVER (PARTITION BY id ORDER BY collected_at) = 1)
+SELECT {_EVENT_COLUMNS}, epoch_us(collected_at) AS collected_at FROM (FROM first_batch UNION ALL FROM second_batch)"""
+
 _STREAM_DEDUPED = f"""{_with(_TRAFFIC)}
 SELECT id, city_name, epoch_us(date) AS date, likes, dislikes, {_r('longitude')}, {_r('latitude')} FROM traffic"""
 
@@ -307,6 +322,7 @@ WHERE rn = 1""",
     "prediction_sink_roundtrip": _LISTED,
     "stream_dedup": _STREAM_DEDUPED,
     "stream_dedup_limited": _DEDUPED.format(columns=f"{_EVENT_COLUMNS}, epoch_us(collected_at) AS collected_at"),
+    "stream_dedup_forgetting": _FORGETTING,
     "stream_dedup_table": _DEDUPED.format(columns=f"{_EVENT_COLUMNS}, epoch_us(collected_at) AS collected_at"),
     "stream_bucket_agg": f"""{_with(_WEATHER, _BUCKETS)}
 SELECT time_interval * 900000000 AS window_start, city_name, {_ROUNDED}, weather_type, wind_direction

@@ -452,14 +452,32 @@ def stream_dedup_limited(spark, sf_dir):
     return _remembered(spark, sf_dir, days=60)
 
 
+@query
+def stream_dedup_forgetting(spark, sf_dir):
+    """Every 25th event comes again days later, when some of the ids are forgotten."""
+    path, out, checkpoint = (work_path(spark, p) for p in ("repeated", "dedup", "checkpoint"))
+    source = views.traffic_repeated(views.events(spark, sf_dir))
+    early = source.filter(F.col("collected_at") < F.lit(SEEN_UNTIL))
+    number = F.col("id").cast("bigint")
+    again = early.filter((number % 25 == 0) & (F.col("collected_at") == F.col("date")))
+    again = again.withColumn("collected_at", F.lit(SEEN_UNTIL) + F.expr("INTERVAL 10 DAYS"))
+    files = max(2, source.rdd.getNumPartitions())
+    for part in (early, source.filter(F.col("collected_at") >= F.lit(SEEN_UNTIL)).unionByName(again)):
+        part.repartition(files, "id").write.mode("append").parquet(path)
+    stream = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", files).parquet(path)
+    seen = _seen(spark, "seen")
+    runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["collected_at"], checkpoint, days=1))
+    return spark.read.parquet(out).drop("stream", "batch", "day")
+
+
 @query
 def stream_dedup_table(spark, sf_dir):
     """The earliest copy of each id over all batches, against the table of seen ids."""
     return _remembered(spark, sf_dir)
 
 
-def _bucket_tables(spark, sf_dir) -> microbatch.BucketTables:
-    kept = microbatch.BucketTables(work_path(spark, "buckets"))
+def _bucket_tables(spark, sf_dir, joins: bool) -> microbatch.BucketTables:
+    kept = microbatch.BucketTables(work_path(spark, "buckets"), joins)
     split = lambda batch: (views.traffic(batch), views.weather(batch))
     runs.drain(kept.start(views.events_stream(spark, sf_dir), split, work_path(spark, "checkpoint")))
     return kept
@@ -468,7 +486,7 @@ def _bucket_tables(spark, sf_dir) -> microbatch.BucketTables:
 @query
 def stream_bucket_agg(spark, sf_dir):
     """All windows, late rows included."""
-    stored = spark.read.parquet(_bucket_tables(spark, sf_dir).buckets)
+    stored = _bucket_tables(spark, sf_dir, joins=False).buckets(spark)
     start = F.timestamp_seconds(F.col("time_interval") * align.BUCKET_SECONDS).alias("window_start")
     return stored.select(start, "city_name", *align.WEATHER_MEANS, *align.WEATHER_MODES)
 
@@ -476,7 +494,7 @@ def stream_bucket_agg(spark, sf_dir):
 @query
 def stream_bucket_join(spark, sf_dir):
     """All events with the weather of their window, late rows included."""
-    return spark.read.parquet(_bucket_tables(spark, sf_dir).joined).drop("day")
+    return _bucket_tables(spark, sf_dir, joins=True).joined(spark)
 
 
 @query

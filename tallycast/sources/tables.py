@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tallycast import schemas
 from tallycast.operators.serve import END_DAY, end_day
-from tallycast.session import cut_lineage, remove
+from tallycast.session import cut_lineage, read_json_if_present, remove
 
 _CSV_TIME = "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX"
 
@@ -63,83 +63,122 @@ def _required(name: str) -> Column:
 
 
 class SeenIds:
-    """Ids processed so far with the day each belongs to.
-
-    An id keeps its time, so a copy has the day of the original: the table is partitioned
-    by day and checking a batch reads the days in the batch alone. Ids without a time are
-    one more partition. Inside a day each batch of each stream has a part of its own: a
-    batch that is run again replaces its ids and ignores what it wrote itself, and a
-    stream that starts anew, or another one, never meets the parts of the others.
+    """Ids processed so far, found again by the id alone, whatever else a copy carries.
+
+    Ids are dealt to a fixed number of buckets by their hash. Inside a bucket every batch of
+    every stream has a part of its own, sorted by id and with a Bloom filter: a batch that is
+    run again replaces its ids and ignores what it wrote itself, and a stream that starts
+    anew, or another one, never meets the parts of the others. A batch of up to ``_PUSHED``
+    ids reads their buckets alone and hands the ids to the scan, which then skips the
+    files that hold none of them; a larger one has ids in about every file. ``day`` is that of an id in UTC and only says when the id
+    may be forgotten.
     """
 
-    def __init__(self, spark: SparkSession, path: str):
-        self.spark, self.path = spark, path.rstrip("/")
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark, self.path, self._buckets = spark, path.rstrip("/"), buckets
+        self._fixed: int | None = None
 
     @property
     def _ids(self) -> str:
         return f"{self.path}/ids"
 
+    def _layout(self, spark: SparkSession) -> int:
+        """The number of buckets, which the first part written fixes for good."""
+        if self._fixed is not None:
+            return self._fixed
+        place = f"{self.path}/layout"
+        stored = read_json_if_present(spark, place, "buckets INT")
+        if stored is None:
+            spark.createDataFrame([(self._buckets,)], "buckets INT").coalesce(1).write.json(place)
+            stored = read_json_if_present(spark, place, "buckets INT")
+        self._fixed = stored.agg(F.min("buckets")).first()[0]
+        return self._fixed
+
     def ids(self, spark: SparkSession | None = None) -> DataFrame:
-        """All rows ``(id, day, stream, batch)``."""
+        """All rows ``(id, day, stream, level, batch, bucket)`` that are not forgotten."""
         spark = spark or self.spark
         try:
-            return spark.read.schema(_SEEN).parquet(self._ids)
+            stored = spark.read.schema(_SEEN).parquet(self._ids)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], _SEEN)
+        horizon = self.horizon(spark)
+        return stored if horizon is None else stored.filter(F.col("day").isNull() | (F.col("day") >= F.lit(horizon)))
 
-    def known(self, days: DataFrame, stream: str, batch: int) -> DataFrame:
-        """Ids of the ``day``s of a batch that other batches remembered.
+    def known(self, ids: DataFrame, stream: str, batch: int) -> DataFrame:
+        """Ids among which are all that ``ids`` shares with what other batches remembered.
 
-        The days, at most one per calendar day of the batch, become a filter on the
-        partitions.
+        ``ids`` is evaluated once more: give it a stored table.
         """
-        found = [r["day"] for r in days.select("day").distinct().collect()]
-        dated = [d for d in found if d is not None]
-        wanted = F.col("day").isin(*dated) if dated else F.lit(False)
-        if len(dated) < len(found):
-            wanted = wanted | F.col("day").isNull()
+        spark = ids.sparkSession
+        wanted = ids.select(F.col("id").cast("string").alias("id")).filter("id is not null")
         own = (F.col("stream") == stream) & (F.col("batch") >= batch)
-        return self.ids(days.sparkSession).filter(wanted & ~own).select("id")
+        others = self.ids(spark).filter(~own)
+        few = wanted.select("id", _bucket(self._layout(spark))).limit(_PUSHED + 1).collect()
+        if len(few) <= _PUSHED:
+            if int(spark.conf.get(IN_LIST)) < _PUSHED:
+                spark.conf.set(IN_LIST, str(_PUSHED))  # else Spark looks at the least and greatest alone
+            buckets, names = (sorted({row[c] for row in few}) for c in ("bucket", "id"))
+            others = others.filter(F.col("bucket").isin(*buckets) & F.col("id").isin(*names) if few else F.lit(False))
+        return others.select("id")
 
     def remember(self, ids: DataFrame, stream: str, batch: int) -> None:
         """Store the ``(id, day)`` rows of a batch, in place of what it stored before.
 
-        ``ids`` has to come from a written copy of the batch, not from this table. The
-        rebalance hint lets AQE size the files and split a day with most of the rows.
+        ``ids`` has to come from a written copy of the batch, not from this table.
         """
-        rows = ids.select(
-            F.col("id").cast("string").alias("id"),
-            F.col("day").cast("date").alias("day"),
-            F.lit(stream).alias("stream"),
-            F.lit(batch).cast("bigint").alias("batch"),
-        )
-        writer = rows.hint("rebalance", "day").write.mode("overwrite").partitionBy("day", "stream", "batch")
-        writer.option("partitionOverwriteMode", "dynamic").parquet(self._ids)
-
-    def compact(self, before: date) -> None:
-        """Put the parts of every day before ``before`` into one, and drop repeats.
-
-        For days that no running batch writes to. The merged part is complete before the
-        others are removed; stopping between the two leaves repeats, which do no harm.
+        self._write(ids, stream, 0, batch)
+
+    def _write(self, ids: DataFrame, stream: str, level: int, batch: int) -> None:
+        rows = ids.select(F.col("id").cast("string").alias("id"), F.col("day").cast("date").alias("day"))
+        rows = rows.filter("id is not null").withColumn("bucket", _bucket(self._layout(ids.sparkSession)))
+        # the rebalance hint lets AQE size the files
+        placed = rows.hint("rebalance", "bucket").sortWithinPartitions("bucket", "id")
+        writer = placed.write.mode("overwrite").partitionBy("bucket").option("parquet.bloom.filter.enabled#id", "true")
+        writer = writer.option("parquet.bloom.filter.adaptive.enabled", "true")
+        writer.parquet(f"{self._ids}/stream={stream}/level={level}/batch={batch}")
+
+    def compact(self, stream: str, before: int) -> None:
+        """Put the parts of the batches of ``stream`` before number ``before`` into one.
+
+        For batches that are never run again. Forgotten ids are left out. The merged part is
+        complete before the others are removed; stopping between the two leaves repeats,
+        which do no harm.
         """
-        old = self.ids().filter((F.col("day") < F.lit(before)) & (F.col("stream") != _MERGED))
-        parts = [tuple(r) for r in old.select("day", "stream", "batch").distinct().collect()]
-        if not parts:
+        old = (F.col("stream") == stream) & (F.col("batch") < before)
+        parts = sorted(tuple(r) for r in self.ids().filter(old).select("level", "batch").distinct().collect())
+        if len(parts) < 2:
             return
-        days = sorted({day for day, _, _ in parts})
-        merged = self.ids().filter(F.col("day").isin(*days)).select("id", "day").distinct()
-        self.remember(cut_lineage(merged), _MERGED, 0)
-        for day, stream, batch in parts:
-            remove(self.spark, f"{self._ids}/day={day}/stream={stream}/batch={batch}")
+        last = max(batch for _, batch in parts)
+        level = 1 + max(level for level, _ in parts)
+        merged = self.ids().filter(old).groupBy("id").agg(F.max("day").alias("day"))
+        self._write(cut_lineage(merged), stream, level, last)
+        for part_level, batch in parts:
+            remove(self.spark, f"{self._ids}/stream={stream}/level={part_level}/batch={batch}")
 
     def forget(self, before: date) -> None:
-        """Drop the days before ``before``; a copy of theirs counts as new from then on."""
-        days = self.ids().filter(F.col("day") < F.lit(before)).select("day").distinct()
-        for row in days.collect():
-            remove(self.spark, f"{self._ids}/day={row['day']}")
+        """From now on ids of days before ``before`` count as new; ids without a day stay.
+
+        A day once forgotten stays so. The rows go with the next :meth:`compact`.
+        """
+        horizon = self.horizon(self.spark)
+        if horizon is None or before > horizon:
+            row = self.spark.createDataFrame([(before,)], "day DATE").coalesce(1)
+            row.write.mode("append").json(f"{self.path}/horizon")
+
+    def horizon(self, spark: SparkSession | None = None) -> date | None:
+        """Days before this one are forgotten."""
+        stored = read_json_if_present(spark or self.spark, f"{self.path}/horizon", "day DATE")
+        return None if stored is None else stored.agg(F.max("day")).first()[0]
+
+
+_SEEN = "id STRING, day DATE, stream STRING, level INT, batch BIGINT, bucket INT"
+#: Ids that a batch hands to the scan of the stored ones; more are joined only.
+_PUSHED = 200
+#: Values of an IN list that Spark hands to the Parquet reader one by one.
+IN_LIST = "spark.sql.parquet.pushdown.inFilterThreshold"
 
 
-_SEEN = "id STRING, day DATE, stream STRING, batch BIGINT"
-_MERGED = "merged"
+def _bucket(buckets: int) -> Column:
+    return F.pmod(F.xxhash64("id"), F.lit(buckets)).cast("int").alias("bucket")

@@ -170,7 +170,8 @@ def test_seen_ids_of_a_batch_run_twice_and_of_other_streams(spark, tmp_path):
     assert seen.known(batch, "s", 0).count() == 0
     for _ in range(2):
         seen.remember(batch, "s", 0)
-    shown = lambda *args: sorted(r["id"] for r in seen.known(batch, *args).collect())
+    asked = days(spark, ("x", "2024-01-01"), ("y", None), ("z", "2024-01-01"))
+    shown = lambda *args: sorted(r["id"] for r in seen.known(asked, *args).collect())
     assert shown("s", 0) == [] and shown("s", 1) == ["x", "y"] and shown("new", 0) == ["x", "y"]
     seen.remember(days(spark, ("z", "2024-01-01")), "new", 0)
     assert shown("s", 1) == ["x", "y", "z"]
@@ -178,25 +179,69 @@ def test_seen_ids_of_a_batch_run_twice_and_of_other_streams(spark, tmp_path):
     assert again.ids().count() == 3
 
 
-def test_only_the_days_of_a_batch_are_read(spark, tmp_path):
+def rows_scanned(df):
+    """Rows that the scan of the executed plan gave out."""
+    df.collect()
+    leaves = df._jdf.queryExecution().executedPlan()
+    while leaves.getClass().getSimpleName() == "AdaptiveSparkPlanExec":
+        leaves = leaves.executedPlan()
+    leaves = leaves.collectLeaves()
+    return sum(leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size()))
+
+
+def test_the_same_id_stays_out_whatever_day_it_carries(spark, tmp_path):
     seen = tables.SeenIds(spark, str(tmp_path / "seen"))
-    seen.remember(days(spark, ("x", "2024-01-01"), ("y", "2024-01-02"), ("q", None)), "s", 0)
-    known = seen.known(days(spark, ("x", "2024-01-01")), "t", 0)
+    seen.remember(days(spark, ("x", "2024-01-01"), ("y", None)), "s", 0)
+    copies = days(spark, ("x", "2024-03-01"), ("x", None), ("y", "2024-01-02"), ("z", "2024-01-01"), (None, "2024-01-01"))
+    for limit in (tables._PUSHED, 0):  # ids handed to the scan, or joined only
+        tables._PUSHED, before = limit, tables._PUSHED
+        try:
+            fresh = dedup.drop_seen(copies, seen.known(copies, "t", 0), ["id"]).collect()
+        finally:
+            tables._PUSHED = before
+        assert sorted(r["id"] or "" for r in fresh) == ["", "z"]
+
+
+def test_files_without_the_ids_of_a_batch_are_skipped(spark, tmp_path):
+    """Ids of all parts interleave, so no part is told apart by its least and greatest id."""
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"), buckets=4)
+    for batch in range(5):
+        ids = spark.range(batch, 5000, 5).select(F.format_string("%05d", "id").alias("id"), F.lit("2024-01-01").alias("day"))
+        seen.remember(ids, "s", batch)
+    one = days(spark, ("00017", "2030-01-01"))
+    known = seen.known(one, "t", 0)
+    assert rows_scanned(known) < 400  # one file of twenty, of some 250 ids
+    assert [r["id"] for r in known.collect()] == ["00017"]
     plan = known._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "2024-01-01" in plan.split("PartitionFilters: [")[1].split("]")[0]
-    assert [r["id"] for r in known.collect()] == ["x"]
+    assert "PartitionFilters: [" in plan and "bucket" in plan.split("PartitionFilters: [")[1].split("]")[0]
+    assert rows_scanned(seen.known(days(spark, ("99999x", None)), "t", 0)) == 0
+
+
+def test_the_number_of_buckets_is_fixed_by_the_first_part(spark, tmp_path):
+    tables.SeenIds(spark, str(tmp_path / "seen"), buckets=3).remember(days(spark, *[(f"x{i}", None) for i in range(20)]), "s", 0)
+    other = tables.SeenIds(spark, str(tmp_path / "seen"), buckets=50)
+    batch = days(spark, *[(f"x{i}", None) for i in range(20)])
+    assert other.known(batch, "t", 0).count() == 20
 
 
-def test_compacting_and_forgetting_days(spark, tmp_path):
+def test_compacting_and_forgetting(spark, tmp_path):
     seen = tables.SeenIds(spark, str(tmp_path / "seen"))
-    for batch in range(3):
-        seen.remember(days(spark, ("x", "2024-01-01"), (f"y{batch}", "2024-01-01"), ("z", "2024-02-01")), "s", batch)
-    seen.compact(date(2024, 1, 15))
-    found = sorted((r["id"], r["stream"]) for r in seen.ids().filter("day = '2024-01-01'").collect())
-    assert found == [("x", "merged"), ("y0", "merged"), ("y1", "merged"), ("y2", "merged")]
-    assert seen.ids().filter("day = '2024-02-01'").count() == 3
+    for batch in range(4):
+        seen.remember(days(spark, ("x", "2024-01-01"), (f"y{batch}", "2024-01-20"), ("n", None)), "s", batch)
+    seen.remember(days(spark, ("z", "2024-02-01")), "other", 0)
+    seen.compact("s", 3)
+    found = sorted((r["id"], r["stream"], r["level"], r["batch"]) for r in seen.ids().collect())
+    merged = [(i, "s", 1, 2) for i in ("n", "x", "y0", "y1", "y2")]
+    assert found == sorted([*merged, ("n", "s", 0, 3), ("x", "s", 0, 3), ("y3", "s", 0, 3), ("z", "other", 0, 0)])
+    batch = days(spark, ("x", None), ("y1", None), ("y3", None))
+    assert sorted(r["id"] for r in seen.known(batch, "s", 3).collect()) == ["x", "y1"]  # batch 3 run again
     seen.forget(date(2024, 1, 15))
-    assert {r["id"] for r in seen.ids().collect()} == {"z"}
+    seen.forget(date(2024, 1, 10))  # does not bring back
+    assert seen.horizon() == date(2024, 1, 15)
+    assert {r["id"] for r in seen.ids().collect()} == {"n", "y0", "y1", "y2", "y3", "z"}
+    seen.compact("s", 4)
+    stored = spark.read.parquet(str(tmp_path / "seen" / "ids"))
+    assert {r["id"] for r in stored.filter("stream = 's'").collect()} == {"n", "y0", "y1", "y2", "y3"}
 
 
 def test_a_batch_is_evaluated_once(spark, tmp_path):

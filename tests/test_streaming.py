@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tallycast import schemas
 from tallycast.ml.registry import ModelStore
-from tallycast.operators import align, clean
+from tallycast.operators import align, clean, summarize
 from tallycast.plans import jobs, views
 from tallycast.sources import landing, tables
 from tallycast.streaming import microbatch, runs, stateful
@@ -194,17 +194,83 @@ def test_unreadable_lines_are_kept_aside(spark, tmp_path):
     assert [r["landed_text"] for r in spark.read.parquet(tick.unreadable).collect()] == ['{"scheduler_id": "r9", "crawler_ty']
 
 
-def test_late_rows_change_their_day(spark, sf_dir, tmp_path):
+def rounded(df):
+    return sorted(map(repr, df.select(*[F.round(c, 6).alias(c) if c in align.WEATHER_MEANS else F.col(c) for c in sorted(df.columns)]).collect()))
+
+
+def test_late_rows_change_their_buckets(spark, sf_dir, tmp_path):
     source = views.events(spark, sf_dir)
     events, weather = views.traffic(source), views.weather(source)
+    no_time = weather.filter("event_id % 40 = 1").withColumn("date", F.lit(None).cast("timestamp"))
+    weather = weather.unionByName(no_time)
     kept = microbatch.BucketTables(str(tmp_path / "out"))
     for number, part in enumerate((F.col("date") >= "2024-01-15", F.col("date") < "2024-01-15")):
         kept.process(events.filter(part), weather.filter(part).filter("event_id % 2 = 0"), number)
-    kept.process(events.limit(0), weather.filter("event_id % 2 = 1"), 2)
-    rounded = lambda df: df.select(*[F.round(c, 6).alias(c) if c in align.WEATHER_MEANS else F.col(c) for c in df.columns])
-    key = lambda df: sorted(map(repr, rounded(df).collect()))
-    assert key(spark.read.parquet(kept.joined).drop("day")) == key(align.bucket_join(events, weather))
-    assert key(spark.read.parquet(kept.buckets).drop("day")) == key(align.bucket_weather(weather))
+    late = weather.filter(F.col("date").isNull() | (F.col("event_id") % 2 == 1))
+    for _ in range(2):  # run again after a failure
+        kept.process(events.limit(0), late, 2)
+    assert rounded(kept.joined(spark)) == rounded(align.bucket_join(events, weather))
+    assert rounded(kept.buckets(spark)) == rounded(align.bucket_weather(weather))
+    assert kept.buckets(spark).filter("time_interval is null").count()
+
+
+def test_what_a_trigger_reads_follows_its_rows(spark, tmp_path):
+    """Many buckets of one day; a late reading, and a late event, of one of them."""
+    kept = microbatch.BucketTables(str(tmp_path / "out"))
+    reading = "id event_id, 'spb' city_name, 'r' scheduler_id, 0.5D humidity, 740 pressure, 1.0D wind_speed, 'snow' weather_type, 'N' wind_direction"
+    for hour in range(12):
+        moment = f"timestamp_seconds({START.timestamp()} + {hour} * 3600 + id % 60)"
+        rows = spark.range(200)
+        events = rows.selectExpr(f"concat({hour}, '-', id) id", "'spb' city_name", "'r' scheduler_id", f"{moment} date")
+        kept.process(events, rows.selectExpr(*reading.split(", "), f"{moment} date", "cast(id % 9 as int) temperature"), hour)
+    late = spark.range(1).selectExpr(*reading.split(", "), f"timestamp_seconds({START.timestamp()} + 4 * 3600) date", "90 temperature")
+    kept.process(events.limit(0), late, 12)
+    part = spark.read.parquet(str(tmp_path / "out" / "joined" / "stream=direct" / "batch=12"))
+    assert part.count() == 200  # events of that bucket alone are joined again
+    touched = part.select("time_interval", "city_name").distinct()
+    stored = microbatch._of_buckets(kept._read("events", spark), touched)
+    stored.collect()
+    plan = stored._jdf.queryExecution().executedPlan().toString()
+    leaves = stored._jdf.queryExecution().executedPlan().executedPlan().collectLeaves()
+    scans = [leaves.apply(i) for i in range(leaves.size()) if "scheduler_id" in leaves.apply(i).toString()]
+    read = [scan.metrics().apply("numOutputRows").value() for scan in scans if scan.metrics().contains("numOutputRows")]
+    assert read and max(read) <= 200, plan  # of 2400 events of the day
+    temperatures = {r["temperature"] for r in kept.joined(spark).filter("id like '4-%'").collect()}
+    assert len(temperatures) == 1 and kept.joined(spark).count() == 2400
+
+
+def test_summaries_merge_to_the_whole(spark, sf_dir):
+    weather = views.weather(views.events(spark, sf_dir)).withColumn("k", F.col("event_id") % 5)
+    settings = (["city_name", "k"], ["humidity"], ["weather_type", "wind_direction"], ["pressure"], ["temperature"])
+    parts = [summarize.partial_summary(weather.filter(F.col("event_id") % 3 == n), *settings) for n in range(3)]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    merged = summarize.finish_summary(summarize.merge_summaries(whole, *settings), *settings)
+    assert rounded(merged) == rounded(summarize.summarize(weather, *settings))
+    plain = (["city_name"], ["humidity"], [], ["pressure"], [])
+    parts = [summarize.partial_summary(weather.filter(F.col("event_id") % 3 == n), *plain) for n in range(3)]
+    whole = parts[0].unionByName(parts[1]).unionByName(parts[2])
+    assert rounded(summarize.finish_summary(summarize.merge_summaries(whole, *plain), *plain)) == rounded(summarize.summarize(weather, *plain))
+
+
+def test_one_date_far_ahead_forgets_nothing(spark, tmp_path):
+    stream_in, out = str(tmp_path / "in"), str(tmp_path / "out")
+    for rows in ([("a", "2024-01-01"), ("b", "2024-01-02"), ("c", "2999-01-01")], [("a", "2024-01-01"), ("d", "2024-01-03")]):
+        frame = spark.createDataFrame(rows, "id string, date string").withColumn("date", F.col("date").cast("timestamp"))
+        frame.coalesce(1).write.mode("append").parquet(stream_in)
+    stream = spark.readStream.schema("id string, date timestamp").option("maxFilesPerTrigger", 1).parquet(stream_in)
+    seen = tables.SeenIds(spark, str(tmp_path / "seen"))
+    runs.drain(microbatch.remember_first_sightings(stream, seen, out, ["date"], str(tmp_path / "cp"), days=1))
+    assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == ["a", "b", "c", "d"]
+
+
+def test_ticks_put_the_parts_of_seen_ids_together(spark, tmp_path):
+    landed = tmp_path / "in"
+    tick = microbatch.Tick(str(tmp_path / "out"), tables.SeenIds(spark, str(tmp_path / "seen")), compact_every=3)
+    for n in range(3):
+        land(landed, "0.json", traffic(f"r{n}", ("a", 1), (f"b{n}", 2)), reading(f"r{n}", 1, str(n)))
+        tick.process(landing.read_landing(spark, str(landed)), n)
+    parts = {(r["level"], r["batch"]) for r in tick.seen.ids().select("level", "batch").distinct().collect()}
+    assert parts == {(1, 1), (0, 2)} and counts(spark, tick) == {0: 2, 1: 1, 2: 1}
 
 
 def in_time_order(spark, frame, folder, pieces=3):
