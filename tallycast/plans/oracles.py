@@ -344,8 +344,12 @@ SELECT event_id, epoch_us(CASE event_id % 5 WHEN 0 THEN ts WHEN 1 THEN date_trun
   WHEN 2 THEN date_trunc('day', ts + INTERVAL 3 HOURS) - INTERVAL 3 HOURS ELSE date_trunc('second', ts) END) AS date
 FROM events""",
     "forest_tuned_score": f"""{_with(_WEATHER)}
-SELECT city_name AS city, epoch_us(date) AS "startDate", epoch_us(date + INTERVAL 1 HOUR) AS "endDate", TRUE AS in_range
+SELECT city_name AS city, epoch_us(date) AS "startDate", epoch_us(date + INTERVAL 1 HOUR) AS "endDate", TRUE AS in_range, TRUE AS agrees
 FROM weather""",
+    "forest_grid": """SELECT CAST(trees AS INTEGER) AS trees, CAST(depth AS INTEGER) AS depth, TRUE AS rmse_follows, TRUE AS choice_follows
+FROM range(2, 6) AS a(trees), range(5, 9) AS b(depth)""",
+    "forest_promotion": """SELECT CAST(1 AS BIGINT) AS version, 0 AS decision, CAST(NULL AS DOUBLE) AS old_rmse_rounded, CAST(NULL AS BOOLEAN) AS rmse_follows
+UNION ALL SELECT 2, 1, 100, TRUE""",
     "promotion_decision": f"""{_with(_TRAFFIC, _WEATHER, _FIRST, _COUNTED, _HOURLY)},
 errors AS (
   SELECT sqrt(avg(CAST(4 AS DOUBLE))) AS two, sqrt(avg(CAST(crashes AS DOUBLE) * crashes / 16)) AS quarter, sqrt(avg(CAST(9 AS DOUBLE))) AS three

@@ -16,7 +16,7 @@ from pyspark.sql import types as T
 from tallycast import schemas
 from tallycast.functions import text
 from tallycast.functions.wording import CITY_LABELS, label_of
-from tallycast.ml import features
+from tallycast.ml import expression, features
 from tallycast.ml.registry import ModelStore
 from tallycast.ml.scoring import score
 from tallycast.ml.training import train_forest
@@ -382,12 +382,54 @@ def unscorable_rows(spark, sf_dir):
 
 @query
 def forest_tuned_score(spark, sf_dir):
-    """The whole grid; a forest averages labels, so its predictions lie among them."""
+    """The whole grid; the stored model's scores beside those of its SQL text."""
     hourly = _training_rows(spark, sf_dir)
+    store = ModelStore(spark, work_path(spark, "models"))
     trained = train_forest(hourly)
+    store.promote_if_better(trained.model, trained.held_out)
+    model = store.load()
     low, high = hourly.agg(F.min("crashes"), F.max("crashes")).first()
-    scored = score(trained.model, views.weather(views.events(spark, sf_dir)))
-    return scored.select("city", "startDate", "endDate", F.col("crashes").between(low, high).alias("in_range"))
+    dated = rollup.add_calendar(views.weather(views.events(spark, sf_dir)), "date")
+    scored = expression.predict_by_sql(model, model.transform(dated).withColumnRenamed("prediction", "stored"))
+    return scored.select(
+        F.col("city_name").alias("city"),
+        F.col("date").alias("startDate"),
+        (F.col("date") + F.expr("INTERVAL 1 HOUR")).alias("endDate"),
+        F.col("prediction").between(low, high).alias("in_range"),
+        (F.col("stored") == F.col("prediction")).alias("agrees"),
+    )
+
+
+@query
+def forest_grid(spark, sf_dir):
+    """Every candidate's RMSE worked out anew, from its SQL text over the validation rows."""
+    trained = train_forest(_training_rows(spark, sf_dir))
+    encoders, rows = trained.model.stages[:-1], cut_lineage(trained.validation)
+    for place, (_, _, forest) in enumerate(trained.candidates):
+        candidate = PipelineModel([*encoders, forest])
+        rows = expression.predict_by_sql(candidate, rows, f"p{place}")
+    errors = [F.sqrt(F.avg(F.pow(F.col("crashes") - F.col(f"p{n}"), 2))).alias(f"p{n}") for n in range(len(trained.metrics))]
+    found = rows.agg(*errors).first()
+    best = min(range(len(found)), key=lambda n: found[n])
+    table = [
+        (trees, depth, abs(found[n] - trained.metrics[n]) < 1e-9, (n == best) == (trained.metrics[n] == min(trained.metrics)))
+        for n, (trees, depth, _) in enumerate(trained.candidates)
+    ]
+    return spark.createDataFrame(table, "trees INT, depth INT, rmse_follows BOOLEAN, choice_follows BOOLEAN")
+
+
+@query
+def forest_promotion(spark, sf_dir):
+    """A trained forest, a worse one-tree stump (not kept), the forest again (a tie)."""
+    store = ModelStore(spark, work_path(spark, "models"))
+    hourly = _training_rows(spark, sf_dir)
+    trained = train_forest(hourly, tree_counts=(5,), depths=(8,))
+    for model in (_formula("crashes + 100"), trained.model, _formula("crashes + 200"), trained.model):
+        store.promote_if_better(model, trained.held_out)
+    errors = expression.predict_by_sql(store.load(), trained.held_out, "p")
+    rmse_ = errors.agg(F.sqrt(F.avg(F.pow(F.col("crashes") - F.col("p"), 2)))).first()[0]
+    follows = F.when(F.col("decision") == 1, F.abs(F.col("new_rmse") - rmse_) < 1e-9)
+    return store.ledger().select("version", "decision", F.round("old_rmse", 3).alias("old_rmse_rounded"), follows.alias("rmse_follows")).filter("decision <> -1")
 
 
 def _formula(prediction: str) -> PipelineModel:

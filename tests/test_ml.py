@@ -1,10 +1,13 @@
 import math
 import random
 
+import duckdb
 import pytest
+from pyspark.ml import PipelineModel
+from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
 
-from tallycast.ml import features, registry, training
+from tallycast.ml import expression, features, registry, training
 from tallycast.ml.scoring import score
 
 SCHEMA = (
@@ -142,3 +145,56 @@ def test_damaged_model_raises(spark, trained, tmp_path):
     assert store.exists()
     with pytest.raises(Exception):
         store.load()
+
+
+def test_another_engine_computes_the_same_scores_from_the_text(spark, trained):
+    rows = hourly(spark).withColumn("weather_type", F.expr("if(hour = 3, null, if(hour = 4, 'it''s hail', weather_type))"))
+    rows = rows.withColumn("n", F.monotonically_increasing_id())
+    ours = {r["n"]: r["prediction"] for r in trained.model.transform(rows).collect()}
+    frame = rows.toPandas()  # noqa: F841, read by name
+    theirs = dict(duckdb.sql(expression.query_sql(trained.model, "frame", "n")).fetchall())
+    assert theirs == ours and len(set(ours.values())) > 5
+    again = expression.predict_by_sql(trained.model, rows).collect()
+    assert {r["n"]: r["prediction"] for r in again} == ours
+    assert "features" not in again[0].asDict() and "city_index" not in again[0].asDict()
+
+
+def test_rows_that_lack_a_number_have_no_score(spark, trained):
+    row = hourly(spark).limit(1).withColumn("humidity", F.lit(None).cast("double"))
+    assert expression.predict_by_sql(trained.model, row).first()["prediction"] is None
+
+
+def test_the_winner_follows_from_predictions_of_the_validation_rows(spark, trained):
+    found = []
+    for trees, depth, forest in trained.candidates:
+        model = PipelineModel([*trained.model.stages[:-1], forest])
+        assert (forest.getNumTrees, depth) == (trees, 5)
+        found.append(registry.compare(model, None, trained.validation)[0])
+    assert found == pytest.approx(trained.metrics)
+    assert trained.model.stages[-1].getNumTrees == trained.candidates[found.index(min(found))][0]
+    assert 0 < trained.validation.count() < 100
+
+
+def formula(text):
+    return PipelineModel([SQLTransformer(statement=f"SELECT *, CAST({text} AS DOUBLE) AS prediction FROM __THIS__")])
+
+
+@pytest.mark.parametrize("other, decision, versions", [("crashes + 2", 1, [1, 2, 3]), ("crashes + 1", -1, [1, 2])])
+def test_two_trainers_at_once_never_enter_one_version(spark, tmp_path, monkeypatch, other, decision, versions):
+    """Both judge against version 1; one enters version 2 while the other saves its model."""
+    held_out = spark.createDataFrame([(3,), (5,)], "crashes int")
+    one, two = (registry.ModelStore(spark, str(tmp_path / "m")) for _ in range(2))
+    assert one.promote_if_better(formula("crashes + 9"), held_out) == registry.FIRST
+    claim, taken = registry.ModelStore._claim, []
+
+    def late(store, *args):
+        if store is one and not taken:
+            taken.append(two.promote_if_better(formula(other), held_out))
+        return claim(store, *args)
+
+    monkeypatch.setattr(registry.ModelStore, "_claim", late)
+    assert one.promote_if_better(formula("crashes + 1"), held_out) == decision and taken == [1]
+    saved = one.ledger().filter("decision <> -1").collect()
+    assert sorted(r["version"] for r in saved) == versions
+    old = {r["version"]: r["old_rmse"] for r in saved}
+    assert old[2] == 9 and (decision == -1 or old[3] == 2)
