@@ -27,15 +27,23 @@ HEX = r"[0-9a-f]+"
 ASSIGN_LENGTH, ACCESS_LENGTH, HEX_LENGTH = 12, 18, 16
 KINDS = ("assign", "access", "hex", "entropy")
 
-#: Candidates that are no secrets: UUIDs, plain numbers, plain words and paths or
-#: slugs of words, published examples, counting runs.
+#: Stretches that are no secrets: UUIDs, plain numbers, plain words and paths or slugs of
+#: words, published examples, counting runs. No pattern repeats a group that may be long:
+#: Java's matcher would recurse once for each round.
 ALLOWED = (
     r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$",
-    r"^[0-9]+$",
-    r"^[/_=+-]*[A-Za-z]+([/_=+-]+[A-Za-z]*)*$",
+    r"^[0-9]*+$",
+    r"^[A-Za-z/_=+-]*+$",
     r"EXAMPLE|example",
     r"0123456789|123456789|abcdefghijklm|ABCDEFGHIJKLM",
 )
+#: The same for whole candidates, of which more than a stretch may have to be looked at.
+ALLOWED_WHOLE = ALLOWED[:3]
+#: Small letters and separators up to the last separator: a path ahead of a secret.
+_PATH = r"^[a-z/_=+-]*[/_=+-]"
+#: Shorter candidates are not scanned. A candidate shorter than the window of its class is
+#: one window, and its limit is lower in proportion to the most its length can reach.
+SHORTEST = 16
 
 
 @dataclass(frozen=True)
@@ -53,6 +61,10 @@ BASE64 = CharacterClass(
 )
 
 
+#: What rounding may add to a sum of terms.
+_ROUNDING = 1e-9
+
+
 def _located(text: Column, pattern: str, ok, group: int = 0) -> Column:
     """Spans of the leftmost non-overlapping matches whose ``group`` is ``ok``.
 
@@ -98,9 +110,13 @@ def _kind(spans: Column, kind: str) -> Column:
 
 
 def window_spans(candidate: Column, of: CharacterClass) -> Column:
-    """``array<struct<start, end>>`` of the high-entropy stretches of one candidate."""
-    width = of.window
-    term = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(width + 2)])
+    """``array<struct<start, end>>`` of the high-entropy stretches of one candidate.
+
+    A candidate shorter than the window is one window of its length.
+    """
+    width = F.least(F.lit(of.window), F.length(candidate))
+    limit = F.log2(width) - F.lit(of.bits / math.log2(of.window)) * F.log2(width)
+    term = F.array(*[F.lit(c * math.log2(c) if c else 0.0) for c in range(of.window + 2)])
     nothing = F.array().cast("array<struct<start:int,end:int>>")
     start = F.struct(
         F.array_repeat(F.lit(0), len(of.characters)).alias("counts"),
@@ -113,7 +129,9 @@ def window_spans(candidate: Column, of: CharacterClass) -> Column:
         lambda c: F.instr(F.lit(of.characters), c) - 1,
     )
 
-    def step(code_array: Column):
+    def step(code_array: Column, setting: Column):
+        width, most = setting["width"], setting["most"]
+
         def move(state: Column, code: Column) -> Column:
             gone = F.coalesce(F.get(code_array, state["at"] - width), F.lit(-1))
             counts = state["counts"]
@@ -129,7 +147,7 @@ def window_spans(candidate: Column, of: CharacterClass) -> Column:
             )
             s = state["s"] + changed
             begin, end = state["at"] - (width - 1), state["at"] + 1
-            high = (begin >= 0) & (F.lit(math.log2(width)) - s / width >= of.bits)
+            high = (begin >= 0) & (s <= most)
             return F.struct(
                 updated.alias("counts"),
                 s.alias("s"),
@@ -139,7 +157,9 @@ def window_spans(candidate: Column, of: CharacterClass) -> Column:
 
         return F.aggregate(code_array, start, move)["spans"]
 
-    return let(codes, step)
+    # the window, and the S at which its entropy is the limit
+    settings = F.struct(width.alias("width"), (limit * width + _ROUNDING).alias("most"))
+    return let(settings, lambda setting: let(codes, lambda code_array: step(code_array, setting)))
 
 
 def _extended(spans: Column, begin: Column, end: Column) -> Column:
@@ -155,27 +175,34 @@ def _extended(spans: Column, begin: Column, end: Column) -> Column:
 
 def _entropy_spans(text: Column, of: CharacterClass, allowed: Sequence[str], allowed_values: Sequence[str]) -> Column:
     members = "".join("\\" + c if c in "+/=-" else c for c in of.characters)
-    run = f"[{members}]{{{of.window},}}"
+    run = f"[{members}]{{{SHORTEST},}}"
 
-    def wanted(hit: Column) -> Column:
-        ok = ~hit.isin(*allowed_values) if allowed_values else F.lit(True)
-        for pattern in allowed:
-            ok = ok & ~hit.rlike(pattern)
+    def unknown(value: Column, patterns: Sequence[str]) -> Column:
+        ok = ~value.isin(*allowed_values) if allowed_values else F.lit(True)
+        for pattern in patterns:
+            ok = ok & ~value.rlike(pattern)
         return ok
 
-    candidates = _located(text, run, wanted)
-    found = F.flatten(
-        F.transform(
-            candidates,
-            lambda x: F.transform(
-                window_spans(x["hit"], of),
-                lambda y: F.struct(
-                    (x["start"] + y["start"]).alias("start"), (x["start"] + y["end"]).alias("end"), F.lit("").alias("hit")
-                ),
+    candidates = _located(text, run, lambda hit: unknown(hit, ALLOWED_WHOLE if allowed else ()))
+
+    def spans(x: Column) -> Column:
+        placed = F.transform(
+            window_spans(x["hit"], of),
+            lambda y: F.struct(
+                (x["start"] + y["start"]).alias("start"),
+                (x["start"] + y["end"]).alias("end"),
+                F.substring(x["hit"], y["start"] + 1, y["end"] - y["start"]).alias("hit"),
             ),
         )
-    )
-    return _only_if(text.rlike(run), found)
+        return F.filter(placed, lambda y: unknown(_without_path(y["hit"]), allowed))
+
+    return _only_if(text.rlike(run), F.flatten(F.transform(candidates, spans)))
+
+
+def _without_path(stretch: Column) -> Column:
+    """A stretch without the path of small letters that it may begin or end with."""
+    ahead = F.regexp_replace(stretch, _PATH, "")
+    return F.reverse(F.regexp_replace(F.reverse(ahead), _PATH, ""))
 
 
 def scan_secrets(
