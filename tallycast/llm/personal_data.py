@@ -10,6 +10,7 @@ that end up above the threshold are added to the spans.
 from __future__ import annotations
 
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -21,8 +22,11 @@ from tallycast.session import cut_lineage
 
 # Fixed values of the contract.
 KINDS = ("email", "ip", "card", "phone", "context")
-EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
-IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+# Those of a kind that begin inside a run of digits or letters would be tried at each of its
+# characters; these forms have the same matches and are tried once per run.
+EMAIL_NAME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
+EMAIL_PLACE = re.compile(r"@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"(?<![0-9])[0-9]++(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 CARD_DIGITS, PHONE_DIGITS = range(13, 20), range(9, 16)
@@ -35,7 +39,8 @@ _ANY = re.compile(r"[0-9@]")
 #: A pattern counts with this many different seeds, and is trusted above this confidence.
 MIN_SEEDS, CONFIDENCE = 3, 0.6
 ROUNDS = 3
-_CONTEXT = 64  # code points looked at on either side for the words of a context
+#: Longer runs of characters are no words of a context.
+_LONGEST_WORD = 64
 
 _SPAN = "struct<kind:int,start:int,end:int>"
 _HIT = "struct<start:int,end:int,value:string,seed:boolean,around:array<string>>"
@@ -58,8 +63,7 @@ def _digits(text: str) -> str:
 def base_spans(text: str) -> list[tuple[int, int, int]]:
     """``(kind, start, end)`` of the fixed patterns, by kind, then start."""
     out = []
-    if "@" in text:
-        out += [(0, m.start(), m.end()) for m in EMAIL.finditer(text)]
+    out += [(0, start, end) for start, end in _emails(text)]
     for m in IP.finditer(text):
         if all(int(part[-4:]) <= 255 and len(part.lstrip("0")) <= 3 for part in m[0].split(".")):
             out.append((1, m.start(), m.end()))
@@ -74,29 +78,59 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return out
 
 
-def _around(text: str, start: int, end: int) -> list[str]:
-    """Lexical patterns of a place: the two words before it, and the words next to it.
-
-    Every word of a pattern has a letter: marks alone say nothing about what follows.
-    """
-    before = text[max(0, start - _CONTEXT) : start].lower().split()[-2:]
-    after = text[end : end + _CONTEXT].lower().split()[:1]
-    shape = lambda words: " ".join(re.sub("[0-9]+", "0", w) for w in words)
-    lettered = [any(c.isalpha() for c in w) for w in [*before, *after]]
-    out = []
-    if len(before) == 2 and all(lettered[:2]):
-        out.append(f"{shape(before)} _")
-    if before and after and all(lettered[-2:]):
-        out.append(f"{shape(before[-1:])} _ {shape(after)}")
-    return out
+def _emails(text: str) -> Iterator[tuple[int, int]]:
+    """Leftmost non-overlapping addresses, found from each at sign to both sides."""
+    done, at = 0, text.find("@")
+    while at >= 0:
+        place = EMAIL_PLACE.match(text, at)
+        start = at
+        while place and start > done and text[start - 1] in EMAIL_NAME:
+            start -= 1
+        if place and start < at:
+            yield start, place.end()
+        done = place.end() if place and start < at else at + 1
+        at = text.find("@", done)
+
+
+class _Words:
+    """The words of a text, for the contexts of places in it."""
+
+    def __init__(self, text: str):
+        self._text = text
+        self._begins, self._ends = [], []
+        for m in re.finditer(r"\S+", text):
+            self._begins.append(m.start())
+            self._ends.append(m.end())
+
+    def around(self, start: int, end: int) -> list[str]:
+        """Lexical patterns of a place: the two words before it, and the words next to it.
+
+        Every word of a pattern has a letter: marks alone say nothing about what follows. A
+        word that goes on beyond :data:`_LONGEST_WORD` characters makes no pattern, so none
+        is ever cut.
+        """
+        last = bisect_left(self._begins, start) - 1  # the last word that begins before the place
+        first = bisect_left(self._ends, end + 1)  # the first one that ends after it
+        before = [(b, min(e, start)) for b, e in zip(self._begins[max(0, last - 1) : last + 1], self._ends[max(0, last - 1) : last + 1])]
+        after = [(max(b, end), e) for b, e in zip(self._begins[first : first + 1], self._ends[first : first + 1])]
+        whole = [e - b <= _LONGEST_WORD for b, e in [*before, *after]]
+        shown = [self._text[b:e].lower() if ok else "" for (b, e), ok in zip([*before, *after], whole)]
+        lettered = [any(c.isalpha() for c in w) for w in shown]
+        shape = lambda words: " ".join(re.sub("[0-9]+", "0", w) for w in words)
+        out = []
+        if len(before) == 2 and all(lettered[:2]):
+            out.append(f"{shape(shown[:2])} _")
+        if before and after and all(lettered[-2:]):
+            out.append(f"{shape(shown[-2:-1])} _ {shape(shown[-1:])}")
+        return out
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple]]:
     """Base spans of a text, and its seeds and unseen candidates with their patterns."""
     if not _ANY.search(text):
         return [], []
-    base = base_spans(text)
-    hits = [(s, e, text[s:e].lower(), True, _around(text, s, e)) for _, s, e in base]
+    base, words = base_spans(text), _Words(text)
+    hits = [(s, e, text[s:e].lower(), True, words.around(s, e)) for _, s, e in base]
     taken = sorted((s, e) for _, s, e in base)
     at = 0
     for m in _TOKEN.finditer(text):
@@ -112,7 +146,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple]]:
             at += 1
         if any(s < end and e > start for s, e in taken[at : at + 4]):
             continue
-        hits.append((start, end, core.lower(), False, _around(text, start, end)))
+        hits.append((start, end, core.lower(), False, words.around(start, end)))
     return base, hits
 
 
@@ -154,24 +188,37 @@ def trusted_patterns(hits: DataFrame) -> DataFrame:
     combine ahead of the shuffle; joins are on one key, which AQE splits when it is hot.
     """
     edges = cut_lineage(hits.groupBy("pattern", "value").agg(F.max("seed").alias("seed")))
+    scores = None
+    for _ in range(ROUNDS):
+        if scores is not None:
+            # what stands in a trusted pattern is a seed of others from now on
+            trusted = scores.filter(F.col("confidence") >= CONFIDENCE).select("pattern")
+            accepted = edges.join(trusted, "pattern", "left_semi").select("value").distinct().withColumn("__new", F.lit(True))
+            edges = edges.join(accepted, "value", "left")
+            edges = cut_lineage(edges.select("pattern", "value", (F.col("seed") | F.coalesce("__new", F.lit(False))).alias("seed")))
+        scores = _scores(edges)
+    return scores.filter(F.col("confidence") >= CONFIDENCE)
+
+
+def _scores(edges: DataFrame) -> DataFrame:
+    """``(pattern, confidence)`` of the patterns with enough seeds.
+
+    An unseen instance is as good as its patterns together, and adds that to each of them.
+    """
     seeds = edges.groupBy("pattern").agg(
         F.sum(F.col("seed").cast("int")).alias("seeds"), F.count(F.lit(1)).alias("values")
     )
-    seeds = cut_lineage(seeds.filter(F.col("seeds") >= MIN_SEEDS))
+    seeds = seeds.filter(F.col("seeds") >= MIN_SEEDS)
+    own = F.col("seeds") / F.col("values")
     # a pattern without enough seeds scores nothing, whatever its other instances are worth
-    edges = cut_lineage(edges.join(seeds.select("pattern"), "pattern"))
-    scores = seeds.select("pattern", (F.col("seeds") / F.col("values")).alias("confidence"))
-    unseen = edges.filter(~F.col("seed"))
-    for _ in range(ROUNDS):
-        miss = F.log1p(-F.least(F.col("confidence"), F.lit(0.999)))
-        worth = unseen.join(scores, "pattern").groupBy("value").agg((1 - F.exp(F.sum(miss))).alias("worth"))
-        gain = unseen.join(worth, "value").groupBy("pattern").agg(F.sum("worth").alias("gain"))
-        own = F.col("seeds") / F.col("values")
-        found = F.col("seeds") + F.coalesce("gain", F.lit(0.0)) * own
-        scores = cut_lineage(
-            seeds.join(gain, "pattern", "left").select("pattern", (found / F.col("values")).alias("confidence"))
-        )
-    return scores.filter(F.col("confidence") >= CONFIDENCE)
+    met = cut_lineage(edges.join(seeds, "pattern"))
+    miss = F.log1p(-F.least(own, F.lit(0.999)))
+    worth = met.filter("not seed").groupBy("value").agg((1 - F.exp(F.sum(miss))).alias("worth"))
+    found = met.join(worth, "value", "left").groupBy("pattern").agg(
+        F.max("values").alias("values"), F.max("seeds").alias("seeds"), F.sum(F.when(~F.col("seed"), F.col("worth"))).alias("gain")
+    )
+    total = F.col("seeds") + F.coalesce("gain", F.lit(0.0)) * own
+    return cut_lineage(found.select("pattern", (total / F.col("values")).alias("confidence")))
 
 
 def find_personal_data(docs: DataFrame) -> DataFrame:
