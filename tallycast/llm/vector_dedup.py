@@ -51,9 +51,16 @@ def rotations(size: int, count: int, seed: int = SEED) -> np.ndarray:
     return per_worker(f"rotations:{size}:{count}:{seed}", make)
 
 
+def scaled(vectors: np.ndarray) -> np.ndarray:
+    """Rows times a power of two that brings the largest component near 1: no square leaves the range of numbers."""
+    largest = np.abs(vectors).max(axis=1, keepdims=True, initial=0)
+    return np.ldexp(vectors, -np.frexp(largest)[1])
+
+
 def encode(vectors: np.ndarray, bands: int = BANDS, bits: int = BITS) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(band codes [n, bands], sign code [n, bytes], correction factors [n])`` of rows."""
     n, size = vectors.shape
+    vectors = scaled(vectors)
     unit = vectors / np.linalg.norm(vectors, axis=1, keepdims=True)
     turned = unit @ np.concatenate(rotations(size, -(-bands * bits // size))).T
     signs = turned[:, : bands * bits].reshape(n, bands, bits) >= 0
@@ -81,8 +88,8 @@ def block_links(a: dict, b: dict, same: bool, band: int, threshold: float) -> np
         new &= a["codes"][:, k][:, None] != b["codes"][:, k][None, :]
     if not new.any():
         return new
-    unit_a = a["vector"] / np.linalg.norm(a["vector"], axis=1, keepdims=True)
-    unit_b = b["vector"] / np.linalg.norm(b["vector"], axis=1, keepdims=True)
+    whole_a, whole_b = scaled(a["vector"]), scaled(b["vector"])
+    unit_b = whole_b / np.linalg.norm(whole_b, axis=1, keepdims=True)
     found, bound = estimates(a["code"], a["factor"], unit_b)
     open_ = new & (found + bound[:, None] >= threshold)
     if not open_.any():
@@ -90,7 +97,7 @@ def block_links(a: dict, b: dict, same: bool, band: int, threshold: float) -> np
     i, j = np.nonzero(open_)
     link = np.zeros_like(open_)
     for at in range(0, len(i), 65_536):  # what the bounds leave open is computed exactly
-        x, y = a["vector"][i[at : at + 65_536]], b["vector"][j[at : at + 65_536]]
+        x, y = whole_a[i[at : at + 65_536]], whole_b[j[at : at + 65_536]]
         dots = np.einsum("ij,ij->i", x, y)
         cosine = dots / (np.sqrt(np.einsum("ij,ij->i", x, x)) * np.sqrt(np.einsum("ij,ij->i", y, y)))
         link[i[at : at + 65_536], j[at : at + 65_536]] = cosine >= threshold

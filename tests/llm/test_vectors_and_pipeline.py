@@ -117,3 +117,11 @@ def test_query_against_its_sql(spark, sf_dir, name):
 
     assert sorted(ours.columns) == sorted(theirs.columns) and len(ours) > 0
     assert rows(ours) == rows(theirs)
+
+
+def test_very_large_and_very_small_vectors_link(spark):
+    rows = [(i, [x * scale for x in (1.0, 2.0, -3.0)], 1) for i, scale in enumerate((1e200, 3e200, 1e-200, 2e-200, 1.0))]
+    rows += [(9, [1.0, -2.0, 3.0], 1)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
+    found = {r["vec_id"]: (r["n_links"], r["component_id"]) for r in vector_dedup.near_vectors(df).collect()}
+    assert found == {**{i: (4, 0) for i in range(5)}, 9: (0, 9)}
