@@ -36,8 +36,13 @@ BLOCK_IDS = 1 << 16
 END_ID = 2
 #: Bytes of text encoded in one go, and words kept encoded per Python worker.
 _TEXT_BYTES, _CACHED_WORDS = 4_000_000, 900_000
+#: Letters below U+0300, where composing changes nothing, but for U+0130, whose small form
+#: ends with a mark.
+_LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02af"
+_FIRST_MARK = "\u0300"
 #: Full stops and commas that end a word after a letter.
-_STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
+_STOPS = re.compile(f"(?<=[{_LETTERS}])([.,]+)(?=[ \\n]|$)")
+_ASCII_STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
 #: Holds the place of a word that is not ASCII; no word in UTF-8 is this byte.
 _APART = b"\x80"
 
@@ -187,32 +192,38 @@ class WordEncoder:
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._cached) > self._most:
             self._cached = {}
-        split = [self._words(text.encode("utf-8", "surrogatepass")) for text in texts]
-        new = set().union(*split).difference(self._cached)
+        split = [self._words(text) for text in texts]
+        look, new = self._cached.get, set()
+        coded = []
+        for words in split:
+            found = list(map(look, words))
+            if None in found:
+                new.update([word for word, ids in zip(words, found) if ids is None])
+                found = None
+            coded.append(found)
         if new:
             self._learn(list(new))
         known = self._cached.__getitem__
-        return [np.frombuffer(b"".join(map(known, words)), dtype="<u4") for words in split]
+        whole = [map(known, words) if found is None else found for words, found in zip(split, coded)]
+        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in whole]
 
     @staticmethod
-    def _words(raw: bytes) -> list[bytes]:
-        """Words; those of ASCII alone in lower case, as the tokenizer has them, without stops.
+    def _words(text: str) -> list[bytes]:
+        """Words; in lower case, as the tokenizer has them, without stops, where that is safe.
 
-        All others stay as they are: the tokenizer composes letters before it lowers them,
-        and some marks compose with a small letter only.
+        It is where no mark can be composed with a letter: the tokenizer composes letters
+        before it lowers them, and some marks compose with a small letter only. In other
+        texts the words of ASCII alone are lowered, the rest stay as they are.
         """
-        apart: list[bytes] = []
-        if not raw.isascii():
-            words = raw.split()
-            apart = [word for word in words if not word.isascii()]
-            raw = b" ".join([word if word.isascii() else _APART for word in words])
-        if b"<|" not in raw:  # special tokens keep their case
-            raw = raw.lower()
-        words = _STOPS.sub(rb" \1", raw).split()
-        if apart:
-            others = iter(apart)
-            words = [next(others) if word == _APART else word for word in words]
-        return words
+        special = "<|" in text  # special tokens keep their case
+        if text.isascii() or max(text) < _FIRST_MARK:
+            lowered = text if special else text.lower()
+            return _STOPS.sub(r" \1", lowered).encode().split()
+        words = text.encode("utf-8", "surrogatepass").split()
+        others = iter([word for word in words if not word.isascii()])
+        raw = b" ".join([word if word.isascii() else _APART for word in words])
+        words = _ASCII_STOPS.sub(rb" \1", raw if special else raw.lower()).split()
+        return [next(others) if word == _APART else word for word in words]
 
     def _learn(self, words: list[bytes]) -> None:
         texts = [word.decode("utf-8", "replace") for word in words]

@@ -1,6 +1,8 @@
 """Language, near-duplicates, personal data, piece coding and token files."""
 
+import random
 import re
+import time
 import zlib
 from collections import Counter
 from itertools import combinations
@@ -282,6 +284,73 @@ def test_contexts_of_seeds_find_unseen_identifiers(spark):
     assert [tuple(s) for s in found[10]] == [(4, 25, 42)] and found[11] == []
 
 
+def test_base_spans_equal_the_plain_patterns():
+    rng = random.Random(11)
+    letters = ["a", "b.c", "@", "@", ".", "1", "22", "333", " ", "+", "-", "(", "é", "٣", "@x.y", "1.2.3.4", ".5", "%", "_"]
+    for _ in range(60_000):
+        text = "".join(rng.choice(letters) for _ in range(rng.randint(0, 12)))
+        assert personal_data.base_spans(text) == plain_spans(text), text
+
+
+@pytest.mark.parametrize("text", ["1" * 1_000_000, "a" * 1_000_000 + " x@y", "a@" * 500_000, "1." * 500_000, "1.2.3.4," * 100_000, "+1(" * 300_000])
+def test_long_runs_take_linear_time(text):
+    begun = time.process_time()
+    base, hits = personal_data.scan(text)
+    assert time.process_time() - begun < 10
+    assert len(base) == {"1.1.1.1.": 125_000, "1.2.3.4,": 100_000}.get(text[:8], 0)
+
+
+def test_only_a_pattern_of_the_second_round_finds_the_identifier(spark):
+    """Seeds make one pattern; what it accepts, three times, makes another that holds no seed."""
+    texts = [f"please write to user{i}@mail{i}.example.com today" for i in range(9)]
+    texts += [f"please write to badge_{i}_77 today" for i in (501, 502, 503)]
+    texts += [f"our contact number badge_{i}_77 stands" for i in (501, 502, 503)]
+    texts += ["our contact number ident_9090_77 stands", "some other number ident_8080_77 sits"]
+    rows = personal_data.find_personal_data(documents(spark, *enumerate(texts))).collect()
+    found = {r["doc_id"]: [s["kind"] for s in r["spans"]] for r in rows}
+    assert all(found[i] == [4] for i in range(9, 16)) and found[16] == []
+
+
+def plain_patterns(texts):
+    """The whole of the bootstrapping with dictionaries."""
+    edges = {}
+    for text in set(texts):
+        for _, _, value, seed, around in personal_data.scan(text)[1]:
+            for pattern in around:
+                edges[pattern, value] = edges.get((pattern, value), False) or seed
+    for turn in range(personal_data.ROUNDS):
+        if turn:
+            accepted = {v for p, v in edges if p in good}
+            edges = {(p, v): seed or v in accepted for (p, v), seed in edges.items()}
+        values, seeds = Counter(p for p, _ in edges), Counter(p for (p, _), seed in edges.items() if seed)
+        own = {p: seeds[p] / values[p] for p in values if seeds[p] >= personal_data.MIN_SEEDS}
+        left = {}
+        for (p, v), seed in edges.items():
+            if not seed and p in own:
+                left[v] = left.get(v, 1) * (1 - min(own[p], 0.999))
+        gain = Counter()
+        for (p, v), seed in edges.items():
+            if not seed and p in own:
+                gain[p] += 1 - left[v]
+        good = {p for p in own if (seeds[p] + gain[p] * own[p]) / values[p] >= personal_data.CONFIDENCE}
+    return good
+
+
+def test_context_spans_against_dictionaries(spark):
+    rng = random.Random(5)
+    words = ["write", "to", "badge", "number", "is", "call", "x" * 70, "id:"]
+    things = [f"u{i}@m.example.com" for i in range(6)] + [f"ident_{i}_{i * 77 + 1000}" for i in range(12)] + ["10.0.0.1", "word"]
+    texts = [" ".join(rng.choice(words) if rng.random() < 0.7 else rng.choice(things) for _ in range(rng.randint(0, 14))) for _ in range(400)]
+    good = plain_patterns(texts)
+    expected = []
+    for text in texts:
+        _, hits = personal_data.scan(text)
+        expected.append(sorted({(4, s, e) for s, e, _, seed, around in hits if not seed and good.intersection(around)}))
+    rows = personal_data.find_personal_data(documents(spark, *enumerate(texts))).collect()
+    found = {r["doc_id"]: [tuple(s) for s in r["spans"] if s["kind"] == 4] for r in rows}
+    assert [found[i] for i in range(len(texts))] == expected and any(expected)
+
+
 def test_redaction(spark):
     docs = documents(spark, *PERSONAL)
     stage = {r["doc_id"]: r for r in personal_data.personal_data_stage(spark, docs, "").collect()}
@@ -381,6 +450,22 @@ def test_word_encoder_leaves_composing_to_the_library():
         assert list(ids) == reference_ids(text), text
 
 
+def test_word_encoder_equals_the_library_on_random_texts():
+    rng = random.Random(9)
+    letters = ["H", "a", "é", "ß", "İ", "ÀB", "ª", "²", "½", "\u0331", "\u030a", "ˆ", "»", ".", ",", "..", " ", "\n", "\t", "\u00a0", "'s", "1", "名", "<|endoftext|>", "\x80", "ǅ"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 12))) for _ in range(30_000)]
+    encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    expected = [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
+    found = [ids.tolist() for at in range(0, len(texts), 500) for ids in encoder.encode(texts[at : at + 500])]
+    assert [t for t, a, b in zip(texts, found, expected) if a != b] == []
+    below = [f"x{chr(c)}. {chr(c)}Y,{chr(c)} B{chr(c)}" for c in range(1, 0x300)]
+    expected = [e.ids for e in library.encode_batch(below, add_special_tokens=False)]
+    assert [t for t, a, b in zip(below, encoder.encode(below), expected) if a.tolist() != b] == []
+
+
 @pytest.mark.parametrize("ids", [[], [0] * 9, [2**32 - 1], [255, 1], [256], list(range(0, 70_000 * 61_000, 61_000))])
 def test_bit_planes_round_trip(ids):
     block = np.array(ids, "<u4")
