@@ -47,6 +47,22 @@ _ASCII_STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
 _APART = b"\x80"
 
 
+#: What the entries of a tokenizer of words end with that end a word.
+_WORD_END = "</w>"
+#: A word of small letters alone, and how many of them are encoded as one line.
+_WORD = re.compile("[a-z\u00df-\u00f6\u00f8-\u00ff]+")
+_LINE_WORDS = 500
+
+
+def _is_latin(text: str) -> bool:
+    """Whether all characters are below U+0100; a quick look at most texts that are not ASCII."""
+    try:
+        text.encode("latin-1")
+    except UnicodeEncodeError:
+        return False
+    return True
+
+
 def _bytes_of(planes_used: int) -> int:
     """Bytes per id that hold so many planes: 1, 2 or 4."""
     return 1 if planes_used <= 8 else 2 if planes_used <= 16 else 4
@@ -188,24 +204,27 @@ class WordEncoder:
 
         self._tokenizer = Tokenizer.from_file(path)
         self._cached, self._most = {}, cached_words
+        self._last = np.zeros(self._tokenizer.get_vocab_size(), bool)
+        self._last[[i for entry, i in self._tokenizer.get_vocab().items() if entry.endswith(_WORD_END)]] = True
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._cached) > self._most:
             self._cached = {}
         split = [self._words(text) for text in texts]
         look, new = self._cached.get, set()
-        coded = []
+        coded, missing = [], []
         for words in split:
             found = list(map(look, words))
-            if None in found:
-                new.update([word for word, ids in zip(words, found) if ids is None])
-                found = None
+            open_ = [n for n, ids in enumerate(found) if ids is None] if None in found else []
+            new.update([words[n] for n in open_])
             coded.append(found)
+            missing.append(open_)
         if new:
             self._learn(list(new))
-        known = self._cached.__getitem__
-        whole = [map(known, words) if found is None else found for words, found in zip(split, coded)]
-        return [np.frombuffer(b"".join(ids), dtype="<u4") for ids in whole]
+        for words, found, open_ in zip(split, coded, missing):
+            for n in open_:
+                found[n] = self._cached[words[n]]
+        return [np.frombuffer(b"".join(found), dtype="<u4") for found in coded]
 
     @staticmethod
     def _words(text: str) -> list[bytes]:
@@ -216,7 +235,7 @@ class WordEncoder:
         texts the words of ASCII alone are lowered, the rest stay as they are.
         """
         special = "<|" in text  # special tokens keep their case
-        if text.isascii() or max(text) < _FIRST_MARK:
+        if text.isascii() or _is_latin(text) or max(text) < _FIRST_MARK:
             lowered = text if special else text.lower()
             return _STOPS.sub(r" \1", lowered).encode().split()
         words = text.encode("utf-8", "surrogatepass").split()
@@ -226,10 +245,26 @@ class WordEncoder:
         return [next(others) if word == _APART else word for word in words]
 
     def _learn(self, words: list[bytes]) -> None:
+        """Encode words and keep them; those of letters alone many at a time.
+
+        Such a word is one piece to the tokenizer and its last token alone ends a word, so
+        the ids of a line of them can be cut again.
+        """
         texts = [word.decode("utf-8", "replace") for word in words]
-        coded = self._tokenizer.encode_batch(texts, add_special_tokens=False)
-        for word, one in zip(words, coded):
-            self._cached[word] = array("I", one.ids).tobytes()
+        plain = [n for n, text in enumerate(texts) if _WORD.fullmatch(text)]
+        others = sorted(set(range(len(words))).difference(plain))
+        for at in range(0, len(plain), _LINE_WORDS):
+            line = plain[at : at + _LINE_WORDS]
+            ids = np.array(self._tokenizer.encode(" ".join([texts[n] for n in line]), add_special_tokens=False).ids, "<u4")
+            cuts = ((np.flatnonzero(self._last[ids]) + 1) * 4).tolist()
+            if len(cuts) != len(line):
+                others += line
+                continue
+            packed = ids.tobytes()
+            self._cached.update(zip([words[n] for n in line], [packed[b:e] for b, e in zip([0, *cuts], cuts)]))
+        coded = self._tokenizer.encode_batch([texts[n] for n in others], add_special_tokens=False)
+        for n, one in zip(others, coded):
+            self._cached[words[n]] = array("I", one.ids).tobytes()
 
 
 def _open(folder: str):
