@@ -17,7 +17,9 @@ import gc
 import hashlib
 import os
 import pickle
+import re
 import uuid
+from array import array
 from collections import Counter
 from collections.abc import Callable, Iterator
 from operator import mul
@@ -41,6 +43,10 @@ _LONG_WINDOW = 64
 _TEXT_BYTES = 1_000_000
 #: Characters of a text that the quicker library is given.
 _QUICK = 200_000
+#: Units kept encoded by the second tokenizer, and where one begins: at a single blank before
+#: something that is no white space.
+_CACHED_UNITS = 150_000
+_UNIT = re.compile(r"(?<! )(?= \S)")
 #: Links of a group that are counted one by one.
 _SMALL_GROUP = 256
 #: Numbers from which on ids have one more digit.
@@ -101,8 +107,32 @@ class PieceTokenizer:
             piece = self._model.id_to_piece(i)
             self.bytes.append(bytes([int(piece[1:-1], 16)]) if self._model.is_byte(i) else piece.replace(BLANK, " ").encode())
 
+        self._units: dict[str, bytes] = {}
+
     def encode(self, texts: list[str]) -> list[np.ndarray]:
-        return [np.array(ids, "<u4") for ids in self._model.encode(texts, num_threads=1)]
+        """Ids of texts, each different unit between single blanks encoded once.
+
+        No piece goes on after a letter with a blank, so texts fall apart there; one that
+        holds the mark for a blank itself is encoded whole.
+        """
+        if len(self._units) > _CACHED_UNITS:
+            self._units = {}
+        look, new, split = self._units.get, set(), []
+        for text in texts:
+            units = _UNIT.split(" " + text) if BLANK not in text else []
+            found = list(map(look, units))
+            open_ = [n for n, ids in enumerate(found) if ids is None] if None in found else []
+            new.update([units[n] for n in open_])
+            split.append((units, found, open_))
+        learned = list(new)
+        for unit, ids in zip(learned, self._model.encode([unit[1:] for unit in learned], num_threads=1)):
+            self._units[unit] = array("I", ids).tobytes()
+        out = []
+        for text, (units, found, open_) in zip(texts, split):
+            for n in open_:
+                found[n] = self._units[units[n]]
+            out.append(np.frombuffer(b"".join(found), "<u4") if units else np.array(self._model.encode(text), "<u4"))
+        return out
 
 
 #: The alignment of one window: text form, groups, links, pairs and how often each is linked,

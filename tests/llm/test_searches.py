@@ -282,6 +282,16 @@ def test_both_libraries_agree_on_the_first_tokenizer(both):
     assert [ids.tolist() for ids in first.encode(texts)] == [first._whole(" " + text) for text in texts]
 
 
+def test_units_of_the_second_tokenizer_are_those_of_whole_texts(both, monkeypatch):
+    rng = random.Random(5)
+    letters = ["a", "the", " ", "  ", "\n", "\t", " \n", "\x1c", "\x85", "\xa0", "\u2003", "é", "你", "😀", "▁", "<s>", "<0x41>", "1", "'s", "=", "\x00", "\u200b", "ﬁ", "\r\n"]
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(0, 14))) for _ in range(20_000)]
+    whole = both[1]._model.encode(texts, num_threads=1)
+    monkeypatch.setattr(token_alignment, "_CACHED_UNITS", 500)
+    found = [ids.tolist() for at in range(0, len(texts), 100) for ids in both[1].encode(texts[at : at + 100])]
+    assert found == whole
+
+
 def test_very_long_texts(both, monkeypatch):
     aligner = token_alignment.Aligner(*both)
     blanks, letters, words = " " * 1_000_000, "ab" * 150_000, "the cat " * 40_000
