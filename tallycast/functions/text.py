@@ -10,7 +10,7 @@ _DATED = r"^\s*[+-]?\d{4,6}(?:-|\s*$)"
 #: A zone can only follow a time of day; what ends a bare date is its day.
 _ZONED = (
     r"[T ]\d{1,2}(?::\d{1,2}){0,2}(?:\.\d*)?\s*"
-    r"(?:[Zz]|(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|UTC|GMT|UT|[A-Za-z_]+(?:/[A-Za-z_+-]+)+)\s*$"
+    r"(?:[Zz]|(?:UTC|GMT|UT)?[+-]\d{1,2}(?::?\d{2}){0,2}|UTC|GMT|UT|[A-Za-z_]+(?:/[A-Za-z_+-]+){1,3})\s*$"
 )
 
 
