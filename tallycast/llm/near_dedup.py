@@ -21,11 +21,12 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallycast.llm.common import components, document_columns, per_worker, slices_of, table
-from tallycast.session import cut_lineage, work_path
+from tallycast.operators.ranking import number_rows
+from tallycast.session import cut_lineage, remove, work_path
 
 SHINGLE_WORDS = 5
 SIMILARITY = 0.8
@@ -160,7 +161,10 @@ def probability_jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, n
 
 
 def signatures(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """``(v, text)`` -> ``(v, keys)``: one 64-bit key per band; texts without words have none."""
+    """``(v, text)`` -> ``(v, keys)``: one 64-bit key per band; texts without words have none.
+
+    ``v`` may be of any type.
+    """
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -180,7 +184,7 @@ def signatures(texts: DataFrame, bands: int = BANDS, rows: int = ROWS) -> DataFr
                     names=["v", "keys"],
                 )
 
-    return texts.mapInArrow(sign, "v bigint, keys array<bigint>")
+    return texts.mapInArrow(sign, f"v {texts.schema['v'].dataType.simpleString()}, keys array<bigint>")
 
 
 def verified(pairs: DataFrame, texts: DataFrame, similarity: float = SIMILARITY) -> DataFrame:
@@ -226,53 +230,104 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY) -> DataFram
     """``(doc_id, class_id, component_id, kept)``: one row per input row.
 
     ``class_id`` is the smallest id with an equal text, ``component_id`` the smallest that
-    links of ``similarity`` or more lead to, ``kept`` whether the row's id is that one. Null
-    texts and texts without words link with nothing and are their own class. Rows that
-    repeat an id share its result if their texts are equal. A null id has null ids here and
-    is kept: nothing can stand for it. An empty table gives no row; other columns play no part.
+    links of ``similarity`` or more lead to, ``kept`` whether the row stands for its
+    component: its id is that one and, where this id comes with several texts of the
+    component, its text is the one chosen. Null texts and texts without words link with
+    nothing and are their own class. Rows that repeat an id and its text share their
+    result; an id with different texts is a document for each of them. A null id has null
+    ids here and is kept: nothing can stand for it. An empty table gives no row; other
+    columns play no part.
     """
+    return _labelled(docs, similarity).drop("digest")
+
+
+def _labelled(docs: DataFrame, similarity: float) -> DataFrame:
+    """The rows of ``near_duplicates`` with the digest of their text, null if it has no words."""
     rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    worded = F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]") & F.col("doc_id").isNotNull()
-    digest = F.when(worded, F.md5("text")).alias("digest")
-    light = rows.select("doc_id", digest)
-    known = cut_lineage(light.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("v")))
-    # every text is signed where it is read: moving the texts costs more than signing copies
-    texts = rows.filter(worded).select(F.col("doc_id").alias("v"), "text")
-    signed = signatures(texts).join(known.select("v"), "v", "left_semi").dropDuplicates(["v"])
-    links = _links(cut_lineage(signed), texts, similarity)
-    grouped = components(links.select("a", "b"))
-    classes = known.join(grouped, "v", "left").select("digest", "v", F.coalesce("root", "v").alias("root"))
+    worded = _has_word() & F.col("doc_id").isNotNull()
+    light = rows.select("doc_id", F.when(worded, F.md5("text")).alias("digest"))
+    known, repeated = _classes(light)
+    texts = rows.filter(worded).select(F.struct("doc_id", F.md5("text").alias("digest")).alias("v"), "text")
+    classes = _rooted(known, texts, similarity)
+    best = F.struct(F.col("root").alias("id"), F.col("root").alias("v"))
+    if repeated:
+        # where a class does not bear its own id, the smallest id is looked for
+        wanted = classes.filter("v <> id").select("root").distinct()
+        least = classes.join(wanted, "root", "left_semi").groupBy("root").agg(F.min(F.struct("id", "v")).alias("least"))
+        at = F.struct("root").alias("at")  # a shuffle of its own for either side, so AQE can split
+        classes = classes.withColumn("at", at).join(least.select(at, "least"), "at", "left")
+        best = F.coalesce("least", best)
+    classes = classes.select("digest", "id", "v", best.alias("best"))
     # rows without a digest match nothing; a key of their own spreads them
     spread = F.coalesce("digest", F.concat(F.lit("#"), F.col("doc_id").cast("string")))
-    out = light.select("doc_id", spread.alias("digest")).join(classes, "digest", "left")
-    own = F.coalesce("root", "doc_id")
+    out = light.select("doc_id", spread.alias("at"), F.col("digest").alias("own")).join(
+        classes.withColumnRenamed("digest", "at"), "at", "left"
+    )
+    stands = (F.col("v") == F.col("best.v")) & (F.col("id") == F.col("doc_id"))
     return out.select(
         "doc_id",
-        F.coalesce("v", "doc_id").alias("class_id"),
-        own.alias("component_id"),
-        F.coalesce(own == F.col("doc_id"), F.lit(True)).alias("kept"),
+        F.col("own").alias("digest"),
+        F.coalesce("id", "doc_id").alias("class_id"),
+        F.coalesce("best.id", "doc_id").alias("component_id"),
+        F.coalesce(stands, F.lit(True)).alias("kept"),
     )
 
 
-def _links(signed: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Verified pairs ``(a, b)`` between class representatives."""
+def _has_word() -> Column:
+    return F.coalesce(F.col("text"), F.lit("")).rlike(r"[^\x20\x09-\x0D]")
+
+
+def _classes(light: DataFrame) -> tuple[DataFrame, bool]:
+    """``(digest, id, v)`` of each text, and whether an id has several.
+
+    ``id`` is the smallest with this text and ``v`` a number of the text's own: the id, but
+    for the further texts of an id a number that is no id.
+    """
+    known = cut_lineage(light.filter("digest is not null").groupBy("digest").agg(F.min("doc_id").alias("id")))
+    at = F.struct("id").alias("at")
+    several = known.groupBy("id").agg(F.min("digest").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    later = known.select("*", at).join(several.select(at, "first"), "at").filter("digest <> first")
+    later = cut_lineage(later.select("digest", "id"))
+    count = later.count()
+    if not count:
+        return known.withColumn("v", F.col("id")), False
+    low, high = known.agg(F.min("id"), F.max("id")).first()
+    own = F.lit(high + 1) + F.col("n") if high + count < 2**63 else F.lit(low - 1) - F.col("n")
+    numbered = number_rows(later, ["id", "digest"], "n").select("digest", own.alias("v"))
+    known = known.join(numbered, "digest", "left")
+    return cut_lineage(known.select("digest", "id", F.coalesce("v", "id").alias("v"))), True
+
+
+def _rooted(known: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """``known`` with ``root``, the smallest ``v`` of its component.
+
+    ``texts`` has the texts of all rows, with the struct of id and digest as ``v``.
+    """
+    spark, place = known.sparkSession, work_path(known.sparkSession, "near-texts")
+    keyed = known.select(F.struct(F.col("id").alias("doc_id"), "digest").alias("key"), "v")
+    # every text is signed where it is read: moving the texts costs more than signing copies
+    signed = signatures(texts).withColumnRenamed("v", "key").join(keyed, "key")
+    signed = signed.select("v", "keys").dropDuplicates(["v"])
     banded = signed.select("v", F.explode("keys").alias("key"))
-    met = cut_lineage(_with_hub(banded, F.min("v")).select("key", "v", "a"))
+    met = cut_lineage(_with_hub(cut_lineage(banded), F.min("v")).select("key", "v", "a"))
     # the texts that may be compared are moved once, and from then on only they are
-    spark, place = signed.sparkSession, work_path(signed.sparkSession, "near-texts")
-    moved = texts.join(met.select("v").distinct(), "v", "left_semi")
+    wanted = keyed.join(met.select("v").distinct(), "v", "left_semi")
+    moved = texts.withColumnRenamed("v", "key").join(wanted, "key").select("v", "text").dropDuplicates(["v"])
     moved.withColumn("bytes", F.octet_length("text")).write.parquet(place)
     texts = spark.read.parquet(place)
     pairs = met.filter("a <> v").select("a", F.col("v").alias("b")).distinct()
-    first = cut_lineage(verified(pairs, texts, similarity))
-    grouped = components(first.select("a", "b"))
+    grouped = components(verified(pairs, texts, similarity).select("a", "b"))
     # buckets that still hold several components
     placed = met.select("key", "v").join(grouped, "v", "left").select("key", "v", F.coalesce("root", "v").alias("root"))
-    placed = cut_lineage(placed)
     mixed = placed.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
-    open_ = cut_lineage(placed.join(mixed.select("key"), "key").select("key", "v", "root"))
+    at = F.struct("key").alias("at")  # a shuffle of its own for either side, so AQE can split
+    open_ = cut_lineage(placed.select("*", at).join(mixed.select(at), "at", "left_semi").select("key", "v", "root"))
     rest = _settled(_seats(_groups(open_), texts), texts, similarity)
-    return cut_lineage(first.unionByName(rest))
+    up = components(rest.select(F.col("root_a").alias("a"), F.col("root_b").alias("b")))
+    remove(spark, place)  # `components` has stored what it needs
+    rooted = known.join(grouped, "v", "left").withColumn("root", F.coalesce("root", "v"))
+    up = up.select(F.col("v").alias("root"), F.col("root").alias("up"))
+    return rooted.join(up, "root", "left").select("digest", "id", "v", F.coalesce("up", "root").alias("root"))
 
 
 def _groups(open_: DataFrame) -> DataFrame:
@@ -290,9 +345,11 @@ def _groups(open_: DataFrame) -> DataFrame:
     joined = joined.select("v", F.col("root").alias("whole"))
     apart = buckets.join(joined, buckets["a"] == joined["v"]).groupBy("whole").agg(F.sum(moved(F.col("n"))).alias("apart"))
     sizes = joined.groupBy("whole").agg(moved(F.count(F.lit(1))).alias("together")).join(apart, "whole")
-    kind = sizes.select("whole", (F.col("together") <= F.col("apart")).alias("one"))
+    # on a struct the sums are dealt anew, so AQE knows their size and can split a hot group
+    at = F.struct("whole").alias("at")
+    kind = sizes.select(at, (F.col("together") <= F.col("apart")).alias("one"))
     group = F.when(F.col("one"), F.col("whole")).otherwise(F.col("key")).alias("group")
-    return open_.join(joined, "v").join(kind, "whole").select(group, "v", "root").distinct()
+    return open_.join(joined, "v").withColumn("at", at).join(kind, "at").select(group, "v", "root").distinct()
 
 
 def _seats(members: DataFrame, texts: DataFrame) -> DataFrame:
@@ -301,17 +358,19 @@ def _seats(members: DataFrame, texts: DataFrame) -> DataFrame:
     A component that fills several blocks has blocks of its own, which are not compared
     with each other; the other members of a group share blocks.
     """
-    sizes = texts.groupBy("v").agg(F.max("bytes").alias("bytes"))
-    members = cut_lineage(members.join(sizes, "v"))
+    members = cut_lineage(members.join(texts.select("v", "bytes"), "v"))
     blocks = F.ceil(F.greatest(F.count(F.lit(1)) / BLOCK, F.sum("bytes") / BLOCK_BYTES))
     large = members.groupBy("group", "root").agg(blocks.alias("own")).filter("own > 1")
-    laid = cut_lineage(members.join(large, ["group", "root"], "left"))
+    at = F.struct("group", "root").alias("at")
+    laid = members.withColumn("at", at).join(large.select(at, "own"), "at", "left").drop("at")
     shared = laid.filter("own is null").groupBy("group").agg(blocks.alias("shared"))
     part = F.pmod(F.xxhash64("v"), F.coalesce("own", "shared"))
     is_large = F.col("own").isNotNull()
     owner = F.when(is_large, F.col("root")).otherwise(F.lit(0))
     block = F.struct(is_large.alias("large"), owner.alias("owner"), part.alias("part"))
-    laid = cut_lineage(laid.join(shared, "group", "left").select("group", block.alias("block"), "v", "root"))
+    at = F.struct("group").alias("at")
+    laid = laid.withColumn("at", at).join(shared.select(at, "shared"), "at", "left")
+    laid = cut_lineage(laid.select("group", block.alias("block"), "v", "root"))
     counted = laid.groupBy("group", "block").agg(F.count(F.lit(1)).alias("n"))
     x = counted.select("group", F.col("block").alias("x"), "n")
     y = counted.select("group", F.col("block").alias("y"))
@@ -326,7 +385,7 @@ def _seats(members: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def _settled(seats: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
-    """Links ``(a, b, similarity)`` that join the components which meet in the tasks."""
+    """Links ``(a, b, similarity, root_a, root_b)`` that join the components which meet in the tasks."""
     dealt = seats.join(texts.select("v", "text"), "v").select("task", "second", "v", "root", "text")
     dealt = dealt.repartition("task").sortWithinPartitions("task", "second", "v")
 
@@ -349,17 +408,14 @@ def _settled(seats: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
         names, roots = rows.column("v").to_numpy(), rows.column("root").to_numpy()
         cut = int(np.searchsorted(rows.column("second").to_numpy(zero_copy_only=False), True))
         found = block_links(rows.column("text").to_pylist(), roots, cut, similarity)
-        ends = [sorted((int(names[i]), int(names[j]))) for i, j, _ in found]
+        i, j = (np.array([f[k] for f in found], np.int64) for k in (0, 1))
+        likeness = pa.array([f[2] for f in found], pa.float64())
         return pa.RecordBatch.from_arrays(
-            [
-                pa.array([e[0] for e in ends], pa.int64()),
-                pa.array([e[1] for e in ends], pa.int64()),
-                pa.array([f[2] for f in found], pa.float64()),
-            ],
-            names=["a", "b", "similarity"],
+            [pa.array(names[i]), pa.array(names[j]), likeness, pa.array(roots[i]), pa.array(roots[j])],
+            names=["a", "b", "similarity", "root_a", "root_b"],
         )
 
-    return dealt.mapInArrow(run, "a bigint, b bigint, similarity double")
+    return dealt.mapInArrow(run, "a bigint, b bigint, similarity double, root_a bigint, root_b bigint")
 
 
 def block_links(texts: list[str], roots: np.ndarray, cut: int, similarity: float) -> list[tuple[int, int, float]]:
@@ -423,8 +479,15 @@ def op4_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; a repeated id stays once; columns of documents."""
+    """One document of each group, with the columns of documents.
+
+    Rows that repeat an id and its text stay once, texts without words once for each id. All
+    texts of an id stay that are no near copies. Rows with a null id stay.
+    """
     rows = document_columns(docs)
-    kept = near_duplicates(rows).filter("kept").select("doc_id").distinct()
-    once = rows.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    digest = F.when(_has_word(), F.md5("text"))
+    key = lambda digest: F.struct(F.col("doc_id").cast("bigint").alias("doc_id"), F.coalesce(digest, F.lit("")).alias("digest"))
+    named = rows.filter("doc_id is not null").withColumn("key", key(digest))
+    kept = _labelled(rows, SIMILARITY).filter("kept and doc_id is not null").select(key(F.col("digest")).alias("key")).distinct()
+    once = named.join(kept, "key", "left_semi").dropDuplicates(["key"]).drop("key")
     return once.unionByName(rows.filter("doc_id is null"))

@@ -6,6 +6,7 @@ import time
 import zlib
 from collections import Counter
 from itertools import combinations
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -234,6 +235,31 @@ def test_near_duplicate_edges(spark):
     assert stage.columns == ["doc_id", "text", "lang", "source", "n_chars"]
 
 
+@pytest.mark.parametrize("shift", [0, 2**63 - 10])
+def test_near_duplicates_where_an_id_has_several_texts(spark, shift):
+    words = lambda name, n=60: " ".join(f"{name}{i}" for i in range(n))
+    a, b, c, d = map(words, "abcd")
+    rows = [(1, a), (1, b), (2, b + " x"), (3, a), (4, c), (4, c + " x"), (5, c + " x"), (7, d), (7, d), (6, d + " x"), (6, None)]
+    docs = documents(spark, *((i + shift, text) for i, text in rows))
+    found = near_dedup.near_duplicates(docs).collect()
+    ids = sorted((r["doc_id"] - shift, r["class_id"] - shift, r["component_id"] - shift) for r in found)
+    assert ids == [(1, 1, 1), (1, 1, 1), (2, 2, 1), (3, 1, 1), (4, 4, 4), (4, 4, 4), (5, 4, 4), (6, 6, 6), (6, 6, 6), (7, 7, 6), (7, 7, 6)]
+    assert sorted(r["doc_id"] - shift for r in found if r["kept"]) == [1, 1, 4, 6, 6]
+    stage = [(r["doc_id"] - shift, r["text"]) for r in near_dedup.near_dedup_stage(spark, docs, "").collect()]
+    assert len(stage) == 5 and {(1, a), (1, b), (6, None), (6, d + " x")} < set(stage)
+    assert len({(4, c), (4, c + " x")} & set(stage)) == 1
+
+
+def test_near_duplicate_groups_are_dealt_by_no_hot_key(spark):
+    docs = documents(spark, *enumerate(copies(np.random.default_rng(5))))
+    plan = near_dedup._groups(spark.range(9).selectExpr("id % 3 as key", "id as v", "id as root"))
+    shuffles = re.findall(r"hashpartitioning\(whole#\d+L?, [^)]*\)", plan._jdf.queryExecution().executedPlan().toString())
+    assert len(shuffles) == 2  # of the two sums alone, which combine ahead of them
+    assert near_dedup.near_duplicates(docs).count() == docs.count()
+    work = Path(near_dedup.work_path(spark, "x")).parent
+    assert not list(work.glob("near-texts-*"))
+
+
 # ---------------------------------------------------------------- personal data
 
 
