@@ -24,7 +24,7 @@ from tallycast.session import build_session, cut_lineage
 from tallycast.sources import landing, tables
 from tallycast.streaming.microbatch import Tick
 from tallycast.streaming.runs import drain
-from tallycast.streaming.stateful import observed, start_scoring
+from tallycast.streaming.scoring import ScoringTick
 
 
 def process(
@@ -61,20 +61,22 @@ def predict(
     checkpoint: str,
     tz: str = "UTC",
     every: str | None = None,
+    keep_days: int = 30,
 ) -> dict[str, int] | None:
     """Score the readings landed since the last call and store the predictions.
 
-    A run that is collected again is scored once. Returns how many readings there were and
-    how many lack a number and were left out; None when there is no model.
+    A run that is collected again within ``keep_days`` days is scored once, its newest copy
+    if both come together. Returns how many readings there were and how many lack a number
+    and were left out; None when there is no model.
     """
     store = ModelStore(spark, models)
-    envelopes = landing.read_landing(spark, landed, schemas.WEATHER_KIND, streaming=True)
-    once = landing.weather_records(envelopes).dropDuplicates(["city_name", "scheduler_id"])
-    query = start_scoring(store, once, predictions, checkpoint, every, tz)
-    if query is None:
+    if not store.exists():
         return None
-    drain(query)
-    return observed(query)
+    envelopes = landing.read_landing(spark, landed, schemas.WEATHER_KIND, streaming=True)
+    runs = tables.SeenIds(spark, f"{predictions.rstrip('/')}-runs")
+    tick = ScoringTick(store, predictions.rstrip("/"), runs, tz, keep_days)
+    drain(tick.start(envelopes, checkpoint, every))
+    return tick.counts
 
 
 def listing(

@@ -52,9 +52,9 @@ def append_predictions(predictions: DataFrame, path: str, mode: str = "append")
 
 
 def read_predictions(spark: SparkSession, path: str) -> DataFrame:
-    """Stored predictions with their partition column."""
+    """Stored predictions with their partition column, whatever batches wrote them."""
     stored = T.StructType([*schemas.PREDICTION.fields, T.StructField(END_DAY, T.DateType())])
-    return spark.read.schema(stored).parquet(path)
+    return spark.read.schema(stored).parquet(path).select(*stored.names)
 
 
 def _required(name: str) -> Column:
@@ -97,14 +97,17 @@ class SeenIds:
     def ids(self, spark: SparkSession | None = None) -> DataFrame:
         """All rows ``(id, day, stream, level, batch, bucket)`` that are not forgotten."""
         spark = spark or self.spark
+        stored, horizon = self._stored(spark), self.horizon(spark)
+        return stored if horizon is None else stored.filter(F.col("day").isNull() | (F.col("day") >= F.lit(horizon)))
+
+    def _stored(self, spark: SparkSession) -> DataFrame:
+        """All rows, forgotten ones too."""
         try:
-            stored = spark.read.schema(_SEEN).parquet(self._ids)
+            return spark.read.schema(_SEEN).parquet(self._ids)
         except AnalysisException as problem:
             if problem.getCondition() != "PATH_NOT_FOUND":
                 raise
             return spark.createDataFrame([], _SEEN)
-        horizon = self.horizon(spark)
-        return stored if horizon is None else stored.filter(F.col("day").isNull() | (F.col("day") >= F.lit(horizon)))
 
     def known(self, ids: DataFrame, stream: str, batch: int) -> DataFrame:
         """Ids among which are all that ``ids`` shares with what other batches remembered.
@@ -147,7 +150,8 @@ class SeenIds:
         which do no harm.
         """
         old = (F.col("stream") == stream) & (F.col("batch") < before)
-        parts = sorted(tuple(r) for r in self.ids().filter(old).select("level", "batch").distinct().collect())
+        # parts of which every id is forgotten go too
+        parts = sorted(tuple(r) for r in self._stored(self.spark).filter(old).select("level", "batch").distinct().collect())
         if len(parts) < 2:
             return
         last = max(batch for _, batch in parts)

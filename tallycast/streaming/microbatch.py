@@ -77,16 +77,16 @@ class Tick:
         """
         part = f"stream={stream}/batch={batch_id}"
         copies = [f"{self.out}/{name}/{part}" for name in ("landed", "first", "events", "weather")]
-        landed = _store(batch, copies[0], "crawler_type")
+        landed = store_batch(batch, copies[0], "crawler_type")
         landing.unreadable(landed).write.mode("overwrite").parquet(f"{self.unreadable}/{part}")
         sightings, readings = (self._current(landed, kind) for kind in (schemas.TRAFFIC_KIND, schemas.WEATHER_KIND))
 
         order = [landing.LANDED_AT, landing.LANDED_FILE]
         first = flatten_events(keep_first(landing.traffic_records(sightings), ["id"], order), self.tz)
-        first = _store(first.withColumn("day", utc_day("date")), copies[1])
+        first = store_batch(first.withColumn("day", utc_day("date")), copies[1])
         fresh = drop_seen(first, self.seen.known(first, stream, batch_id), ["id"])
-        events = _store(fresh, copies[2])
-        weather = _store(clean_weather(landing.weather_records(readings), self.tz), copies[3])
+        events = store_batch(fresh, copies[2])
+        weather = store_batch(clean_weather(landing.weather_records(readings), self.tz), copies[3])
 
         self._publish(bucket_join(events.drop("day"), weather), f"{self.event_weather}/{part}")
         self._publish(count_per_run(weather, events), f"{self.run_count}/{part}")
@@ -130,18 +130,23 @@ def remember_first_sightings(
     def work(batch: DataFrame, batch_id: int) -> None:
         part = f"stream={name}/batch={batch_id}"
         first = keep_first(batch, ["id"], order).withColumn("day", utc_day(ts))
-        first = _store(first, f"{out}-first/{part}")
-        fresh = _store(drop_seen(first, seen.known(first, name, batch_id), ["id"]), f"{out}/{part}")
+        first = store_batch(first, f"{out}-first/{part}")
+        fresh = store_batch(drop_seen(first, seen.known(first, name, batch_id), ["id"]), f"{out}/{part}")
         seen.remember(fresh.select("id", "day"), name, batch_id)
         remove(batch.sparkSession, f"{out}-first/{part}")
         if days is not None:
-            middle = fresh.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_date(day))")).first()[0]
-            if middle is not None:
-                seen.forget(date(1970, 1, 1) + timedelta(days=int(middle) - days))
+            forget_old(seen, fresh, days)
 
     return begin(per_batch(stream, work), checkpoint)
 
 
+def forget_old(seen: SeenIds, fresh: DataFrame, days: int) -> None:
+    """Forget ids of more than ``days`` days before the middle day of the ``fresh`` ones."""
+    middle = fresh.agg(F.expr("percentile_disc(0.5) WITHIN GROUP (ORDER BY unix_date(day))")).first()[0]
+    if middle is not None:
+        seen.forget(date(1970, 1, 1) + timedelta(days=int(middle) - days))
+
+
 @dataclass
 class BucketTables:
     """Weather per bucket, and events with it, kept right however late rows come.
@@ -272,7 +277,7 @@ def _of_buckets(rows: DataFrame, buckets: DataFrame) -> DataFrame:
     return near.join(buckets, list(_BUCKET_KEYS), "left_semi")
 
 
-def _store(df: DataFrame, place: str, *partition_by: str) -> DataFrame:
+def store_batch(df: DataFrame, place: str, *partition_by: str) -> DataFrame:
     """Write ``df`` as the data of one batch and return the written copy."""
     df.write.mode("overwrite").partitionBy(*partition_by).parquet(place)
     return df.sparkSession.read.schema(df.schema).parquet(place)

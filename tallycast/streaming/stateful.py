@@ -91,13 +91,10 @@ def predictions_stream(model: PipelineModel, raw_readings: DataFrame, tz: str =
     """Text readings -> prediction rows with their partition column; no state.
 
     ``tz`` is the zone of times that name none, ``model_tz`` the zone of the calendar parts
-    that the model was trained on. How many readings there were and how many lack a number,
-    which cannot be scored, is observed as ``readings``.
+    that the model was trained on. :class:`~tallycast.streaming.scoring.ScoringTick` also
+    counts the readings and scores a repeated run once.
     """
-    typed = type_weather(raw_readings, tz)
-    missing = F.greatest(*[F.col(c).isNull() for c in (*WEATHER_MEANS, "date")])
-    counted = typed.observe("readings", F.count(F.lit(1)).alias("rows"), F.count_if(missing).alias("dropped"))
-    predicted = score(model, counted, model_tz)
+    predicted = score(model, type_weather(raw_readings, tz), model_tz)
     return predicted.withColumn(END_DAY, end_day(F.col("endDate")))
 
 
@@ -112,13 +109,3 @@ def start_scoring(
         return None
     predicted = predictions_stream(store.load(), raw_readings, tz, store.zone())
     return begin(append_files(predicted, out, (END_DAY,)), checkpoint, every)
-
-
-def observed(query: StreamingQuery) -> dict[str, int]:
-    """Readings seen and left out by a finished scoring query."""
-    found = {"rows": 0, "dropped": 0}
-    for progress in query.recentProgress:
-        metrics = progress["observedMetrics"].get("readings")
-        if metrics is not None:
-            found = {name: n + (metrics[name] or 0) for name, n in found.items()}
-    return found

@@ -1,4 +1,5 @@
 import json
+import os
 from datetime import datetime, timedelta, timezone
 
 from pyspark.ml import PipelineModel
@@ -10,7 +11,7 @@ from tallycast.ml.registry import ModelStore
 from tallycast.operators import align, clean, summarize
 from tallycast.plans import jobs, views
 from tallycast.sources import landing, tables
-from tallycast.streaming import microbatch, runs, stateful
+from tallycast.streaming import microbatch, runs, scoring, stateful
 
 START = datetime(2022, 12, 25, 7, 0, tzinfo=timezone.utc)
 
@@ -162,6 +163,49 @@ def test_scoring_uses_the_zone_of_training(spark, sf_dir, tmp_path):
     assert [r["crashes"] for r in stored.filter("crashes is not null").limit(1).collect()] == [10]
 
 
+def _runs_model(spark, path):
+    store = ModelStore(spark, str(path))
+    model = PipelineModel([SQLTransformer(statement="SELECT *, CAST(temperature AS DOUBLE) AS prediction FROM __THIS__")])
+    store.promote_if_better(model, spark.createDataFrame([(1, 1)], "temperature int, crashes int"))
+    return store
+
+
+def test_a_recollected_run_is_scored_once_and_its_newest_copy(spark, tmp_path):
+    _runs_model(spark, tmp_path / "models")
+    place = lambda n: str(tmp_path / n)
+    predict = lambda checkpoint="cp": jobs.predict(spark, place("in"), place("models"), place("out"), place(checkpoint))
+    nameless = reading("x", 3, "7", city=None)
+    land(tmp_path / "in", "0.json", reading("r1", 1, "1"), nameless, nameless)
+    land(tmp_path / "in", "1.json", reading("r1", 1, "2"))
+    later = (tmp_path / "in" / "0.json").stat().st_mtime + 60
+    os.utime(tmp_path / "in" / "1.json", (later, later))
+    assert predict() == {"rows": 3, "dropped": 0}
+    land(tmp_path / "in", "2.json", reading("r1", 1, "9"), reading("r1", 1, "4", city="msc"), reading("r2", 9, "5"))
+    assert predict() == {"rows": 2, "dropped": 0}
+    scored = lambda: sorted(r["crashes"] for r in tables.read_predictions(spark, place("out")).filter("city is not null").collect())
+    assert scored() == [2, 4, 5]
+    predict("renewed")  # an other stream: the runs are remembered, readings without a name are not
+    assert scored() == [2, 4, 5]
+
+
+def test_remembered_runs_do_not_grow_with_the_stream(spark, tmp_path):
+    store, size = _runs_model(spark, tmp_path / "models"), []
+    seen = tables.SeenIds(spark, str(tmp_path / "runs"), buckets=1)
+    tick = scoring.ScoringTick(store, str(tmp_path / "out"), seen, keep_days=2, compact_every=2)
+    for n in range(12):
+        land(tmp_path / f"in{n}", "0.json", reading(f"r{n}", 1440 * n, str(n)), reading(f"r{n - 1}", 1440 * (n - 1), "99"))
+        batch = landing.read_landing(spark, str(tmp_path / f"in{n}"), schemas.WEATHER_KIND)
+        tick.process(batch, n)
+        if n == 5:
+            tick.process(batch, n)  # run again after a failure
+        size.append(sum(f.stat().st_size for f in (tmp_path / "runs" / "ids").rglob("*.parquet")))
+        if n % 2:
+            assert len(list((tmp_path / "runs" / "ids").rglob("*.parquet"))) <= 4
+    assert seen.ids().select("id").distinct().count() <= 4 and max(size[6:]) <= max(size[:6])
+    stored = sorted(r["crashes"] for r in tables.read_predictions(spark, str(tmp_path / "out")).collect())
+    assert stored == [*range(12), 99]  # 99: the run before the first one
+
+
 def test_a_new_checkpoint_keeps_old_ids_out_and_loses_none(spark, tmp_path):
     landed, seen = tmp_path / "in", str(tmp_path / "seen")
     out = [str(tmp_path / "out"), seen]
