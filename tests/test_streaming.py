@@ -2,6 +2,8 @@ import json
 import os
 from datetime import datetime, timedelta, timezone
 
+import pytest
+from pyspark.errors import StreamingQueryException
 from pyspark.ml import PipelineModel
 from pyspark.ml.feature import SQLTransformer
 from pyspark.sql import functions as F
@@ -65,6 +67,55 @@ def test_a_batch_run_twice_leaves_one_result(spark, tmp_path):
     assert tick.seen.ids().count() == 1
 
 
+@pytest.mark.parametrize("broken", ["run_count", "seen ids"])
+def test_a_tick_that_fails_half_way_is_run_again_from_its_checkpoint(spark, tmp_path, monkeypatch, broken):
+    first = [traffic("r1", ("a", 1), ("b", 2)), reading("r1", 1, "1")]
+    second = [traffic("r2", ("b", 2), ("c", 16)), reading("r2", 16, "5"), reading("r3", 31, "7")]
+    publish = microbatch.Tick._publish
+
+    def stops(self, df, place):
+        if "run_count" in place:
+            raise OSError("no space between the two tables")
+        publish(self, df, place)
+
+    def forgets(*_):
+        raise OSError("no space for the seen ids")
+
+    def run(name):
+        return jobs.process(spark, str(tmp_path / f"{name}-in"), *[str(tmp_path / f"{name}-{n}") for n in ("out", "seen", "cp")])
+
+    def start(name):
+        land(tmp_path / f"{name}-in", "0.json", *first)
+        with (tmp_path / f"{name}-in" / "0.json").open("a") as file:
+            file.write('\n{"scheduler_id": "r9", "crawl')
+        land(tmp_path / f"{name}-in", "collected-again.json", reading("r1", 2, "3"))
+        later = (tmp_path / f"{name}-in" / "0.json").stat().st_mtime + 60
+        os.utime(tmp_path / f"{name}-in" / "collected-again.json", (later, later))
+
+    start("whole")
+    run("whole")
+    start("again")
+    with monkeypatch.context() as patch:
+        target = (microbatch.Tick, "_publish", stops) if broken == "run_count" else (tables.SeenIds, "remember", forgets)
+        patch.setattr(*target)
+        with pytest.raises(StreamingQueryException):
+            run("again")
+    ticks = []
+    for name in ("whole", "again"):
+        land(tmp_path / f"{name}-in", "1.json", *second)
+        ticks.append(run(name))
+
+    def rows(path):
+        stored = spark.read.parquet(path)
+        return sorted(map(repr, stored.drop("stream", "landed_at", "landed_file").collect()))
+
+    whole, again = ticks
+    assert counts(spark, again) == {3: 2, 5: 1, 7: 0}
+    assert rows(again.run_count) == rows(whole.run_count) and rows(again.event_weather) == rows(whole.event_weather)
+    assert [spark.read.parquet(t.unreadable).count() for t in ticks] == [1, 1]
+    assert sorted(r["id"] for r in again.seen.ids().collect()) == ["a", "b", "c"]
+
+
 def test_tick_without_events_or_without_readings(spark, tmp_path):
     for name, record, expected in [("w", reading("r1", 1, "1"), {1: 0}), ("t", traffic("r1", ("a", 1)), {})]:
         land(tmp_path / name, "0.json", record)
