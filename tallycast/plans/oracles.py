@@ -299,6 +299,20 @@ WITH found AS (
          regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's') AS heading FROM pages)
 SELECT page_id, trim(regexp_replace({_decoded('title')}, '\s+', ' ', 'g')) AS title,
   trim(regexp_replace({_decoded('heading')}, '\s+', ' ', 'g')) AS heading, 'calm' AS wind_speed
+FROM found""",
+    "page_parts": rf"""
+WITH found AS (
+  SELECT page_id, regexp_extract(html, '<div class="ad">(.*?)</div>', 1, 's') AS notice,
+         regexp_extract(html, '<nav>.*?<li><a[^>]*>(.*?)</a>', 1, 's') AS first_link,
+         regexp_extract(html, '<h1[^>]*>(.*?)</h1>', 1, 's') AS heading,
+         CASE WHEN page_id % 2 = 0 THEN replace(replace(
+           regexp_extract(html, '<footer>(.*?)</footer>', 1, 's'), '&copy;', '©'), '&middot;', '·')
+         ELSE 'unnamed' END AS ending
+  FROM pages)
+SELECT page_id, trim(regexp_replace({_decoded('notice')}, '\s+', ' ', 'g')) AS notice,
+  trim(regexp_replace({_decoded('first_link')}, '\s+', ' ', 'g')) AS first_link,
+  trim(regexp_replace({_decoded('heading')}, '\s+', ' ', 'g')) AS heading,
+  'none' AS not_a_child, trim(regexp_replace({_decoded('ending')}, '\s+', ' ', 'g')) AS ending
 FROM found""",
     "route_by_kind": f"""
 SELECT CASE WHEN event_type IN ('error', 'purchase') THEN 'traffic_events' ELSE 'weather_forecast' END AS crawler_type,

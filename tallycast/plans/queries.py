@@ -275,6 +275,23 @@ def page_fields(spark, sf_dir):
     )
 
 
+@query
+def page_parts(spark, sf_dir):
+    """Selectors by class, id, descendants and children; every second footer has the id."""
+    stored = views.table(spark, sf_dir, "pages").select("page_id", "html")
+    named = F.when(F.col("page_id") % 2 == 0, F.replace("html", F.lit("<footer>"), F.lit('<footer id="end">')))
+    return pages.extract_page_fields(
+        stored.withColumn("html", F.coalesce(named, "html")),
+        {
+            "notice": ("body > div.ad", ""),
+            "first_link": ("nav li > a", ""),
+            "heading": ("body article > h1", ""),
+            "not_a_child": ("nav > a", "none"),
+            "ending": ("#end", "unnamed"),
+        },
+    )
+
+
 @query
 def route_by_kind(spark, sf_dir):
     """Event types become record kinds; one of the five is of no known kind."""

@@ -36,7 +36,9 @@ def extract_page_fields(df: DataFrame, mapping: Mapping[str, tuple[str, str]], h
 
     ``mapping`` is field -> (selector, default). A field is the blank-normalised
     text of the first element that matches, the default when none does. Selectors:
-    ``tag``, ``.class``, ``#id``, ``tag.class`` and descendant lists of those.
+    ``tag``, ``.class``, ``#id``, ``tag.class`` and lists of those, joined by blanks
+    (descendants) or ``>`` (children). All selectors are one automaton: an open element keeps
+    the steps reached so far, so a new one looks at its parent alone.
 
     Pages are parsed in Python, one Arrow batch at a time; only the page text
     leaves the JVM, and nothing is shuffled.
@@ -53,17 +55,23 @@ def extract_page_fields(df: DataFrame, mapping: Mapping[str, tuple[str, str]], h
     return df.select(*others, fields_of(html).alias("__fields")).select(*others, "__fields.*")
 
 
-def _steps(selector: str) -> list[tuple[str, str, frozenset[str]]]:
-    """``'div.a #b'`` -> [('div', '', {'a'}), ('', 'b', {})]."""
-    steps = []
-    for part in selector.split():
+def _steps(selector: str) -> list[tuple[str, str, frozenset[str], bool]]:
+    """``'div.a > #b'`` -> [('div', '', {'a'}, False), ('', 'b', {}, True)]; the last says child."""
+    steps, child = [], False
+    for part in selector.replace(">", " > ").split():
+        if part == ">":
+            if child or not steps:
+                raise ValueError(f"not a simple selector: {selector!r}")
+            child = True
+            continue
         if not re.fullmatch(r"[\w-]*(?:[.#][\w-]+)*", part):
             raise ValueError(f"not a simple selector: {selector!r}")
         tag = re.match(r"[\w-]*", part).group()
         ident = "".join(re.findall(r"#([\w-]+)", part)[-1:])
-        steps.append((tag.lower(), ident, frozenset(re.findall(r"\.([\w-]+)", part))))
-    if not steps:
-        raise ValueError("empty selector")
+        steps.append((tag.lower(), ident, frozenset(re.findall(r"\.([\w-]+)", part)), child))
+        child = False
+    if not steps or child:
+        raise ValueError(f"empty selector or step: {selector!r}")
     return steps
 
 
@@ -86,7 +94,7 @@ _ESCAPED_NAME = re.compile(r"""(?:class|id)\s*=\s*(?:"[^"]*&|'[^']*&|[^\s>"']*&)
 
 def _may_match(page: str, steps: list) -> bool:
     """False only when a class or id of the selector occurs nowhere in the page."""
-    names = [name for _, ident, classes in steps for name in (ident, *classes) if name]
+    names = [name for _, ident, classes, _ in steps for name in (ident, *classes) if name]
     return all(name in page for name in names) or _ESCAPED_NAME.search(page) is not None
 
 
@@ -99,10 +107,18 @@ class _FieldReader(HTMLParser):
 
     def __init__(self, selectors: list):
         super().__init__(convert_charrefs=True)
-        self._selectors = selectors
+        self._by_tag: dict[str, list[tuple]] = {}  # "" holds the steps for any tag
+        self._ends: dict[int, int] = {}  # bit of a selector's last step -> selector
+        bit = 1
+        for number, steps in enumerate(selectors):
+            for place, (tag, ident, classes, child) in enumerate(steps or ()):
+                self._by_tag.setdefault(tag, []).append((bit, ident, classes, child, place == 0))
+                if place == len(steps) - 1:
+                    self._ends[bit] = number
+                bit <<= 1
         self._found: list[list[str] | None] = [None] * len(selectors)
         self._pending = sum(steps is not None for steps in selectors)
-        self._open: list[tuple] = []  # (tag, id, classes, selectors capturing here)
+        self._open: list[tuple] = []  # (tag, selectors capturing here, steps reached here, here or above)
         self._tags: Counter[str] = Counter()  # of the open elements
         self._capturing: list[int] = []  # selectors whose element is open
 
@@ -115,18 +131,17 @@ class _FieldReader(HTMLParser):
     def handle_starttag(self, tag, attrs):
         while self._open and tag in _IMPLIED_END.get(self._open[-1][0], ()):
             self._close(len(self._open) - 1)
-        values = dict(attrs)
-        element = (tag, values.get("id") or "", frozenset((values.get("class") or "").split()))
+        here, above = self._reached(tag, dict(attrs))
         started = []
-        for number, steps in enumerate(self._selectors):
-            if steps is not None and self._found[number] is None and self._matches(element, steps):
+        for bit, number in self._ends.items():
+            if here & bit and self._found[number] is None:
                 self._found[number] = []
                 started.append(number)
         if tag in _VOID:
             self.handle_data(" ")
             self._finish(len(started))
         else:
-            self._open.append((*element, started))
+            self._open.append((tag, started, here, here | above))
             self._tags[tag] += 1
             self._capturing.extend(started)
 
@@ -144,7 +159,7 @@ class _FieldReader(HTMLParser):
 
     def _close(self, depth: int) -> None:
         """Close the element at ``depth`` and all inside it."""
-        closed = [number for entry in self._open[depth:] for number in entry[3]]
+        closed = [number for entry in self._open[depth:] for number in entry[1]]
         self._tags.subtract(entry[0] for entry in self._open[depth:])
         del self._open[depth:]
         if closed:
@@ -156,18 +171,14 @@ class _FieldReader(HTMLParser):
         if closed and self.done():
             raise _Complete
 
-    def _matches(self, element: tuple, steps: list) -> bool:
-        if not _fits(element, steps[-1]):
-            return False
-        rest = len(steps) - 2
-        for ancestor in reversed(self._open):
-            if rest < 0:
-                break
-            if _fits(ancestor, steps[rest]):
-                rest -= 1
-        return rest < 0
-
-
-def _fits(element: tuple, step: tuple) -> bool:
-    tag, ident, classes = step
-    return (not tag or tag == element[0]) and (not ident or ident == element[1]) and classes <= element[2]
+    def _reached(self, tag: str, values: dict) -> tuple[int, int]:
+        """Steps of all selectors that an element reaches itself, and those its ancestors did."""
+        parent, above = self._open[-1][2:] if self._open else (0, 0)
+        ident, classes = values.get("id") or "", frozenset((values.get("class") or "").split())
+        here = 0
+        for key in (tag, ""):
+            for bit, wanted, needed, child, first in self._by_tag.get(key, ()):
+                before = first or (bit >> 1) & (parent if child else above)
+                if before and (not wanted or wanted == ident) and needed <= classes:
+                    here |= bit
+        return here, above

@@ -1,4 +1,5 @@
 import json
+import random
 import time
 from datetime import date, datetime
 
@@ -78,7 +79,7 @@ PAGE = """<html><head><title> A &amp;
         ("div.temp.card", "first bold line"),
         ("#sky .kind", "snow"),
         ("div p.kind", "snow"),
-        ("body > p", ValueError),
+        ("body + p", ValueError),
         ("span", "none"),
         ("div.absent", "none"),
         ("div.empty", ""),
@@ -251,3 +252,59 @@ def test_a_batch_is_evaluated_once(spark, tmp_path):
     fresh = dedup.first_sightings(spark.read.parquet(path), history, ["id"], ["n"])
     assert [r["id"] for r in fresh.collect()] == ["z"]
     assert "FileScan" not in fresh._jdf.queryExecution().executedPlan().toString()
+
+
+_NESTED = (
+    "<div><span class=o><em><span><b>in</b></span></em></span><b>last</b>"
+    "<u id=x><i>no</i><i class='j k'>named</i></u></div>"
+)
+
+
+@pytest.mark.parametrize(
+    "selector, expected",
+    [
+        ("div > span b", "in"),  # the outer span is the child, not the nearest one
+        ("div > span > b", "none"),
+        ("em>span>b", "in"),
+        ("div > b", "last"),
+        ("div b", "in"),
+        ("#x > i.k", "named"),
+        ("span > #x", "none"),
+    ],
+)
+def test_child_steps(selector, expected):
+    assert pages._read_fields(_NESTED, {"f": (pages._steps(selector), "none")}) == [expected]
+
+
+@pytest.mark.parametrize("selector", ["> b", "a >", "a > > b", ""])
+def test_selectors_with_a_step_missing_are_refused(selector):
+    with pytest.raises(ValueError):
+        pages._steps(selector)
+
+
+def test_selectors_against_a_search_over_all_ancestors():
+    rng = random.Random(5)
+
+    def matches(path, steps):
+        """``path``: tags from the root to the element; ``steps``: (tag, is child) pairs."""
+        if path[-1] != steps[-1][0]:
+            return False
+        if len(steps) == 1:
+            return True
+        if steps[-1][1]:
+            return len(path) > 1 and matches(path[:-1], steps[:-1])
+        return any(matches(path[:k], steps[:-1]) for k in range(1, len(path)))
+
+    for _ in range(300):
+        html, path, seen = "", [], []
+        for number in range(rng.randrange(1, 25)):
+            while path and rng.random() < 0.3:
+                html += f"</{path.pop()}>"
+            path.append(rng.choice(["b", "i", "u"]))
+            html += f"<{path[-1]}><s>{number}.</s>"
+            seen.append((number, list(path)))
+        steps = [(rng.choice("biu"), k > 0 and rng.random() < 0.5) for k in range(rng.randrange(1, 5))]
+        selector = " ".join(("> " if child else "") + tag for tag, child in steps)
+        first = next((str(number) for number, at in seen if matches(at, steps)), "none")
+        found = pages._read_fields(html, {"f": (pages._steps(selector), "none")})[0]
+        assert found.split(".")[0] == first, (html, selector)
