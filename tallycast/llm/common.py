@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import builtins
+import itertools
 from collections.abc import Callable, Iterator
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallycast.session import cut_lineage
+from tallycast.session import remove, stored, work_path
 
 #: A word is a run of anything but these (fixed by the contract).
 SPACES = " \t\n\x0b\x0c\r"
@@ -62,41 +63,47 @@ def components(links: DataFrame) -> DataFrame:
     Each round hooks every vertex to its smallest neighbour, follows those pointers
     to their ends and contracts the links; paths shorten at least by half, so the
     rounds grow with the logarithm of the longest path. Minimums combine ahead of
-    the shuffle, joins are on single keys that AQE can split, and lineage is cut by
-    reliable checkpoints.
+    the shuffle, joins are on single keys that AQE can split, and each step is written
+    to the shared folder, where only the last one stays.
     """
+    spark, place = links.sparkSession, work_path(links.sparkSession, "components")
     low, high = F.least("a", "b"), F.greatest("a", "b")
     edges = links.select(low.alias("a"), high.alias("b")).filter("a < b").distinct()
-    edges = cut_lineage(edges)
-    found = None
+    edges = stored(edges, f"{place}/edges-0")
+    found, step = None, 0
     while not edges.isEmpty():
+        step += 1
         ends = edges.select(F.col("a").alias("v"), F.col("b").alias("n")).unionAll(
             edges.select(F.col("b").alias("v"), F.col("a").alias("n"))
         )
         hooked = ends.groupBy("v").agg(F.min("n").alias("n")).select("v", F.least("v", "n").alias("root"))
-        hooked = _follow(hooked)
+        hooked, followed = _follow(hooked, f"{place}/hooked-{step}")
         if found is None:
-            found = hooked
+            found, kept = hooked, followed
         else:
             up = hooked.select(F.col("v").alias("root"), F.col("root").alias("__up"))
-            found = cut_lineage(
-                found.join(up, "root", "left").select("v", F.coalesce("__up", "root").alias("root"))
-            )
+            joined = found.join(up, "root", "left").select("v", F.coalesce("__up", "root").alias("root"))
+            last, kept = kept, f"{place}/found-{step}"
+            found = stored(joined, kept)
+            remove(spark, last)
         left = hooked.select(F.col("v").alias("a"), F.col("root").alias("__ra"))
         right = hooked.select(F.col("v").alias("b"), F.col("root").alias("__rb"))
         moved = edges.join(left, "a").join(right, "b").filter("__ra <> __rb")
-        edges = cut_lineage(
-            moved.select(F.least("__ra", "__rb").alias("a"), F.greatest("__ra", "__rb").alias("b")).distinct()
-        )
+        moved = moved.select(F.least("__ra", "__rb").alias("a"), F.greatest("__ra", "__rb").alias("b")).distinct()
+        edges = stored(moved, f"{place}/edges-{step}")
+        remove(spark, f"{place}/edges-{step - 1}")
+        if followed != kept:
+            remove(spark, followed)
+    remove(spark, f"{place}/edges-{step}")
     if found is None:
         return links.select(F.col("a").alias("v"), F.col("a").alias("root")).limit(0)
     return found
 
 
-def _follow(pointers: DataFrame) -> DataFrame:
-    """Replace each root by the root's own root until nothing changes.
+def _follow(pointers: DataFrame, place: str) -> tuple[DataFrame, str]:
+    """Replace each root by the root's own root until nothing changes; also where the outcome is.
 
-    Paths are cut to a quarter by two hops before each checkpoint.
+    Paths are cut to a quarter by two hops before each writing.
     """
 
     def hop(at: DataFrame) -> DataFrame:
@@ -104,10 +111,12 @@ def _follow(pointers: DataFrame) -> DataFrame:
         moved = F.col("__up").isNotNull().alias("__moved")
         return at.select("v", "root").join(up, "root", "left").select("v", F.coalesce("__up", "root").alias("root"), moved)
 
-    while True:
-        pointers = cut_lineage(hop(hop(pointers)))
+    for turn in itertools.count():
+        pointers = stored(hop(hop(pointers)), f"{place}-{turn}")
+        if turn:
+            remove(pointers.sparkSession, f"{place}-{turn - 1}")
         if pointers.filter("__moved").isEmpty():
-            return pointers.drop("__moved")
+            return pointers.drop("__moved"), f"{place}-{turn}"
 
 
 def filter_late(df: DataFrame, condition: str) -> DataFrame:

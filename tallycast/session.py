@@ -96,6 +96,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def stored(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written to ``path`` and read from there.
+
+    A checkpoint keeps the size Spark estimated for its plan, and a join's estimate is the
+    product of both sides'. Where each round joins the outcome of the last with itself, the
+    estimates get millions of digits, which fill the driver. The size of files is known.
+    """
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def read_json_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame | None:
     """JSON table at ``path``, None when nothing was written there yet.
 

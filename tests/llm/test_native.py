@@ -40,6 +40,16 @@ def test_components_of_paths_stars_and_repeats(spark):
     assert components(links.limit(0)).count() == 0
 
 
+def test_components_leave_no_growing_estimates(spark, capsys):
+    """A join's estimated size is a product; over the rounds it must not fill the driver with digits."""
+    path = spark.createDataFrame([((i * 7919) % 3001, ((i + 1) * 7919) % 3001) for i in range(3000)], "a long, b long")
+    found = components(path)
+    found.explain("cost")
+    sizes = re.findall(r"sizeInBytes=([^,)]+)", capsys.readouterr().out)
+    assert sizes and all(s.endswith(("B", "KiB", "MiB")) and "E+" not in s for s in sizes)
+    assert found.filter("root <> 0").count() == 0 and found.count() == 3001
+
+
 # ---------------------------------------------------------------- secrets
 
 
