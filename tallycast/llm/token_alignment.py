@@ -20,9 +20,8 @@ import pickle
 import re
 import uuid
 from array import array
-from collections import Counter
 from collections.abc import Callable, Iterator
-from operator import mul
+from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
@@ -45,8 +44,10 @@ _TEXT_BYTES = 1_000_000
 _QUICK = 200_000
 #: Units kept encoded by the second tokenizer, and where one begins: at a single blank before
 #: something that is no white space.
-_CACHED_UNITS = 150_000
+_CACHED_UNITS = 300_000
 _UNIT = re.compile(r"(?<! )(?= \S)")
+#: A blank that begins no unit.
+_NO_UNIT = re.compile(r" (?:\s|\Z)")
 #: Links of a group that are counted one by one.
 _SMALL_GROUP = 256
 #: Numbers from which on ids have one more digit.
@@ -119,13 +120,13 @@ class PieceTokenizer:
             self._units = {}
         look, new, split = self._units.get, set(), []
         for text in texts:
-            units = _UNIT.split(" " + text) if BLANK not in text else []
+            units = _units(text) if BLANK not in text else []
             found = list(map(look, units))
             open_ = [n for n, ids in enumerate(found) if ids is None] if None in found else []
             new.update([units[n] for n in open_])
             split.append((units, found, open_))
         learned = list(new)
-        for unit, ids in zip(learned, self._model.encode([unit[1:] for unit in learned], num_threads=1)):
+        for unit, ids in zip(learned, self._model.encode(learned, num_threads=1)):
             self._units[unit] = array("I", ids).tobytes()
         out = []
         for text, (units, found, open_) in zip(texts, split):
@@ -135,12 +136,18 @@ class PieceTokenizer:
         return out
 
 
+def _units(text: str) -> list[str]:
+    """The units of a text, without the blanks they begin with."""
+    if text[:1].isspace() or _NO_UNIT.search(text):
+        return [unit[1:] for unit in _UNIT.split(" " + text)]
+    return text.split(" ")
+
+
 #: The alignment of one window: text form, groups, links, pairs and how often each is linked,
 #: the last two as packed numbers of 64 bits. A form of None: the sides spell different bytes.
 Window = tuple[str | None, int, int, bytes, bytes]
 #: Stands between the ids of the two sides in a window's key; no id.
 _NO_ID = 0xFFFFFFFF
-_MARK = b"\xff" * 4
 
 
 def align(windows: list[bytes], spelt: tuple[list[bytes], list[bytes]], sizes: tuple[np.ndarray, np.ndarray]) -> list[Window]:
@@ -256,7 +263,7 @@ class Aligner:
         self._sizes = tuple(np.array([len(x) for x in side.bytes], np.int64) for side in (first, second))
         self._marked = [np.array([x.startswith(b" ") for x in side.bytes], bool) for side in (first, second)]
         self._spelt = (first.bytes, second.bytes)
-        self._windows: dict[bytes, Window] = {}
+        self._forget()
 
     def keys(self, text: str, a: np.ndarray, b: np.ndarray) -> list[bytes]:
         """The ids of each window of a text; none if those of the second side do not spell it.
@@ -267,47 +274,77 @@ class Aligner:
         spelt = self._spelt[1]
         if not text or b"".join([spelt[i] for i in b.tolist()]) != raw:
             return []
-        ends = [np.cumsum(size[ids]) for size, ids in zip(self._sizes, (a, b))]
+        sizes = [size[ids] for size, ids in zip(self._sizes, (a, b))]
+        ends = [np.cumsum(size) for size in sizes]
         if ends[0][-1] != len(raw):
             return []
-        begins = [end - size[ids] for end, size, ids in zip(ends, self._sizes, (a, b))]
-        places = [begin[marked[ids]] for begin, marked, ids in zip(begins, self._marked, (a, b))]
+        places = [(end - size)[marked[ids]] for end, size, marked, ids in zip(ends, sizes, self._marked, (a, b))]
         cuts = _common(*places, len(raw))
         cuts = cuts[cuts > 0]
-        at_a, at_b = ((np.searchsorted(begin, cuts) * 4).tolist() for begin in begins)
-        packed_a, packed_b = a.tobytes(), b.tobytes()
-        at_a, at_b = [0, *at_a, len(packed_a)], [0, *at_b, len(packed_b)]
-        return [packed_a[i:k] + _MARK + packed_b[j:n] for i, k, j, n in zip(at_a, at_a[1:], at_b, at_b[1:])]
+        # where each window begins, in tokens of either side; all are laid out in one array
+        at_a, at_b = (np.concatenate([[0], np.searchsorted(end, cuts, side="right"), [len(end)]]) for end in ends)
+        number = np.arange(len(cuts) + 1)
+        laid = np.full(len(a) + len(b) + len(number), _NO_ID, "<u4")
+        laid[np.arange(len(a)) + np.repeat(at_b[:-1] + number, np.diff(at_a))] = a
+        laid[np.arange(len(b)) + np.repeat(at_a[1:] + number + 1, np.diff(at_b))] = b
+        packed = laid.tobytes()
+        edges = [*((at_a[:-1] + at_b[:-1] + number) * 4).tolist(), len(packed)]
+        return [packed[i:k] for i, k in zip(edges, edges[1:])]
 
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """``(n_a, n_b, n_groups, n_links, digest, pairs, times)`` of each text."""
         if len(self._windows) > _CACHED_WINDOWS:
-            self._windows = {}
-        known = self._windows
+            self._forget()
         coded = list(zip(self._first.encode(texts), self._second.encode(texts)))
         keys = [self.keys(text, a, b) for text, (a, b) in zip(texts, coded)]
-        new = list(set().union(*keys).difference(known))
-        known.update(zip(new, align(new, self._spelt, self._sizes)))
-        for (a, b), own in zip(coded, keys):
-            yield self._summary(len(a), len(b), own)
+        places = [np.fromiter(map(self._windows.get, own, repeat(-1)), np.int64, len(own)) for own in keys]
+        unknown = [np.flatnonzero(at < 0).tolist() for at in places]
+        new = list({own[n] for own, open_ in zip(keys, unknown) for n in open_})
+        self._learn(new)
+        for own, at, open_ in zip(keys, places, unknown):
+            at[open_] = [self._windows[own[n]] for n in open_]
+        for (a, b), at in zip(coded, places):
+            yield self._summary(len(a), len(b), at)
         for key in new:
             if len(key) > _LONG_WINDOW * 4:
-                del known[key]
-
-    def _summary(self, n_a: int, n_b: int, keys: list[bytes]) -> tuple:
-        known = self._windows
-        windows = [known[key] for key in keys]
-        forms = [window[0] for window in windows]
-        if not keys or None in forms:
+                n = self._windows.pop(key)
+                self._forms[n] = None
+                self._packed[n] = self._often[n] = b""
+
+    def _forget(self) -> None:
+        """No windows are known; each gets a number, under which its alignment is kept."""
+        self._windows: dict[bytes, int] = {}
+        self._forms: list[str | None] = []
+        self._packed: list[bytes] = []
+        self._often: list[bytes] = []
+        self._counts = np.zeros((3, 1024), np.int64)  # groups, links and pairs
+
+    def _learn(self, new: list[bytes]) -> None:
+        if not new:
+            return
+        begin = len(self._forms)
+        forms, groups, links, packed, often = zip(*align(new, self._spelt, self._sizes))
+        self._windows.update(zip(new, range(begin, begin + len(new))))
+        self._forms += forms
+        self._packed += packed
+        self._often += often
+        end = len(self._forms)
+        if end > self._counts.shape[1]:
+            self._counts = np.pad(self._counts, ((0, 0), (0, 2 * end - self._counts.shape[1])))
+        self._counts[:, begin:end] = groups, links, [len(x) // 8 for x in packed]
+
+    def _summary(self, n_a: int, n_b: int, windows: np.ndarray) -> tuple:
+        forms = [self._forms[n] for n in windows.tolist()]
+        if not forms or None in forms:
             none = np.zeros(0, np.int64)
             return 0, 0, 0, 0, "", none, none
-        repeats = list(Counter(keys).values())  # in the order of the first of each, as below
-        _, groups, links, packed, often = zip(*dict(zip(keys, windows)).values())
-        pairs, times = (np.frombuffer(b"".join(x), np.int64) for x in (packed, often))
-        times = times * np.repeat(repeats, np.fromiter(map(len, packed), np.int64, len(packed)) // 8)
+        different, repeats = np.unique(windows, return_counts=True)
+        groups, links, sizes = self._counts[:, different]
+        named = different.tolist()
+        pairs, times = (np.frombuffer(b"".join([side[n] for n in named]), np.int64) for side in (self._packed, self._often))
+        times = times * np.repeat(repeats, sizes)
         digest = hashlib.sha256(";".join(forms).encode()).hexdigest()
-        both = (sum(map(mul, x, repeats)) for x in (groups, links))
-        return n_a, n_b, *both, digest, *summed(pairs, times)
+        return n_a, n_b, int(groups @ repeats), int(links @ repeats), digest, *summed(pairs, times)
 
 
 def aligned(docs: DataFrame, make: Callable[[], Aligner], name: str) -> DataFrame:
@@ -320,18 +357,21 @@ def aligned(docs: DataFrame, make: Callable[[], Aligner], name: str) -> DataFram
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         aligner = per_worker(f"aligner:{name}", make)
-        gc.freeze()  # what is kept has no cycles
-        for batch in batches:
-            names, texts = batch.column(0), batch.column(1)
-            for part in slices_of(range(len(texts)), pc.binary_length(texts).to_pylist(), _TEXT_BYTES):
-                plain = texts[part.start : part.stop].to_pylist()
-                columns = list(zip(*aligner.documents(plain)))
-                numbers = [pa.array(c, pa.int64()) for c in columns[:4]]
-                ends = pa.array(np.cumsum([0, *map(len, columns[5])]).astype(np.int32))
-                lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(c))) for c in columns[5:]]
-                yield pa.RecordBatch.from_arrays(
-                    [names.slice(part.start, len(plain)), *numbers, pa.array(columns[4], pa.string()), *lists], names=_NAMES
-                )
+        gc.disable()  # neither what is kept nor what is made on the way has cycles
+        try:
+            for batch in batches:
+                names, texts = batch.column(0), batch.column(1)
+                for part in slices_of(range(len(texts)), pc.binary_length(texts).to_pylist(), _TEXT_BYTES):
+                    plain = texts[part.start : part.stop].to_pylist()
+                    columns = list(zip(*aligner.documents(plain)))
+                    numbers = [pa.array(c, pa.int64()) for c in columns[:4]]
+                    ends = pa.array(np.cumsum([0, *map(len, columns[5])]).astype(np.int32))
+                    lists = [pa.ListArray.from_arrays(ends, pa.array(np.concatenate(c))) for c in columns[5:]]
+                    yield pa.RecordBatch.from_arrays(
+                        [names.slice(part.start, len(plain)), *numbers, pa.array(columns[4], pa.string()), *lists], names=_NAMES
+                    )
+        finally:
+            gc.enable()
 
     return rows.mapInArrow(run, _ALIGNED)
 

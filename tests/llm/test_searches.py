@@ -315,3 +315,26 @@ def test_forgotten_windows_change_nothing(both, monkeypatch):
     monkeypatch.setattr(token_alignment, "_CACHED_WINDOWS", 2)
     small = token_alignment.Aligner(*both)
     assert [f[:5] for text in texts for f in small.documents([text])] == kept
+
+
+def test_units_are_those_of_the_pattern():
+    """Texts without odd white space are split the plain way, with the same units."""
+    rng = random.Random(5)
+    parts = ["a", "bc", "é", " ", "  ", "\n", "\t", "\x1c", "\x85", "\xa0", "\u2003", "\u3000", "\u200b", "."]
+    texts = ["".join(rng.choices(parts, weights=[9, 9, 9, 12, *[1] * 10], k=rng.randint(0, 14))) for _ in range(5000)]
+    plain = 0
+    for text in ["", " ", " a", "a ", "a \xa0b", "\u3000 a", *texts]:
+        units = token_alignment._units(text)
+        assert [u for u in units if u] == [u[1:] for u in token_alignment._UNIT.split(" " + text) if u[1:]]
+        plain += units == text.split(" ")
+    assert plain > 500
+
+
+def test_a_text_is_aligned_once_for_each_new_window(both):
+    """A window met before is looked up by its number, not aligned again, and its counts add up."""
+    aligner = token_alignment.Aligner(*both)
+    once, *_ = aligner.documents(["one two three four"])
+    known = len(aligner._forms)
+    again, twice = aligner.documents(["one two three four", "one two three four one two three four"])
+    assert again[:5] == once[:5] and len(aligner._forms) - known <= 1
+    assert twice[0] == 2 * once[0] and twice[6].sum() == twice[3]
