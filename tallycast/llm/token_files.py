@@ -16,8 +16,8 @@ import re
 import struct
 import uuid
 import zlib
-from array import array
 from collections.abc import Callable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,8 +41,8 @@ _TEXT_BYTES, _CACHED_WORDS = 4_000_000, 900_000
 _LETTERS = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u012f\u0131-\u02af"
 _FIRST_MARK = "\u0300"
 #: Full stops and commas that end a word after a letter.
-_STOPS = re.compile(f"(?<=[{_LETTERS}])([.,]+)(?=[ \\n]|$)")
-_ASCII_STOPS = re.compile(rb"(?<=[A-Za-z])([.,]+)(?=[ \n]|$)")
+_STOPS = re.compile(f"[.,](?<=[{_LETTERS}][.,])[.,]*(?=[ \\n]|$)")
+_ASCII_STOPS = re.compile(rb"[.,](?<=[A-Za-z][.,])[.,]*(?=[ \n]|$)")
 #: Holds the place of a word that is not ASCII; no word in UTF-8 is this byte.
 _APART = b"\x80"
 
@@ -79,12 +79,11 @@ def planes(ids: np.ndarray) -> list[tuple[int, bytes]]:
 
 
 def from_planes(count: int, parts: list[tuple[int, bytes]]) -> np.ndarray:
-    width = _bytes_of(max([k for k, _ in parts], default=0) + 1)
-    bits = np.zeros((width * 8, count), dtype=np.uint8)
+    kind = np.dtype(f"<u{_bytes_of(max([k for k, _ in parts], default=0) + 1)}").type
+    ids = np.zeros(count, kind)
     for k, raw in parts:
-        bits[k] = np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=count)
-    joined = np.packbits(np.ascontiguousarray(bits.T), axis=1, bitorder="little")
-    return np.ascontiguousarray(joined).view(f"<u{width}").reshape(-1).astype("<u4")
+        ids |= np.unpackbits(np.frombuffer(raw, np.uint8), bitorder="little", count=count).astype(kind) << kind(k)
+    return ids.astype("<u4")
 
 
 class BitPlaneWriter:
@@ -194,41 +193,49 @@ class WordEncoder:
     """Ids of texts from a tokenizer that drops white space, word by word.
 
     Splitting at ASCII white space changes nothing for such a tokenizer: no token holds
-    white space, and its rules look at nothing beyond it. Each different word is encoded
-    once and kept; a run of full stops and commas after a letter is a token run of its own,
-    so it is set apart, which makes words repeat more often.
+    white space, and its rules look at nothing beyond it. Arrow splits many texts and finds
+    their different words; each is encoded once and kept under a number, by which the ids of
+    all words are put together. A run of full stops and commas after a letter is a token run
+    of its own, so it is set apart, which makes words repeat more often.
     """
 
     def __init__(self, path: str, cached_words: int = _CACHED_WORDS):
         from tokenizers import Tokenizer
 
         self._tokenizer = Tokenizer.from_file(path)
-        self._cached, self._most = {}, cached_words
+        self._most = cached_words
         self._last = np.zeros(self._tokenizer.get_vocab_size(), bool)
         self._last[[i for entry, i in self._tokenizer.get_vocab().items() if entry.endswith(_WORD_END)]] = True
+        self._forget()
+
+    def _forget(self) -> None:
+        """No words are known."""
+        self._cached: dict[bytes, int] = {}
+        self._ids = np.zeros(1024, "<u4")  # of all words, one after the other
+        self._ends = np.zeros(1025, np.int64)  # where those of each word end, after a zero
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
         if len(self._cached) > self._most:
-            self._cached = {}
-        split = [self._words(text) for text in texts]
-        look, new = self._cached.get, set()
-        coded, missing = [], []
-        for words in split:
-            found = list(map(look, words))
-            open_ = [n for n, ids in enumerate(found) if ids is None] if None in found else []
-            new.update([words[n] for n in open_])
-            coded.append(found)
-            missing.append(open_)
-        if new:
-            self._learn(list(new))
-        for words, found, open_ in zip(split, coded, missing):
-            for n in open_:
-                found[n] = self._cached[words[n]]
-        return [np.frombuffer(b"".join(found), dtype="<u4") for found in coded]
+            self._forget()
+        spaced = pa.array([self._spaced(text) for text in texts], pa.large_binary()).view(pa.large_string())
+        split = pc.ascii_split_whitespace(spaced)
+        held = split.flatten().dictionary_encode()
+        words = held.dictionary.view(pa.large_binary()).to_numpy(zero_copy_only=False).tolist()
+        found = list(map(self._cached.get, words))
+        if None in found:
+            self._learn([word for word, number in zip(words, found) if number is None])
+            found = list(map(self._cached.get, words))
+        numbers = np.array(found, np.int64)[held.indices.to_numpy()]
+        begins = self._ends[numbers]
+        sizes = self._ends[numbers + 1] - begins
+        upto = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self._ids[np.repeat(begins - upto[:-1], sizes) + np.arange(upto[-1])]
+        edges = upto[np.cumsum([0, *split.value_lengths().to_pylist()])].tolist()
+        return [ids[b:e] for b, e in zip(edges, edges[1:])]
 
     @staticmethod
-    def _words(text: str) -> list[bytes]:
-        """Words; in lower case, as the tokenizer has them, without stops, where that is safe.
+    def _spaced(text: str) -> bytes:
+        """Words in lower case, as the tokenizer has them, without stops, where that is safe.
 
         It is where no mark can be composed with a letter: the tokenizer composes letters
         before it lowers them, and some marks compose with a small letter only. In other
@@ -237,12 +244,12 @@ class WordEncoder:
         special = "<|" in text  # special tokens keep their case
         if text.isascii() or _is_latin(text) or max(text) < _FIRST_MARK:
             lowered = text if special else text.lower()
-            return _STOPS.sub(r" \1", lowered).encode().split()
+            return _STOPS.sub(r" \g<0>", lowered).encode()
         words = text.encode("utf-8", "surrogatepass").split()
         others = iter([word for word in words if not word.isascii()])
         raw = b" ".join([word if word.isascii() else _APART for word in words])
-        words = _ASCII_STOPS.sub(rb" \1", raw if special else raw.lower()).split()
-        return [next(others) if word == _APART else word for word in words]
+        words = _ASCII_STOPS.sub(rb" \g<0>", raw if special else raw.lower()).split()
+        return b" ".join([next(others) if word == _APART else word for word in words])
 
     def _learn(self, words: list[bytes]) -> None:
         """Encode words and keep them; those of letters alone many at a time.
@@ -250,21 +257,37 @@ class WordEncoder:
         Such a word is one piece to the tokenizer and its last token alone ends a word, so
         the ids of a line of them can be cut again.
         """
-        texts = [word.decode("utf-8", "replace") for word in words]
-        plain = [n for n, text in enumerate(texts) if _WORD.fullmatch(text)]
-        others = sorted(set(range(len(words))).difference(plain))
+        texts = b"\n".join(words).decode("utf-8", "replace").split("\n")
+        plain, others = [], []
+        for n, text in enumerate(texts):
+            (plain if _WORD.fullmatch(text) else others).append(n)
+        order, ids, sizes = [], [], []
         for at in range(0, len(plain), _LINE_WORDS):
             line = plain[at : at + _LINE_WORDS]
-            ids = np.array(self._tokenizer.encode(" ".join([texts[n] for n in line]), add_special_tokens=False).ids, "<u4")
-            cuts = ((np.flatnonzero(self._last[ids]) + 1) * 4).tolist()
+            coded = np.array(self._tokenizer.encode(" ".join([texts[n] for n in line]), add_special_tokens=False).ids, "<u4")
+            cuts = np.flatnonzero(self._last[coded]) + 1
             if len(cuts) != len(line):
                 others += line
                 continue
-            packed = ids.tobytes()
-            self._cached.update(zip([words[n] for n in line], [packed[b:e] for b, e in zip([0, *cuts], cuts)]))
-        coded = self._tokenizer.encode_batch([texts[n] for n in others], add_special_tokens=False)
-        for n, one in zip(others, coded):
-            self._cached[words[n]] = array("I", one.ids).tobytes()
+            order += line
+            ids.append(coded)
+            sizes.append(np.diff(cuts, prepend=0))
+        coded = [one.ids for one in self._tokenizer.encode_batch([texts[n] for n in others], add_special_tokens=False)]
+        order += others
+        ids.append(np.fromiter(chain.from_iterable(coded), "<u4"))
+        sizes.append(np.array(list(map(len, coded)), np.int64))
+        self._keep([words[n] for n in order], np.concatenate(ids), np.concatenate(sizes))
+
+    def _keep(self, words: list[bytes], ids: np.ndarray, sizes: np.ndarray) -> None:
+        begin, end = len(self._cached), len(self._cached) + len(words)
+        at = int(self._ends[begin])
+        if end >= len(self._ends):
+            self._ends = np.pad(self._ends, (0, 2 * end - len(self._ends)))
+        if at + len(ids) > len(self._ids):
+            self._ids = np.pad(self._ids, (0, 2 * (at + len(ids)) - len(self._ids)))
+        self._ids[at : at + len(ids)] = ids
+        self._ends[begin + 1 : end + 1] = at + np.cumsum(sizes)
+        self._cached.update(zip(words, range(begin, end)))
 
 
 def _open(folder: str):

@@ -492,6 +492,35 @@ def test_word_encoder_equals_the_library_on_random_texts():
     assert [t for t, a, b in zip(below, encoder.encode(below), expected) if a.tolist() != b] == []
 
 
+def test_word_encoder_looks_each_different_word_up_once():
+    """However often the words of the texts given at once come again, and whatever stands between them."""
+
+    class Counting(dict):
+        asked = 0
+
+        def get(self, *key):
+            Counting.asked += 1
+            return super().get(*key)
+
+    encoder = token_files.WordEncoder(public_tokenizers.path("word_bpe_49k.json"))
+    texts = ["the cat,, sat.\n", "", " \t", "\x0bcat\x0cthe. ", "na\u00efve cat"] * 200
+    encoder.encode(["one word"])
+    encoder._cached = Counting(encoder._cached)
+    found = encoder.encode(texts)
+    assert Counting.asked <= 20
+    assert [ids.tolist() for ids in found[:5]] == [reference_ids(text) for text in texts[:5]]
+    assert all((ids == found[n % 5]).all() for n, ids in enumerate(found))
+
+
+def test_stops_are_set_apart_after_letters_alone():
+    rng = random.Random(4)
+    for _ in range(3000):
+        text = "".join(rng.choices(["a", "\u00e9", "1", "!", ".", ",", " ", "\n", "\t"], k=rng.randint(0, 9)))
+        # stops after a letter, to the end of the text or up to a blank or a new line
+        apart = re.sub(r"(?<=[a\u00e9])[.,]+(?=[ \n]|$)", lambda found: " " + found[0], text)
+        assert token_files.WordEncoder._spaced(text).decode() == apart
+
+
 @pytest.mark.parametrize("ids", [[], [0] * 9, [2**32 - 1], [255, 1], [256], list(range(0, 70_000 * 61_000, 61_000))])
 def test_bit_planes_round_trip(ids):
     block = np.array(ids, "<u4")
