@@ -1,10 +1,12 @@
 """Alignment of the tokens of two tokenizers, by anchors at white space.
 
-Both tokenizers split a text whole. A place where a token of each begins with a blank is an
-anchor if both sequences have spelt the same bytes up to there, and the anchors cut the
-document into windows of token ids. Words come again and again, so the alignment of a window
-is kept under its ids: its groups (bytes between two ends that both sides share), its text
-form, and how often each pair of ids is linked.
+A single blank ahead of something that is no white space is an anchor: a token of each
+tokenizer begins there, whatever stands around it, so the anchors cut a text into units that
+are encoded apart. Units come again and again, so each different one is encoded and aligned
+once and kept: its groups (bytes between two ends that both sides share), its text form, and
+the pairs of ids that it links. That both sides spell a unit, and that a token of each ends
+where it ends, is looked at when it is learned; a text for which this does not hold is
+encoded whole.
 
 How many documents hold a pair is counted over the corpus. Documents keep their pairs in
 compact lists, which meet the counts in the tasks that read them while the table of pairs is
@@ -21,7 +23,7 @@ import re
 import uuid
 from array import array
 from collections.abc import Callable, Iterator
-from itertools import repeat
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,10 +37,12 @@ from tallycast.session import work_path
 BLANK = "▁"
 #: Pairs of ids whose counts are broadcast: 16 bytes each. More are joined.
 BROADCAST_PAIRS = 2_000_000
-#: Windows kept aligned per Python worker.
+#: Units kept aligned per Python worker.
 _CACHED_WINDOWS = 300_000
-#: Windows of more tokens do not come again.
-_LONG_WINDOW = 64
+#: Units of more characters do not come again.
+_LONG_UNIT = 128
+#: New units that are encoded as one line.
+_LINE_UNITS = 20
 _TEXT_BYTES = 1_000_000
 #: Characters of a text that the quicker library is given.
 _QUICK = 200_000
@@ -48,10 +52,10 @@ _CACHED_UNITS = 300_000
 _UNIT = re.compile(r"(?<! )(?= \S)")
 #: A blank that begins no unit.
 _NO_UNIT = re.compile(r" (?:\s|\Z)")
+#: Entries of pairs that may lie free beside those kept.
+_SPARE_PAIRS = 4_000_000
 #: Links of a group that are counted one by one.
 _SMALL_GROUP = 256
-#: Numbers from which on ids have one more digit.
-_TENS = 10 ** np.arange(1, 10)
 #: Pairs are coded as one number, the id of the first side times this and that of the second.
 SIDE = 1 << 32
 
@@ -136,6 +140,11 @@ class PieceTokenizer:
         return out
 
 
+    def lines(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts that do not come again."""
+        return [np.array(ids, "<u4") for ids in self._model.encode(texts, num_threads=1)]
+
+
 def _units(text: str) -> list[str]:
     """The units of a text, without the blanks they begin with."""
     if text[:1].isspace() or _NO_UNIT.search(text):
@@ -143,208 +152,266 @@ def _units(text: str) -> list[str]:
     return text.split(" ")
 
 
-#: The alignment of one window: text form, groups, links, pairs and how often each is linked,
-#: the last two as packed numbers of 64 bits. A form of None: the sides spell different bytes.
-Window = tuple[str | None, int, int, bytes, bytes]
-#: Stands between the ids of the two sides in a window's key; no id.
-_NO_ID = 0xFFFFFFFF
-
+def align(
+    ids: list[np.ndarray], upto: list[np.ndarray], sizes: list[np.ndarray], shown: list[np.ndarray]
+) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Group the ids of many units by shared ends: ``(forms, groups, links, pairs, times)``.
 
-def align(windows: list[bytes], spelt: tuple[list[bytes], list[bytes]], sizes: tuple[np.ndarray, np.ndarray]) -> list[Window]:
-    """Group the ids of many windows, each two sequences of as many bytes, by shared ends.
-
-    A window is its ids, those of the first side ahead of the mark. ``spelt`` and ``sizes``
-    are the bytes of each id of either side and their number. The windows are laid end to end.
+    The units are laid end to end: ``ids`` are those of either side, ``upto`` the number of
+    them up to the end of each unit, ``sizes`` the bytes of each id, ``shown`` its digits. Both sides spell
+    the same bytes in each unit. ``links`` and ``pairs`` are two numbers per unit: links, and
+    entries of the two last arrays, which hold the linked pairs in the order of the units and
+    how often each entry stands for a link.
     """
-    if not windows:
-        return []
-    both = np.frombuffer(b"".join(windows), "<u4").astype(np.int64)
-    window = np.repeat(np.arange(len(windows)), [len(w) // 4 for w in windows])
-    marks = np.flatnonzero(both == _NO_ID)
-    second = np.arange(len(both)) > marks[window]
-    first = ~second
-    first[marks] = False
-    ids = [both[first], both[second]]
-    last = np.cumsum(np.bincount(window[first], minlength=len(windows)))  # the first side's tokens up to each window's end
     ends = [np.cumsum(size[i]) for size, i in zip(sizes, ids)]
-    shared = _common(*ends, int(ends[0][-1]))
-    to = [np.searchsorted(end, shared) + 1 for end in ends]  # tokens up to each shared end
+    held = [np.zeros(int(ends[0][-1]) + 1, bool) for _ in ends]
+    for mark, end in zip(held, ends):
+        mark[end] = True
+    to = [np.flatnonzero(other[end]) + 1 for end, other in zip(ends, held[::-1])]  # ids up to each shared end
     begin = [np.concatenate([[0], t[:-1]]) for t in to]
     count = [t - b for t, b in zip(to, begin)]
-    group_ends = np.searchsorted(to[0], last) + 1
-    groups = np.diff(np.concatenate([[0], group_ends]))
-    owner = np.repeat(np.arange(len(windows)), groups)
+    group_ends = np.searchsorted(to[0], upto[0]) + 1
+    groups = np.diff(group_ends, prepend=0)
+    owner = np.repeat(np.arange(len(groups)), groups)
     here = count[0] * count[1]
-    links = np.bincount(owner, here, len(windows)).astype(np.int64).tolist()
-    pairs, times, cuts = _linked(ids, begin, count, here, owner, len(windows))
-    forms = _forms(ids, begin, count, group_ends)
-    edges = (cuts * 8).tolist()
-    packed, often = pairs.tobytes(), times.tobytes()
-    raw = [b"".join([side[i] for i in own.tolist()]) for side, own in zip(spelt, ids)]
-    if raw[0] != raw[1]:
-        places = [0, *ends[0][last - 1].tolist()]
-        for n, (b, e) in enumerate(zip(places, places[1:])):
-            if raw[0][b:e] != raw[1][b:e]:
-                forms[n] = None
-    return [
-        (form, n, m, packed[b:e], _shared(often[b:e])) for form, n, m, b, e in zip(forms, groups.tolist(), links, edges, edges[1:])
-    ]
-
-
-_ONCE = {(np.ones(n, np.int64)).tobytes(): (np.ones(n, np.int64)).tobytes() for n in range(1, 40)}
-
-
-def _shared(often: bytes) -> bytes:
-    """The same object for most windows, whose pairs are linked once each."""
-    return _ONCE.get(often, often)
-
-
-def _common(a: np.ndarray, b: np.ndarray, most: int) -> np.ndarray:
-    """Places up to ``most`` that are in both."""
-    mark = np.zeros(most + 1, bool)
-    mark[a] = True
-    return b[mark[b]]
-
-
-def _linked(ids, begin, count, here, owner, windows: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Different pairs of each window, how often each is linked, and where each window's begin."""
-    small = np.flatnonzero(here <= _SMALL_GROUP)
-    first = np.cumsum(here[small]) - here[small]
-    group = np.repeat(small, here[small])
-    within = np.arange(len(group)) - np.repeat(first, here[small])
-    x = ids[0][begin[0][group] + within // count[1][group]]
-    y = ids[1][begin[1][group] + within % count[1][group]]
-    found = [(owner[group], x * SIDE + y, np.ones(len(group), np.int64))]
-    for g in np.flatnonzero(here > _SMALL_GROUP).tolist():  # repeated ids are counted, not paired one by one
-        (u, n), (v, m) = (
-            np.unique(i[b[g] : b[g] + c[g]], return_counts=True) for i, b, c in zip(ids, begin, count)
-        )
-        codes = (u[:, None] * SIDE + v[None, :]).reshape(-1)
-        found.append((np.full(len(codes), owner[g]), codes, (n[:, None] * m[None, :]).reshape(-1)))
-    of, pairs, times = (np.concatenate(c) for c in zip(*found))
-    order = np.lexsort((pairs, of))
-    of, pairs, times = of[order], pairs[order], times[order]
-    starts = np.flatnonzero(np.concatenate([[True], (of[1:] != of[:-1]) | (pairs[1:] != pairs[:-1])]))
-    cuts = np.searchsorted(of[starts], np.arange(windows + 1))
-    return pairs[starts], np.add.reduceat(times, starts), cuts
-
-
-def _forms(ids, begin, count, group_ends) -> list[str]:
-    """``a1,a2|b1;a3|b2`` of each window, cut from one text of all of them."""
-    at = np.arange(len(count[0])) * 2
-    place = np.concatenate([np.repeat(at, count[0]), np.repeat(at + 1, count[1])])
-    order = np.argsort(place, kind="stable")
-    shown = np.concatenate(ids)[order]
-    ends = np.cumsum(np.stack(count, axis=1).reshape(-1))
-    mark = np.full(len(shown), ",")
-    mark[ends[::2] - 1], mark[ends[1::2] - 1] = "|", ";"
-    text = "".join([f"{i}{m}" for i, m in zip(shown.tolist(), mark.tolist())])
-    digits = np.searchsorted(_TENS, shown, side="right") + 1
-    upto = np.concatenate([[0], np.cumsum(digits + 1)])
-    cuts = upto[np.concatenate([[0], ends[2 * group_ends - 1]])].tolist()
-    return [text[b : e - 1] for b, e in zip(cuts, cuts[1:])]
+    links = np.diff(np.concatenate([[0], np.cumsum(here)])[group_ends], prepend=0)
+    pairs, times, entries = _linked(ids, begin, count, here, owner, len(groups))
+    return _forms(ids, count, group_ends, shown), groups, links, entries, pairs, times
+
+
+def _linked(ids, begin, count, here, owner, units: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Linked pairs in the order of units, how often each entry counts, and each unit's entries."""
+    large = np.flatnonzero(here > _SMALL_GROUP)
+    few = np.where(here > _SMALL_GROUP, 0, here)
+    group = np.repeat(np.arange(len(few)), few)
+    within = np.arange(len(group)) - np.repeat(np.cumsum(few) - few, few)
+    left, right = np.divmod(within, count[1][group])
+    pairs = ids[0][begin[0][group] + left].astype(np.int64) * SIDE + ids[1][begin[1][group] + right]
+    of, times = owner[group], np.ones(len(group), np.int64)
+    if len(large):  # repeated ids are counted, not paired one by one
+        found = [(of, pairs, times)]
+        for g in large.tolist():
+            (u, n), (v, m) = (
+                np.unique(i[b[g] : b[g] + c[g]].astype(np.int64), return_counts=True) for i, b, c in zip(ids, begin, count)
+            )
+            codes = (u[:, None] * SIDE + v[None, :]).reshape(-1)
+            found.append((np.full(len(codes), owner[g]), codes, (n[:, None] * m[None, :]).reshape(-1)))
+        of, pairs, times = (np.concatenate(c) for c in zip(*found))
+        order = np.argsort(of, kind="stable")
+        of, pairs, times = of[order], pairs[order], times[order]
+    return pairs, times, np.bincount(of, minlength=units)
+
+
+def digits(ids: int) -> np.ndarray:
+    """The decimal digits of all ids below ``ids``, right-aligned after zero bytes, and a free last byte."""
+    width = len(str(ids))
+    rows = np.zeros((ids, width + 1), np.uint8)
+    left = np.arange(ids)
+    for place in range(width - 1, -1, -1):
+        rows[:, place] = np.where((left > 0) | (place == width - 1), 48 + left % 10, 0)
+        left = left // 10
+    return rows
+
+
+def _forms(ids, count, group_ends, shown) -> list[bytes]:
+    """``a1,a2|b1;a3|b2`` of each unit, cut from one text of all of them."""
+    width = max(rows.shape[1] for rows in shown)
+    ends = np.cumsum(np.stack(count, axis=1).reshape(-1))  # after each group's ids of either side
+    laid = np.zeros((len(ids[0]) + len(ids[1]), width), np.uint8)
+    second = np.repeat(np.arange(len(ends)) % 2 == 1, np.diff(ends, prepend=0))
+    for side, rows, own in zip((~second, second), shown, ids):
+        laid[side, width - rows.shape[1] :] = rows[own]
+    laid[:, -1] = 44
+    laid[ends[::2] - 1, -1] = 124
+    laid[ends[1::2] - 1, -1] = 59
+    used = laid != 0
+    text = laid[used].tobytes()
+    upto = np.cumsum(np.count_nonzero(used, axis=1))[ends[2 * group_ends - 1] - 1].tolist()
+    return [text[b : e - 1] for b, e in zip([0, *upto], upto)]
 
 
 def summed(pairs: np.ndarray, times: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Different pairs in order, with the sum of their times."""
     if not len(pairs):
         return pairs, times
-    order = np.argsort(pairs, kind="stable")
-    pairs, times = pairs[order], times[order]
+    once = int(times.max()) == 1
+    if once:
+        pairs = np.sort(pairs)
+    else:
+        order = np.argsort(pairs, kind="stable")
+        pairs, times = pairs[order], times[order]
     starts = np.flatnonzero(np.concatenate([[True], pairs[1:] != pairs[:-1]]))
-    return pairs[starts], np.add.reduceat(times, starts)
+    return pairs[starts], np.diff(starts, append=len(pairs)) if once else np.add.reduceat(times, starts)
+
+
+_NONE = np.zeros(0, np.int64)
+#: What a text without tokens has.
+_NO_TOKENS = (0, 0, 0, 0, "", _NONE, _NONE)
+#: The number of all units that are not well spelt; texts that hold one are encoded whole.
+_APART = 0
 
 
 class Aligner:
-    """Encodes texts with both tokenizers and aligns them window by window."""
+    """Encodes texts with both tokenizers and aligns them unit by unit.
+
+    Each unit has a number, under which its alignment is kept: its form in a list, numbers
+    in columns, pairs in one long array.
+    """
 
     def __init__(self, first, second):
         self._first, self._second = first, second
-        self._sizes = tuple(np.array([len(x) for x in side.bytes], np.int64) for side in (first, second))
-        self._marked = [np.array([x.startswith(b" ") for x in side.bytes], bool) for side in (first, second)]
+        self._sizes = [np.array([len(x) for x in side.bytes], np.int64) for side in (first, second)]
+        self._shown = [digits(len(side.bytes)) for side in (first, second)]
         self._spelt = (first.bytes, second.bytes)
         self._forget()
 
-    def keys(self, text: str, a: np.ndarray, b: np.ndarray) -> list[bytes]:
-        """The ids of each window of a text; none if those of the second side do not spell it.
-
-        Those of the first side are compared with the second window by window.
-        """
-        raw = b" " + text.encode("utf-8", "surrogatepass")
-        spelt = self._spelt[1]
-        if not text or b"".join([spelt[i] for i in b.tolist()]) != raw:
-            return []
-        sizes = [size[ids] for size, ids in zip(self._sizes, (a, b))]
-        ends = [np.cumsum(size) for size in sizes]
-        if ends[0][-1] != len(raw):
-            return []
-        places = [(end - size)[marked[ids]] for end, size, marked, ids in zip(ends, sizes, self._marked, (a, b))]
-        cuts = _common(*places, len(raw))
-        cuts = cuts[cuts > 0]
-        # where each window begins, in tokens of either side; all are laid out in one array
-        at_a, at_b = (np.concatenate([[0], np.searchsorted(end, cuts, side="right"), [len(end)]]) for end in ends)
-        number = np.arange(len(cuts) + 1)
-        laid = np.full(len(a) + len(b) + len(number), _NO_ID, "<u4")
-        laid[np.arange(len(a)) + np.repeat(at_b[:-1] + number, np.diff(at_a))] = a
-        laid[np.arange(len(b)) + np.repeat(at_a[1:] + number + 1, np.diff(at_b))] = b
-        packed = laid.tobytes()
-        edges = [*((at_a[:-1] + at_b[:-1] + number) * 4).tolist(), len(packed)]
-        return [packed[i:k] for i, k in zip(edges, edges[1:])]
-
     def documents(self, texts: list[str]) -> Iterator[tuple]:
         """``(n_a, n_b, n_groups, n_links, digest, pairs, times)`` of each text."""
         if len(self._windows) > _CACHED_WINDOWS:
             self._forget()
-        coded = list(zip(self._first.encode(texts), self._second.encode(texts)))
-        keys = [self.keys(text, a, b) for text, (a, b) in zip(texts, coded)]
-        places = [np.fromiter(map(self._windows.get, own, repeat(-1)), np.int64, len(own)) for own in keys]
-        unknown = [np.flatnonzero(at < 0).tolist() for at in places]
-        new = list({own[n] for own, open_ in zip(keys, unknown) for n in open_})
-        self._learn(new)
-        for own, at, open_ in zip(keys, places, unknown):
-            at[open_] = [self._windows[own[n]] for n in open_]
-        for (a, b), at in zip(coded, places):
-            yield self._summary(len(a), len(b), at)
-        for key in new:
-            if len(key) > _LONG_WINDOW * 4:
-                n = self._windows.pop(key)
-                self._forms[n] = None
-                self._packed[n] = self._often[n] = b""
+        split = [[unit for unit in _units(text) if unit] if BLANK not in text else [] for text in texts]
+        units = list(chain.from_iterable(split))
+        found = list(map(self._windows.get, units))
+        if None in found:
+            open_ = [n for n, number in enumerate(found) if number is None]
+            new = list(dict.fromkeys([units[n] for n in open_]))
+            self._learn(new)
+            for n in open_:
+                found[n] = self._windows[units[n]]
+        ends = np.cumsum(list(map(len, split)), dtype=np.int64)
+        out = self._summaries(np.array(found, np.int64), ends)
+        for n, (text, summary) in enumerate(zip(texts, out)):
+            if text and summary is None:
+                out[n] = self._of_whole(text)
+        self._drop_long()
+        return iter([summary or _NO_TOKENS for summary in out])
 
     def _forget(self) -> None:
-        """No windows are known; each gets a number, under which its alignment is kept."""
-        self._windows: dict[bytes, int] = {}
-        self._forms: list[str | None] = []
-        self._packed: list[bytes] = []
-        self._often: list[bytes] = []
-        self._counts = np.zeros((3, 1024), np.int64)  # groups, links and pairs
-
-    def _learn(self, new: list[bytes]) -> None:
-        if not new:
-            return
+        """No units are known."""
+        self._windows: dict[str, int] = {}
+        self._forms = [b""]
+        self._long: list[str] = []
+        self._kept = 1  # units that are not long
+        self._numbers = np.zeros((6, 1024), np.int64)  # ids of either side, groups, links, pairs, where the pairs begin
+        self._pairs, self._times = np.zeros(1024, np.int64), np.zeros(1024, np.int64)
+
+    def _drop_long(self) -> None:
+        """Forget the last units, which are long."""
+        for unit in self._long:
+            del self._windows[unit]
+        del self._forms[self._kept :]
+        self._long = []
+        held = int(self._numbers[4:, self._kept - 1].sum())
+        if len(self._pairs) > _SPARE_PAIRS + 4 * held:  # a very long unit has stretched them
+            self._pairs, self._times = self._pairs[: 2 * held + 1024].copy(), self._times[: 2 * held + 1024].copy()
+
+    def _learn(self, new: list[str]) -> None:
+        """Encode and align new units, the long ones last.
+
+        Units that need no care at their ends are encoded by the line. Where a line is not
+        spelt unit by unit, each unit is tried alone, and again in a line of those that are
+        well spelt alone, as the library must encode a unit alike alone and among others.
+        """
+        short = [unit for unit in new if len(unit) <= _LONG_UNIT]
+        self._long = [unit for unit in new if len(unit) > _LONG_UNIT]
+        easy = [unit for unit in short if not (unit[0].isspace() or unit[-1] == " ")]
+        alone = [unit for unit in short if unit[0].isspace() or unit[-1] == " "] + self._long
+        lines = [easy[n : n + _LINE_UNITS] for n in range(0, len(easy), _LINE_UNITS)] + [[unit] for unit in alone]
+        coded = self._encoded(lines)
+        if not self._well_spelt(lines, *coded):
+            lines, coded = self._sorted_out(lines, coded)
+        known = list(chain.from_iterable(lines))
         begin = len(self._forms)
-        forms, groups, links, packed, often = zip(*align(new, self._spelt, self._sizes))
-        self._windows.update(zip(new, range(begin, begin + len(new))))
+        self._windows.update(dict.fromkeys(new, _APART))
+        self._windows.update(zip(known, range(begin, begin + len(known))))
+        self._kept = begin + sum(len(unit) <= _LONG_UNIT for unit in known)
+        if known:
+            self._keep(known, [np.concatenate(side) for side in coded])
+
+    def _encoded(self, lines: list[list[str]]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        texts = [" ".join(line) for line in lines]
+        return self._first.encode(texts), self._second.lines(texts)
+
+    def _well_spelt(self, lines: list[list[str]], *coded: list[np.ndarray]) -> bool:
+        """Whether both sides spell these lines, with an end after each line and each unit."""
+        raw = b"".join([b" " + " ".join(line).encode("utf-8", "surrogatepass") for line in lines])
+        unit_ends = self._unit_ends(chain.from_iterable(lines))
+        line_ends = unit_ends[np.cumsum(list(map(len, lines))) - 1]
+        for side, spelt, sizes in zip(coded, self._spelt, self._sizes):
+            ids = np.concatenate(side)
+            if b"".join([spelt[i] for i in ids.tolist()]) != raw:
+                return False
+            ends = np.concatenate([[0], np.cumsum(sizes[ids])])
+            held = np.zeros(len(raw) + 1, bool)
+            held[ends] = True
+            if not held[unit_ends].all() or (ends[np.cumsum(list(map(len, side)))] != line_ends).any():
+                return False
+        return True
+
+    @staticmethod
+    def _unit_ends(units) -> np.ndarray:
+        return np.cumsum([len(unit.encode("utf-8", "surrogatepass")) + 1 for unit in units])
+
+    def _sorted_out(self, lines: list[list[str]], coded) -> tuple[list[list[str]], list[list[np.ndarray]]]:
+        """Lines that are well spelt, with their ids; what is well spelt nowhere is left out."""
+        kept = []
+        for line, a, b in zip(lines, *coded):
+            if self._well_spelt([line], [a], [b]):
+                kept.append((line, a, b))
+            elif len(line) > 1:
+                good = [unit for unit in line if self._well_spelt([[unit]], *self._encoded([[unit]]))]
+                again = self._encoded([good]) if 0 < len(good) < len(line) else None
+                if again and self._well_spelt([good], *again):
+                    kept.append((good, again[0][0], again[1][0]))
+        lines, *coded = map(list, zip(*kept)) if kept else ([], [], [])
+        return lines, coded
+
+    def _keep(self, units: list[str], ids: list[np.ndarray]) -> None:
+        unit_ends = self._unit_ends(units)
+        upto = [np.searchsorted(np.cumsum(sizes[side]), unit_ends) + 1 for sizes, side in zip(self._sizes, ids)]
+        forms, groups, links, entries, pairs, times = align(ids, upto, self._sizes, self._shown)
+        begin, end = len(self._forms), len(self._forms) + len(units)
+        if end > self._numbers.shape[1]:
+            self._numbers = np.pad(self._numbers, ((0, 0), (0, 2 * end - self._numbers.shape[1])))
+        at = int(self._numbers[4:, begin - 1].sum())
+        self._numbers[:, begin:end] = *(np.diff(u, prepend=0) for u in upto), groups, links, entries, at + np.cumsum(entries) - entries
         self._forms += forms
-        self._packed += packed
-        self._often += often
-        end = len(self._forms)
-        if end > self._counts.shape[1]:
-            self._counts = np.pad(self._counts, ((0, 0), (0, 2 * end - self._counts.shape[1])))
-        self._counts[:, begin:end] = groups, links, [len(x) // 8 for x in packed]
-
-    def _summary(self, n_a: int, n_b: int, windows: np.ndarray) -> tuple:
-        forms = [self._forms[n] for n in windows.tolist()]
-        if not forms or None in forms:
-            none = np.zeros(0, np.int64)
-            return 0, 0, 0, 0, "", none, none
-        different, repeats = np.unique(windows, return_counts=True)
-        groups, links, sizes = self._counts[:, different]
-        named = different.tolist()
-        pairs, times = (np.frombuffer(b"".join([side[n] for n in named]), np.int64) for side in (self._packed, self._often))
-        times = times * np.repeat(repeats, sizes)
-        digest = hashlib.sha256(";".join(forms).encode()).hexdigest()
-        return n_a, n_b, int(groups @ repeats), int(links @ repeats), digest, *summed(pairs, times)
+        to = at + len(pairs)
+        if to > len(self._pairs):
+            self._pairs, self._times = (np.pad(x, (0, 2 * to - len(x))) for x in (self._pairs, self._times))
+        self._pairs[at:to], self._times[at:to] = pairs, times
+
+    def _summaries(self, numbers: np.ndarray, ends: np.ndarray) -> list[tuple | None]:
+        """What the texts have whose units end at ``ends``; none where a unit is apart or there is no unit."""
+        upto = lambda values: np.concatenate([np.zeros((*values.shape[:-1], 1), np.int64), np.cumsum(values, axis=-1)], axis=-1)
+        begins = np.concatenate([[0], ends[:-1]])
+        apart = upto((numbers == _APART).astype(np.int64))
+        good = ((apart[ends] == apart[begins]) & (ends > begins)).tolist()
+        sums = upto(self._numbers[:5, numbers])
+        totals = (sums[:, ends] - sums[:, begins]).T.tolist()
+        size, start = self._numbers[4:, numbers]
+        places = np.repeat(start - sums[4, :-1], size) + np.arange(int(sums[4, -1]))
+        pairs, times = self._pairs[places], self._times[places]
+        edges = sums[4, ends].tolist()
+        forms = list(map(self._forms.__getitem__, numbers.tolist()))
+        out = []
+        for ok, total, b, e, p, q in zip(good, totals, begins.tolist(), ends.tolist(), [0, *edges], edges):
+            if not ok:
+                out.append(None)
+                continue
+            digest = hashlib.sha256(b";".join(forms[b:e])).hexdigest()
+            out.append((*total[:4], digest, *summed(pairs[p:q], times[p:q])))
+        return out
+
+    def _of_whole(self, text: str) -> tuple | None:
+        """The same of a text that is one unit, none if a side spells other bytes."""
+        raw = b" " + text.encode("utf-8", "surrogatepass")
+        ids = [side.encode([text])[0] for side in (self._first, self._second)]
+        if any(b"".join([spelt[i] for i in own.tolist()]) != raw for spelt, own in zip(self._spelt, ids)):
+            return None
+        upto = [np.array([len(own)]) for own in ids]
+        forms, groups, links, _, pairs, times = align(ids, upto, self._sizes, self._shown)
+        return len(ids[0]), len(ids[1]), int(groups[0]), int(links[0]), hashlib.sha256(forms[0]).hexdigest(), *summed(pairs, times)
 
 
 def aligned(docs: DataFrame, make: Callable[[], Aligner], name: str) -> DataFrame:

@@ -338,3 +338,57 @@ def test_a_text_is_aligned_once_for_each_new_window(both):
     again, twice = aligner.documents(["one two three four", "one two three four one two three four"])
     assert again[:5] == once[:5] and len(aligner._forms) - known <= 1
     assert twice[0] == 2 * once[0] and twice[6].sum() == twice[3]
+
+
+def one_by_one(both, texts):
+    """What is said of texts by plain search, without the counts of the corpus."""
+    return [row[:5] for row in plain_alignment(texts)]
+
+
+def test_units_are_encoded_once_by_either_tokenizer(both):
+    """A text of units met before costs neither tokenizer anything."""
+    given = Counter()
+
+    def counting(side, name):
+        def encode(texts):
+            given[name] += sum(map(len, texts))
+            return getattr(side, name)(texts)
+
+        return encode
+
+    aligner = token_alignment.Aligner(*both)
+    aligner._first = type("First", (), {"encode": staticmethod(counting(both[0], "encode"))})
+    list(aligner.documents(["one two, three\nfour five"] * 3))
+    before = Counter(given)
+    again = list(aligner.documents(["five two, one", "one two, three\nfour " * 50 + "one"]))
+    assert before["encode"] < 40 and given == before
+    assert [f[:5] for f in again] == one_by_one(both, ["five two, one", "one two, three\nfour " * 50 + "one"])
+
+
+def test_units_of_both_tokenizers_on_random_texts(both, monkeypatch):
+    rng = random.Random(8)
+    parts = ["a", "the", "Anti", "é", "你好", "😀", " ", " ", " ", "  ", "\n", "\t", " \n", "\r\n", "\x1c", "\x85", "\xa0", "\u2003", "▁", "'s", "'", "12", ".", "=" * 30, "\x00", "\u200b", "<s>", "ﬁ"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(1500)]
+    monkeypatch.setattr(token_alignment, "_LONG_UNIT", 12)
+    monkeypatch.setattr(token_alignment, "_CACHED_WINDOWS", 400)
+    aligner = token_alignment.Aligner(*both)
+    found = [f for at in range(0, len(texts), 50) for f in aligner.documents(texts[at : at + 50])]
+    assert [f[:5] for f in found] == one_by_one(both, texts)
+    assert all(int(f[6].sum()) == f[3] and (np.diff(f[5]) > 0).all() for f in found)
+
+
+def test_an_odd_unit_sets_its_texts_apart_alone(both):
+    """As where a tokenizer changes one letter: its unit has no tokens, its neighbours in a line do."""
+    aligner = token_alignment.Aligner(*both)
+    changing = lambda texts: both[0].encode([text.replace("q", "k") for text in texts])
+    aligner._first = type("Other", (), {"encode": staticmethod(changing)})
+    texts = ["the cat sat", "the qat", "a mat sat", "qat"]
+    found = [f[:5] for f in aligner.documents(texts)]
+    plain = one_by_one(both, texts)
+    assert found == [plain[0], (0, 0, 0, 0, ""), plain[2], (0, 0, 0, 0, "")]
+    assert [f[:5] for f in aligner.documents(["sat the mat"])] == one_by_one(both, ["sat the mat"])
+
+
+def test_forms_of_ids_with_any_number_of_digits():
+    rows = token_alignment.digits(10_101)
+    assert [bytes(row[row != 0]) for row in rows] == [str(i).encode() for i in range(10_101)]
